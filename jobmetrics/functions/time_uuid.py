@@ -23,16 +23,21 @@ def is_time_uuid(value: Column) -> Column:
     return F.coalesce(_digits(value).rlike(V1_DIGITS), F.lit(False))
 
 
-def uuid_to_ts(value: Column) -> Column:
-    """Event time of a version 1 UUID, to the microsecond; NULL for anything else."""
-    digits = _digits(value)
+def time_of(time_uuid: Column) -> Column:
+    """Event time, to the microsecond, of a value already known to be a version 1 UUID."""
+    digits = _digits(time_uuid)
     steps = F.concat(
         F.substring(digits, 14, 3), F.substring(digits, 9, 4), F.substring(digits, 1, 8)
     )
     # Ten steps per microsecond. Dividing before the epoch shift rounds down on both sides
     # of 1970, because the raw count is never negative.
     micros = F.call_function("div", F.conv(steps, 16, 10).cast("long"), F.lit(10))
-    return F.when(is_time_uuid(value), F.timestamp_micros(micros - EPOCH_OFFSET_MICROS))
+    return F.timestamp_micros(micros - EPOCH_OFFSET_MICROS)
+
+
+def uuid_to_ts(value: Column) -> Column:
+    """Event time of a version 1 UUID; NULL for anything else."""
+    return F.when(is_time_uuid(value), time_of(value))
 
 
 def ts_to_uuid(ts: Column, node: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobmetrics.functions.time_uuid import uuid_to_ts
+from jobmetrics.functions.time_uuid import is_time_uuid, time_of, uuid_to_ts
 
 # The event types that are counted, and the ids whose gaps become 0.
 EVENT_TYPES = ["click", "conversion", "qualified", "unqualified"]
@@ -22,8 +22,11 @@ def tracking_clean(tracking: DataFrame) -> DataFrame:
     The job filter runs first, so a NULL job drops the row while a NaN job becomes job 0.
     ``na.fill`` replaces NaN as well as NULL. A bid counts only on a click.
     """
-    kept = decode_events(tracking).filter(F.col("job_id").isNotNull() & F.col("ts").isNotNull())
-    filled = kept.na.fill(0, ID_COLUMNS)
+    key = F.col("create_time")
+    # Filtering on the key's form, not on the decoded time: Spark would move that filter below
+    # the decoding and so decode twice.
+    kept = tracking.filter(F.col("job_id").isNotNull() & is_time_uuid(key))
+    filled = kept.withColumn("ts", time_of(key)).na.fill(0, ID_COLUMNS)
     click_bid = F.coalesce(F.nanvl("bid", F.lit(None).cast("double")), F.lit(0.0))
     return filled.withColumn(
         "bid", F.when(F.col("custom_track") == "click", click_bid).otherwise(F.col("bid"))

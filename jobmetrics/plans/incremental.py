@@ -120,22 +120,26 @@ def incremental_load(
     job_dim: DataFrame,
     store: FactStore,
     look_back: timedelta = timedelta(0),
+    keys: DataFrame | None = None,
     source_name: str = SOURCE_NAME,
 ) -> bool:
     """Load what is newer than the watermark; False when there is nothing.
 
     ``look_back`` also recomputes days before the watermark, for events that arrive late.
+    ``keys`` may name a cheaper source of the same ``create_time`` values to search for newer
+    events, such as the versions of a lake before the last of each key is chosen.
     """
+    keys = tracking if keys is None else keys
     spark = tracking.sparkSession
     watermark = loaded_through(spark, store)
     if watermark is None:
-        newest = _newest(tracking)
+        newest = _newest(keys)
         if newest is None or newest <= NEVER_LOADED:
             return False
         full_refresh(tracking, job_dim, store, source_name)
         return True
     # Nothing before the watermark's day can be newer, so only these days are searched.
-    newest = _newest(events_since_day(tracking, watermark))
+    newest = _newest(events_since_day(keys, watermark))
     if newest is None or newest <= watermark:
         return False
     touched = events_since_day(tracking, watermark - look_back // timedelta(microseconds=1))

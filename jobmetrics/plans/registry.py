@@ -113,8 +113,7 @@ def group_ids(spark, sf_dir):
 @_query
 def csv_load(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    columns = schemas.column_names(schemas.MESSAGE)
-    _tracking(spark, sf_dir).select(*columns).write.option("header", True).csv(path)
+    _tracking(spark, sf_dir).select(*schemas.MESSAGE_FIELDS).write.option("header", True).csv(path)
     return csv.csv_load(spark, path)
 
 
@@ -347,13 +346,13 @@ def events_to_json(spark, sf_dir):
     sent = topic.events_to_json(_tracking(spark, sf_dir)).withColumns(
         {"received_at": F.current_timestamp(), "offset": F.lit(0).cast("long")}
     )
-    return decode.accepted(decode.decode_messages(sent)).select(*decode.FIELDS)
+    return decode.accepted(decode.decode_messages(sent)).select(*schemas.MESSAGE_FIELDS)
 
 
 @_query
 def json_decode(spark, sf_dir):
     decoded = decode.accepted(decode.decode_messages(_messages(spark, sf_dir)))
-    return decoded.select("offset", *decode.FIELDS)
+    return decoded.select("offset", *schemas.MESSAGE_FIELDS)
 
 
 @_query
@@ -369,7 +368,7 @@ def tracking_upsert(spark, sf_dir):
     copies = [
         decode.accepted(decode.decode_messages(sent.filter(F.col("copy") == n))) for n in (0, 1)
     ]
-    return upsert.upsert(*copies).select(*decode.FIELDS)
+    return upsert.upsert(*copies).select(*schemas.MESSAGE_FIELDS)
 
 
 @_query
@@ -399,5 +398,6 @@ def stream_dedup(spark, sf_dir):
 def stream_hourly_metrics(spark, sf_dir):
     path = scratch_path(spark, "hourly")
     tracking = fixtures.tracking(fixtures.events_stream(spark, sf_dir))
-    hourly.start_hourly(tables.tracking_scan(tracking), path).awaitTermination()
+    spread = dedup.spread_by("event_id", 8)
+    hourly.start_hourly(tracking.drop("ts"), path, spread=spread).awaitTermination()
     return _money(hourly.read_hourly(spark, path))

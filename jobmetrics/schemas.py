@@ -25,6 +25,10 @@ MESSAGE = """
     group_id DOUBLE, job_id DOUBLE, publisher_id DOUBLE, ts STRING
 """
 
+MESSAGE_FIELDS = ["create_time", "bid", "campaign_id", "custom_track", "group_id", "job_id",
+                  "publisher_id", "ts"]
+MESSAGE_NUMBERS = ["bid", "campaign_id", "group_id", "job_id", "publisher_id"]
+
 # The hourly fact. Counts are BIGINT so that a cell cannot overflow.
 FACT = """
     id BIGINT, job_id INT, dates DATE, hours INT, publisher_id INT, company_id INT,

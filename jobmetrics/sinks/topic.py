@@ -9,10 +9,8 @@ from jobmetrics import schemas
 
 def events_to_json(events: DataFrame) -> DataFrame:
     """One ``value`` per event; missing fields are written as JSON null."""
-    fields = schemas.column_names(schemas.MESSAGE)
-    return events.select(
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value")
-    )
+    message = F.struct(*schemas.MESSAGE_FIELDS)
+    return events.select(F.to_json(message, {"ignoreNullFields": "false"}).alias("value"))
 
 
 def write_topic(events: DataFrame, servers: str, topic: str) -> None:

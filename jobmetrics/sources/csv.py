@@ -1,17 +1,25 @@
-"""CSV export of the event table: a header and the eight message columns."""
+"""CSV export of the event table: a header and the eight message columns.
+
+Values are read as text and turned into numbers by the same rule as messages. A header that
+differs from the declared columns is an error; a row that does not fit is set aside.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobmetrics import schemas
+from jobmetrics.functions.values import not_a_number, text_to_double
+from jobmetrics.schemas import MESSAGE_FIELDS, MESSAGE_NUMBERS
 
 REJECT = "_rejected"
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
+    layout = ", ".join(f"{name} STRING" for name in [*MESSAGE_FIELDS, REJECT])
     return (
-        spark.read.schema(f"{schemas.MESSAGE}, {REJECT} STRING")
+        spark.read.schema(layout)
         .option("header", True)
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", REJECT)
@@ -19,11 +27,21 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _fits() -> Column:
+    # The reader notices a missing or surplus value only in columns it has to parse, so the
+    # condition mentions all of them, whatever the caller selects.
+    all_parsed = F.length(F.concat_ws("", *MESSAGE_FIELDS)) >= 0
+    bad_number = reduce(lambda a, b: a | b, [not_a_number(F.col(n)) for n in MESSAGE_NUMBERS])
+    return F.col(REJECT).isNull() & all_parsed & ~bad_number
+
+
 def csv_load(spark: SparkSession, path: str) -> DataFrame:
-    """The well-formed rows. A header that differs from the declared columns is an error."""
-    return _read(spark, path).filter(F.col(REJECT).isNull()).drop(REJECT)
+    """The rows that fit, typed."""
+    rows = _read(spark, path).filter(_fits())
+    typed = {name: text_to_double(F.col(name)) for name in MESSAGE_NUMBERS}
+    return rows.withColumns(typed).select(*MESSAGE_FIELDS)
 
 
 def csv_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Rows with a value that does not fit its column, with their whole text."""
-    return _read(spark, path).filter(F.col(REJECT).isNotNull())
+    """The rows that do not, as text."""
+    return _read(spark, path).filter(~_fits()).select(*MESSAGE_FIELDS)

@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmetrics.functions.time_uuid import ts_to_uuid
 from jobmetrics.functions.values import second_text
+from jobmetrics.schemas import MESSAGE_FIELDS
 
 EVENT_TYPE_OF = {
     "click": "click", "purchase": "conversion", "signup": "qualified", "error": "unqualified",
 }
-MESSAGE_FIELDS = ["create_time", "bid", "custom_track", "job_id", "publisher_id", "group_id",
-                  "campaign_id", "ts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

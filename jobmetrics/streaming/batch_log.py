@@ -8,8 +8,6 @@ of two runs never meet.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,16 +15,12 @@ ONCE = {"availableNow": True}
 
 
 def start_log(
-    stream: DataFrame,
-    path: str,
-    output_mode: str,
-    partitions: list[str],
-    trigger: dict,
-    shape: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    stream: DataFrame, path: str, output_mode: str, partitions: list[str], trigger: dict
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Gather each partition into few files, but split one too big for a task.
-        rows = shape(batch).hint("rebalance", *partitions)
+        # Gathers each partition into few files but splits one too big for a task. A stream
+        # with state runs without adaptive execution and keeps the even spread of its state.
+        rows = batch.hint("rebalance", *partitions)
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(
             f"{path}/log/batch={batch_id}"
         )

@@ -12,11 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobmetrics.functions.time_uuid import is_time_uuid, uuid_to_ts
 from jobmetrics.functions.values import not_a_number, text_to_double
+from jobmetrics.schemas import MESSAGE_FIELDS, MESSAGE_NUMBERS
 
-NUMBERS = ["bid", "campaign_id", "group_id", "job_id", "publisher_id"]
-TEXTS = ["create_time", "custom_track", "ts"]
-FIELDS = ["create_time", "bid", "campaign_id", "custom_track", "group_id", "job_id",
-          "publisher_id", "ts"]
 _CORRUPT = "_corrupt"
 
 
@@ -27,31 +24,32 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     good message), ``raw`` (the text of a rejected message) and ``dates`` (the event's day).
     """
     text = F.col("value").cast("string")
-    layout = ", ".join(f"{name} STRING" for name in [*NUMBERS, *TEXTS, _CORRUPT])
+    layout = ", ".join(f"{name} STRING" for name in [*MESSAGE_FIELDS, _CORRUPT])
+    message = F.from_json(text, layout, {"columnNameOfCorruptRecord": _CORRUPT})
+    # One row per message all the same. The generator keeps later filters on the parsed fields
+    # above it; in a plain projection they would be moved below and parse the JSON once more
+    # for every field they mention.
     parsed = messages.select(
-        "received_at",
-        "offset",
-        text.alias("_text"),
-        F.from_json(text, layout, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_m"),
+        "received_at", "offset", text.alias("_text"), F.explode(F.array(message)).alias("_m")
     )
     readable = (
         F.col("_m").isNotNull()
         & F.col(f"_m.{_CORRUPT}").isNull()
         & F.is_valid_utf8("_text")
         # The reader ignores what follows the first object.
-        & F.rtrim("_text").endswith("}")
+        & F.rtrim("_text", F.lit(" \t\r\n")).endswith("}")
     )
-    bad_number = reduce(lambda a, b: a | b, [not_a_number(F.col(f"_m.{n}")) for n in NUMBERS])
+    bad_number = reduce(lambda a, b: a | b, [not_a_number(F.col(f"_m.{n}")) for n in MESSAGE_NUMBERS])
     key = F.col("_m.create_time")
     reason = (
         F.when(~F.coalesce(readable, F.lit(False)), "malformed_json")
         .when(bad_number, "not_numeric")
         .when(~is_time_uuid(key), "bad_create_time")
     )
-    fields = {n: text_to_double(F.col(f"_m.{n}")) for n in NUMBERS}
-    fields |= {n: F.col(f"_m.{n}") for n in TEXTS}
+    fields = {n: F.col(f"_m.{n}") for n in MESSAGE_FIELDS}
+    fields |= {n: text_to_double(fields[n]) for n in MESSAGE_NUMBERS}
     return parsed.select(
-        *[fields[n].alias(n) for n in FIELDS],
+        *[fields[n].alias(n) for n in MESSAGE_FIELDS],
         "received_at",
         "offset",
         reason.alias("reject_reason"),

@@ -6,13 +6,14 @@ has passed it. Update mode sends a cell whenever it changes; readers take the la
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobmetrics.operators.clean import ID_COLUMNS, of_known_type, tracking_clean
 from jobmetrics.operators.metrics import CELL, metric_columns
 from jobmetrics.operators.upsert import latest_by_key
 from jobmetrics.streaming.batch_log import ONCE, read_log, start_log
+from jobmetrics.streaming.dedup import first_copies
 
 METRICS = ["bid_set", "clicks", "spend_hour", "conversions", "qualified", "unqualified"]
 _LAYOUT = """
@@ -22,18 +23,30 @@ _LAYOUT = """
 """
 
 
-def hourly_stream(tracking: DataFrame, lateness: str) -> DataFrame:
-    """Cells of a stream of tracking rows; events later than ``lateness`` are left out."""
-    events = of_known_type(tracking_clean(tracking)).withWatermark("ts", lateness)
-    cells = events.groupBy(F.window("ts", "1 hour"), *ID_COLUMNS).agg(*metric_columns())
+def hourly_stream(
+    tracking: DataFrame, lateness: str, spread: Column | None = None
+) -> DataFrame:
+    """Cells of a stream of tracking rows; events later than ``lateness`` are left out.
+
+    A topic may deliver a message again, so copies are dropped before counting (``spread`` as
+    in ``first_copies``).
+    """
+    events = of_known_type(tracking_clean(tracking))
+    once = first_copies(events, "ts", lateness, spread)
+    cells = once.groupBy(F.window("ts", "1 hour"), *ID_COLUMNS).agg(*metric_columns())
     hour = {"date": F.to_date("window.start"), "hour": F.hour("window.start")}
     return cells.select(*[hour.get(n, F.col(n)).alias(n) for n in CELL], *METRICS)
 
 
 def start_hourly(
-    tracking: DataFrame, path: str, lateness: str = "2 hours", trigger: dict = ONCE
+    tracking: DataFrame,
+    path: str,
+    lateness: str = "2 hours",
+    spread: Column | None = None,
+    trigger: dict = ONCE,
 ) -> StreamingQuery:
-    return start_log(hourly_stream(tracking, lateness), path, "update", ["date"], trigger)
+    cells = hourly_stream(tracking, lateness, spread)
+    return start_log(cells, path, "update", ["date"], trigger)
 
 
 def read_hourly(spark: SparkSession, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from jobmetrics import schemas
 from jobmetrics.operators.upsert import latest_by_key
 from jobmetrics.streaming.batch_log import ONCE, read_log, start_log
-from jobmetrics.streaming.decode import FIELDS, decode_messages
+from jobmetrics.streaming.decode import decode_messages
 
 _LAYOUT = (
     f"{schemas.MESSAGE}, received_at TIMESTAMP, offset BIGINT, reject_reason STRING, "
@@ -33,15 +33,19 @@ def _rows(spark: SparkSession, path: str, outcome: str) -> DataFrame:
     return read_log(spark, path, _LAYOUT).filter(F.col("outcome") == outcome)
 
 
-def read_tracking(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
-    """The event table: one row per key, the last one received; ``dates`` for pruning."""
+def read_versions(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """Every accepted message, in no order; enough to see which times there are."""
     rows = _rows(spark, path, "accepted")
     if since is not None:
         rows = rows.filter(F.col("dates") >= since)
-    versions = rows.select(*FIELDS, "dates", "received_at", "offset")
+    return rows.select(*schemas.MESSAGE_FIELDS, "dates", "received_at", "offset")
+
+
+def read_tracking(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """The event table: one row per key, the last one received; ``dates`` for pruning."""
     # The day follows from the key. Naming both lets a filter on the day pass the window.
-    latest = latest_by_key(versions, key=("dates", "create_time"))
-    return latest.select(*FIELDS, "dates")
+    latest = latest_by_key(read_versions(spark, path, since), key=("dates", "create_time"))
+    return latest.select(*schemas.MESSAGE_FIELDS, "dates")
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,111 @@
+"""What the physical plans must and must not contain, and results under skew."""
+
+import re
+
+import pytest
+from conftest import plan_of, rows_of
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from jobmetrics.operators.clean import tracking_clean
+from jobmetrics.operators.metrics import hourly_metrics, hourly_metrics_joined
+from jobmetrics.operators.numbering import with_surrogate
+from jobmetrics.plans.fact import build_fact
+from jobmetrics.sources.tables import tracking_scan
+
+STREAMED = {"stream_ingest", "stream_dedup", "stream_hourly_metrics", "csv_load",
+            "incremental_load"}
+PYTHON_NODES = ["BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"]
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tracking, tmp_path_factory):
+    """Tracking rows as stored, so that plans show no derivation."""
+    path = str(tmp_path_factory.mktemp("lake") / "tracking")
+    tracking.write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - STREAMED))
+def test_no_python_and_no_cross_product(spark, sf_dir, name):
+    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    assert not [n for n in PYTHON_NODES if n in plan]
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fact_scans_once_and_shuffles_once(spark, lake, job_dim):
+    plan = plan_of(build_fact(spark.read.parquet(lake), job_dim))
+    assert plan.count("FileScan parquet [") == 2  # the events and the job dimension
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "BroadcastHashJoin" in plan
+
+
+def test_fact_scan_reads_only_what_it_needs(spark, lake, job_dim):
+    plan = plan_of(build_fact(spark.read.parquet(lake), job_dim))
+    events = next(line for line in plan.splitlines() if "custom_track" in line and "FileScan" in line)
+    assert "IsNotNull(job_id)" in events and "In(custom_track" in events
+    read = re.search(r"FileScan parquet \[(.*?)\]", events).group(1)
+    assert {c.split("#")[0] for c in read.split(",")} == set(
+        tracking_scan(spark.read.parquet(lake)).columns
+    )
+
+
+def test_time_of_the_key_is_decoded_once(spark, lake, job_dim):
+    plan = plan_of(build_fact(spark.read.parquet(lake), job_dim))
+    assert plan.count("timestamp_micros(") == 1
+
+
+def test_joins_scan_once_per_type(spark, lake):
+    plan = plan_of(hourly_metrics_joined(tracking_clean(spark.read.parquet(lake))))
+    assert plan.count("FileScan parquet [") == 4
+
+
+def test_dimension_too_big_to_broadcast(spark, lake, job_dim):
+    fact = build_fact(spark.read.parquet(lake), job_dim)
+    want = rows_of(fact)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = build_fact(spark.read.parquet(lake), job_dim)
+        plan = plan_of(merged)
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert rows_of(merged) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_latest_hours_keeps_only_the_top_rows(spark, sf_dir):
+    assert "TakeOrderedAndProject" in plan_of(contract.queries()["fact_latest"](spark, sf_dir))
+
+
+def test_one_job_with_most_events(spark, tracking, job_dim):
+    """A third of all rows on one job, publisher, campaign, group and hour."""
+    hot = F.col("event_id") % 3 == 0
+    one = tracking.filter("event_id = 1").first()
+    skewed = tracking.drop("ts").withColumns(
+        {c: F.when(hot, F.lit(one[c])).otherwise(F.col(c))
+         for c in ("job_id", "publisher_id", "campaign_id", "group_id")}
+    )
+    key = F.concat(F.lit(one["create_time"][:24]), F.lpad(F.hex("event_id"), 12, "0"))
+    skewed = skewed.withColumn("create_time", F.when(hot, key).otherwise(F.col("create_time")))
+    ready = tracking_clean(skewed)
+    single = hourly_metrics(ready)
+    assert rows_of(single) == rows_of(hourly_metrics_joined(ready))
+    # Rows are combined before the shuffle.
+    assert plan_of(single).index("partial_sum") > plan_of(single).index("Exchange hashpartitioning")
+    fact = with_surrogate(build_fact(skewed, job_dim))
+    assert fact.select("id").distinct().count() == fact.count()
+
+
+def test_numbering_splits_an_hour(spark):
+    """All cells in one hour: still many groups to number."""
+    cells = spark.range(5000).select(
+        F.lit("2024-01-01").cast("date").alias("dates"), F.lit(5).alias("hours"),
+        F.col("id").cast("int").alias("job_id"),
+        *[F.lit(1).alias(c) for c in ("publisher_id", "campaign_id", "group_id")],
+    )
+    ids = with_surrogate(cells)
+    assert ids.select("id").distinct().count() == 5000
+    number = F.col("id") % 10**12 - 1
+    sizes = ids.groupBy((number % 256).alias("bucket")).count()
+    assert sizes.count() == 256 and sizes.agg(F.max("count")).first()[0] < 60
