@@ -6,20 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# What a number in a message may look like, as text. The cast alone is looser: it also takes
-# the JVM's own spellings such as "1d" or "0x1p3", which a producer never means as a number.
-NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
+# Characters of an ordinary number. Anything else a cast would take is either spelled out
+# below or one of the JVM's own forms ("1d", "0x1p3"), which no producer means as a number.
+PLAIN_NUMBER = r"^[0-9.eE+-]+\z"
+
+# The other texts that stand for a number, in lower case and without quotes.
+SPECIAL_NUMBERS = {
+    "true": 1.0, "false": 0.0, "nan": float("nan"), "inf": float("inf"),
+    "infinity": float("inf"), "-inf": float("-inf"), "-infinity": float("-inf"),
+}
 
 
 def text_to_double(text: Column) -> Column:
     """Number written in ``text``, NULL when it is none; JSON true and false count 1 and 0."""
     # The JSON reader hands a bare NaN or Infinity over in quotes.
-    bare = F.btrim(text, F.lit('"'))
-    return (
-        F.when(bare == "true", F.lit(1.0))
-        .when(bare == "false", F.lit(0.0))
-        .when(bare.rlike(NUMBER), bare.try_cast("double"))
-    )
+    bare = F.btrim(text, F.lit(' \t\r\n"'))
+    special = F.when(bare.rlike(PLAIN_NUMBER), bare.try_cast("double"))
+    for name, value in SPECIAL_NUMBERS.items():
+        special = special.when(F.lower(bare) == name, F.lit(value))
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double")).otherwise(special)
 
 
 def not_a_number(text: Column) -> Column:

@@ -10,8 +10,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobmetrics.functions.time_uuid import is_time_uuid, uuid_to_ts
-from jobmetrics.functions.values import not_a_number, text_to_double
+from jobmetrics.functions.time_uuid import is_time_uuid, time_of
+from jobmetrics.functions.values import text_to_double
 from jobmetrics.schemas import MESSAGE_FIELDS, MESSAGE_NUMBERS
 
 _CORRUPT = "_corrupt"
@@ -21,41 +21,44 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     """``value``, ``received_at``, ``offset`` to the message fields plus
 
     ``reject_reason`` (``malformed_json``, ``not_numeric``, ``bad_create_time``, NULL for a
-    good message), ``raw`` (the text of a rejected message) and ``dates`` (the event's day).
+    good message), ``raw`` (the text of a rejected message) and ``dates`` (the day of a good one).
     """
-    text = F.col("value").cast("string")
     layout = ", ".join(f"{name} STRING" for name in [*MESSAGE_FIELDS, _CORRUPT])
-    message = F.from_json(text, layout, {"columnNameOfCorruptRecord": _CORRUPT})
-    # One row per message all the same. The generator keeps later filters on the parsed fields
-    # above it; in a plain projection they would be moved below and parse the JSON once more
-    # for every field they mention.
+    message = F.from_json("_text", layout, {"columnNameOfCorruptRecord": _CORRUPT})
     parsed = messages.select(
-        "received_at", "offset", text.alias("_text"), F.explode(F.array(message)).alias("_m")
-    )
+        "received_at", "offset", F.col("value").cast("string").alias("_text")
+    ).withColumn("_m", message)
+    # Each step is a projection of its own, so that what it computes is computed once.
+    number = {n: text_to_double(F.col(f"_m.{n}")).alias(n) for n in MESSAGE_NUMBERS}
+    typed = parsed.select("*", *[number.get(n, F.col(f"_m.{n}")) for n in MESSAGE_FIELDS])
     readable = (
         F.col("_m").isNotNull()
         & F.col(f"_m.{_CORRUPT}").isNull()
         & F.is_valid_utf8("_text")
         # The reader ignores what follows the first object.
-        & F.rtrim("_text", F.lit(" \t\r\n")).endswith("}")
+        & (F.col("_text").endswith("}") | F.col("_text").rlike(r"\}\s*\z"))
+    )
+    bad_number = reduce(
+        lambda a, b: a | b,
+        [F.col(f"_m.{n}").isNotNull() & F.col(n).isNull() for n in MESSAGE_NUMBERS],
     )
-    bad_number = reduce(lambda a, b: a | b, [not_a_number(F.col(f"_m.{n}")) for n in MESSAGE_NUMBERS])
-    key = F.col("_m.create_time")
+    key = F.col("create_time")
     reason = (
         F.when(~F.coalesce(readable, F.lit(False)), "malformed_json")
         .when(bad_number, "not_numeric")
         .when(~is_time_uuid(key), "bad_create_time")
     )
-    fields = {n: F.col(f"_m.{n}") for n in MESSAGE_FIELDS}
-    fields |= {n: text_to_double(fields[n]) for n in MESSAGE_NUMBERS}
-    return parsed.select(
-        *[fields[n].alias(n) for n in MESSAGE_FIELDS],
+    judged = typed.withColumn("reject_reason", reason).select(
+        *MESSAGE_FIELDS,
         "received_at",
         "offset",
-        reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), F.col("_text")).alias("raw"),
-        F.to_date(uuid_to_ts(key)).alias("dates"),
+        "reject_reason",
+        F.when(F.col("reject_reason").isNotNull(), F.col("_text")).alias("raw"),
+        F.when(F.col("reject_reason").isNull(), F.to_date(time_of(key))).alias("dates"),
     )
+    # One row per message all the same. The generator keeps later filters above it; they would
+    # be moved below a projection and do the parsing a second time.
+    return judged.select(F.inline(F.array(F.struct(*judged.columns))))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
