@@ -1,4 +1,4 @@
-"""Append to the warehouse fact table over JDBC."""
+"""The fact in the warehouse, over JDBC."""
 
 from __future__ import annotations
 
@@ -30,3 +30,12 @@ def write_fact_jdbc(
     rows = fact.drop(*GENERATED)
     options = jdbc_write_options(target, table, connections)
     rows.write.format("jdbc").options(**options).mode("append").save()
+
+
+def replace_fact_jdbc(
+    fact: DataFrame, target: JdbcTarget, table: str = "events", connections: int = 16
+) -> None:
+    """Empty the table, keeping its definition, and fill it again."""
+    options = jdbc_write_options(target, table, connections) | {"truncate": "true"}
+    rows = fact.drop(*GENERATED)
+    rows.write.format("jdbc").options(**options).mode("overwrite").save()

@@ -1,0 +1,47 @@
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from jobmetrics.jobs import load_fact
+from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
+from jobmetrics.sinks.fact_lake import read_fact, replace_days, replace_fact
+from jobmetrics.sources import fixtures
+from jobmetrics.sources.tables import TRACKING_COLUMNS
+
+
+def test_load_job(spark, sf_dir, tracking, job_dim, tmp_path):
+    events, jobs, store = (str(tmp_path / n) for n in ("events", "jobs", "store"))
+    fixtures.job(spark, sf_dir).write.parquet(jobs)
+    argv = ["--events", f"path={events}", "--jobs", "format=parquet", f"path={jobs}",
+            "--store", store]
+    early = F.col("event_ts") < F.lit("2024-01-12").cast("timestamp")
+    for part in (early, ~early):
+        tracking.filter(part).select(*TRACKING_COLUMNS).write.mode("append").parquet(events)
+        assert load_fact.main(argv, spark) is True
+    assert load_fact.main(argv, spark) is False
+    want = rows_of(build_fact(tracking, job_dim))
+    assert rows_of(read_fact(spark, f"{store}/facts").select(*FACT_COLUMNS)) == want
+    assert load_fact.main([*argv, "--full"], spark) is True
+    spark.catalog.refreshByPath(f"{store}/facts")
+    assert rows_of(read_fact(spark, f"{store}/facts").select(*FACT_COLUMNS)) == want
+
+
+def _files_per_day(path):
+    return {day.name: len(list(day.glob("*.parquet"))) for day in path.glob("dates=*")}
+
+
+def test_fact_files(spark, tracking, job_dim, tmp_path):
+    """A day is gathered into one file; a day too big for a task is split over several."""
+    fact = build_fact(tracking, job_dim).withColumn("id", F.lit(1).cast("long"))
+    replace_fact(fact, str(tmp_path / "even"))
+    assert set(_files_per_day(tmp_path / "even").values()) == {1}
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(500).cast("long")))
+    hot = fact.withColumn("dates", F.lit("2024-01-01").cast("date")).withColumn("id", copies)
+    hot = hot.repartition(8)
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "64KB")
+    try:
+        replace_days(hot, str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset(setting)
+    assert _files_per_day(tmp_path / "hot")["dates=2024-01-01"] > 1
+    assert read_fact(spark, str(tmp_path / "hot")).count() == fact.count() * 500
