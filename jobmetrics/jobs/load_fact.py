@@ -24,7 +24,6 @@ from jobmetrics.sinks.fact_lake import read_fact
 from jobmetrics.sinks.warehouse import replace_fact_jdbc
 from jobmetrics.sources.jdbc import JdbcTarget
 from jobmetrics.sources.tables import TRACKING_COLUMNS, Table
-from jobmetrics.streaming import ingest
 
 
 def table_of(settings: list[str]) -> Table:
@@ -40,7 +39,10 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--jobs", nargs="+", metavar="KEY=VALUE", required=True)
     parser.add_argument("--store", required=True, help="path of the fact")
     parser.add_argument("--full", action="store_true", help="recompute all days")
-    parser.add_argument("--look-back-days", type=float, default=0.0)
+    parser.add_argument(
+        "--look-back-days", type=float, default=1.0,
+        help="with --events: how late events may arrive; a lake knows what arrived",
+    )
     parser.add_argument("--warehouse", help="JDBC URL to publish the fact to")
     parser.add_argument("--warehouse-table", default="events")
     parser.add_argument("--warehouse-driver", default="com.mysql.cj.jdbc.Driver")
@@ -54,17 +56,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> bo
     store = incremental.FactStore(args.store)
     jobs = job_dimension(table_of(args.jobs).load(spark))
     if args.lake:
-        events = ingest.read_tracking(spark, args.lake)
-        keys = ingest.read_versions(spark, args.lake)
+        loaded = incremental.load_from_lake(spark, args.lake, jobs, store, args.full)
     else:
         events = table_of(args.events).load(spark, TRACKING_COLUMNS)
-        keys = None
-    if args.full:
-        incremental.full_refresh(events, jobs, store)
-        loaded = True
-    else:
-        look_back = timedelta(days=args.look_back_days)
-        loaded = incremental.incremental_load(events, jobs, store, look_back, keys)
+        if args.full:
+            incremental.full_refresh(events, jobs, store)
+            loaded = True
+        else:
+            look_back = timedelta(days=args.look_back_days)
+            loaded = incremental.incremental_load(events, jobs, store, look_back)
     if loaded and args.warehouse:
         # The password stays out of the process list.
         target = JdbcTarget(

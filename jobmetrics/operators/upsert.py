@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 KEY = "create_time"
-ORDER = ("received_at", "offset")
+# A topic counts offsets per partition, so two copies may share time and offset.
+ORDER = ("received_at", "offset", "partition")
 
 
 def latest_by_key(

@@ -1,10 +1,15 @@
 """Loading the fact: in full, or only the days new events touch.
 
-A load of new events cannot add to existing cells, since a replay would count twice.
-It recomputes every day from the watermark's day on and replaces those partitions.
+A load of new events cannot add to existing cells, since a replay would count twice. It
+recomputes whole days and replaces their partitions. Which days:
 
-The watermark is the newest event time of the last load. It is kept beside the fact and
-written after the fact, so a load that dies half-way is repeated in full by the next one.
+* ``incremental_load`` goes by event time, for any event table: the watermark's day and all
+  later ones. The watermark is the newest event time of the last load.
+* ``load_from_lake`` goes by arrival, for a lake written by the ingest stream: the days named
+  in batches that came after the last load. It misses neither late events nor changed ones.
+
+Each load is recorded beside the fact, after the fact is written, so a load that dies
+half-way is repeated in full by the next one.
 """
 
 from __future__ import annotations
@@ -12,19 +17,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmetrics.functions.time_uuid import uuid_to_ts
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans.fact import SOURCE_NAME, build_fact
 from jobmetrics.sinks.fact_lake import read_fact, replace_days, replace_fact
+from jobmetrics.sources.tables import read_if_present
+from jobmetrics.streaming import ingest
+from jobmetrics.streaming.batch_log import last_batch
 
 # Fixed value: the watermark of an empty fact, 1998-01-01 00:00:00 UTC. Watermarks are kept
 # as microseconds since 1970, which mean the same whatever the driver's time zone.
 NEVER_LOADED = 883612800000000
 
-_LOADS = "loaded_through TIMESTAMP, loaded_at TIMESTAMP"
+_LOADS = "loaded_through TIMESTAMP, loaded_batch BIGINT, loaded_at TIMESTAMP"
 
 
 @dataclass(frozen=True)
@@ -81,15 +88,19 @@ def events_since_day(tracking: DataFrame, micros: int) -> DataFrame:
     return tracking.filter(uuid_to_ts(F.col("create_time")) >= day.cast("timestamp"))
 
 
+def _last_load(spark: SparkSession, store: FactStore, mark: Column) -> int | None:
+    loads = read_if_present(spark, store.loads, _LOADS)
+    return None if loads is None else loads.agg(F.max(mark)).first()[0]
+
+
 def loaded_through(spark: SparkSession, store: FactStore) -> int | None:
     """Newest event time already loaded, None before the first load."""
-    try:
-        loads = spark.read.schema(_LOADS).parquet(store.loads)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return loads.agg(F.unix_micros(F.max("loaded_through"))).first()[0]
+    return _last_load(spark, store, F.unix_micros("loaded_through"))
+
+
+def loaded_batch(spark: SparkSession, store: FactStore) -> int | None:
+    """Last batch of the lake already loaded, None before the first load."""
+    return _last_load(spark, store, F.col("loaded_batch"))
 
 
 def _newest(tracking: DataFrame) -> int | None:
@@ -97,22 +108,28 @@ def _newest(tracking: DataFrame) -> int | None:
     return times.agg(F.unix_micros(F.max("ts"))).first()[0]
 
 
-def _record(spark: SparkSession, store: FactStore, newest: int) -> None:
+def _record(
+    spark: SparkSession, store: FactStore, newest: int | None, batch: int | None = None
+) -> None:
     row = spark.range(1).select(
-        as_ts(newest).alias("loaded_through"), F.current_timestamp().alias("loaded_at")
+        as_ts(NEVER_LOADED if newest is None else newest).alias("loaded_through"),
+        F.lit(batch).cast("long").alias("loaded_batch"),
+        F.current_timestamp().alias("loaded_at"),
     )
     row.coalesce(1).write.mode("append").parquet(store.loads)
 
 
+def _numbered(tracking: DataFrame, job_dim: DataFrame, source_name: str) -> DataFrame:
+    return with_surrogate(build_fact(tracking, job_dim, source_name=source_name))
+
+
 def full_refresh(
     tracking: DataFrame, job_dim: DataFrame, store: FactStore, source_name: str = SOURCE_NAME
-) -> DataFrame:
-    """Recompute the fact from all events and replace it. Returns the stored fact."""
-    spark = tracking.sparkSession
+) -> None:
+    """Recompute the fact from all events and replace it."""
     newest = _newest(tracking)
-    replace_fact(with_surrogate(build_fact(tracking, job_dim, source_name=source_name)), store.facts)
-    _record(spark, store, NEVER_LOADED if newest is None else newest)
-    return read_fact(spark, store.facts)
+    replace_fact(_numbered(tracking, job_dim, source_name), store.facts)
+    _record(tracking.sparkSession, store, newest)
 
 
 def incremental_load(
@@ -120,30 +137,53 @@ def incremental_load(
     job_dim: DataFrame,
     store: FactStore,
     look_back: timedelta = timedelta(0),
-    keys: DataFrame | None = None,
     source_name: str = SOURCE_NAME,
 ) -> bool:
     """Load what is newer than the watermark; False when there is nothing.
 
     ``look_back`` also recomputes days before the watermark, for events that arrive late.
-    ``keys`` may name a cheaper source of the same ``create_time`` values to search for newer
-    events, such as the versions of a lake before the last of each key is chosen.
     """
-    keys = tracking if keys is None else keys
     spark = tracking.sparkSession
     watermark = loaded_through(spark, store)
     if watermark is None:
-        newest = _newest(keys)
+        newest = _newest(tracking)
         if newest is None or newest <= NEVER_LOADED:
             return False
         full_refresh(tracking, job_dim, store, source_name)
         return True
     # Nothing before the watermark's day can be newer, so only these days are searched.
-    newest = _newest(events_since_day(keys, watermark))
+    newest = _newest(events_since_day(tracking, watermark))
     if newest is None or newest <= watermark:
         return False
     touched = events_since_day(tracking, watermark - look_back // timedelta(microseconds=1))
-    fact = build_fact(touched, job_dim, source_name=source_name)
-    replace_days(with_surrogate(fact), store.facts)
+    replace_days(_numbered(touched, job_dim, source_name), store.facts)
     _record(spark, store, newest)
     return True
+
+
+def load_from_lake(
+    spark: SparkSession,
+    lake: str,
+    job_dim: DataFrame,
+    store: FactStore,
+    full: bool = False,
+    source_name: str = SOURCE_NAME,
+) -> bool:
+    """Load the batches of an event lake that came since the last load; False without any."""
+    newest = last_batch(spark, lake)
+    loaded = None if full else loaded_batch(spark, store)
+    if newest is None or (loaded is not None and newest <= loaded):
+        return False
+    tracking = ingest.read_tracking(spark, lake, newest)
+    versions = ingest.read_versions(spark, lake, newest)
+    if loaded is None:
+        replace_fact(_numbered(tracking, job_dim, source_name), store.facts)
+    else:
+        # Partition columns only, and at most one row per calendar day.
+        fresh = versions.filter(F.col("batch") > loaded).select("dates").distinct()
+        days = [row["dates"] for row in fresh.collect()]
+        versions = versions.filter(F.col("dates").isin(days))
+        touched = tracking.filter(F.col("dates").isin(days))
+        replace_days(_numbered(touched, job_dim, source_name), store.facts)
+    _record(spark, store, _newest(versions), newest)
+    return True

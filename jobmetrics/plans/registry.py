@@ -344,7 +344,8 @@ def bad_uuid_audit(spark, sf_dir):
 def events_to_json(spark, sf_dir):
     """Events written as messages and read back."""
     sent = topic.events_to_json(_tracking(spark, sf_dir)).withColumns(
-        {"received_at": F.current_timestamp(), "offset": F.lit(0).cast("long")}
+        {"received_at": F.current_timestamp(), "offset": F.lit(0).cast("long"),
+         "partition": F.lit(0)}
     )
     return decode.accepted(decode.decode_messages(sent)).select(*schemas.MESSAGE_FIELDS)
 

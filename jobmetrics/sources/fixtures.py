@@ -87,6 +87,7 @@ def messages(tracking: DataFrame) -> DataFrame:
         value.alias("value"),
         (F.col("event_ts") + F.make_dt_interval(hours="copy")).alias("received_at"),
         (event * 2 + F.col("copy")).alias("offset"),
+        (event % 4).cast("int").alias("partition"),
     )
 
 

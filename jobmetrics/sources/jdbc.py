@@ -9,9 +9,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-JOB_QUERY = "SELECT id AS job_id, company_id, group_id, campaign_id FROM job"
-WATERMARK_QUERY = "SELECT MAX(updated_at) AS max_ts FROM events"
-
 
 @dataclass(frozen=True)
 class JdbcTarget:
@@ -58,11 +55,21 @@ def read_subquery(
     return spark.read.format("jdbc").options(**subquery_options(target, query, split)).load()
 
 
+def dimension_query(table: str, key: str, *columns: str) -> str:
+    """The wanted columns of a dimension, its ``id`` under the name the facts use."""
+    return f"SELECT {', '.join([f'id AS {key}', *columns])} FROM {table}"
+
+
+def newest_query(table: str, column: str) -> str:
+    return f"SELECT MAX({column}) AS max_ts FROM {table}"
+
+
 def read_job_dimension(
     spark: SparkSession, target: JdbcTarget, split: Split | None = None
 ) -> DataFrame:
-    return read_subquery(spark, target, JOB_QUERY, split)
+    query = dimension_query("job", "job_id", "company_id", "group_id", "campaign_id")
+    return read_subquery(spark, target, query, split)
 
 
 def read_fact_watermark(spark: SparkSession, target: JdbcTarget) -> DataFrame:
-    return read_subquery(spark, target, WATERMARK_QUERY)
+    return read_subquery(spark, target, newest_query("events", "updated_at"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobmetrics.functions.time_uuid import uuid_to_ts
@@ -41,6 +42,16 @@ def cassandra_table(keyspace: str, table: str) -> Table:
     return Table("org.apache.spark.sql.cassandra", {"keyspace": keyspace, "table": table})
 
 
+def read_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A Parquet table, None where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def tracking_scan(tracking: DataFrame) -> DataFrame:
     """Only the columns the job needs, so that the scan reads no others."""
     return tracking.select(*TRACKING_COLUMNS)

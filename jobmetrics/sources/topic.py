@@ -15,10 +15,10 @@ def topic_options(servers: str, topic: str, starting: str = "earliest") -> dict[
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Stream of ``value``, ``received_at``, ``offset`` (see ``streaming.decode``)."""
+    """Stream of ``value``, ``received_at``, ``offset``, ``partition`` (see ``streaming.decode``)."""
     raw = (
         spark.readStream.format("kafka")
         .options(**topic_options(servers, topic), **options)
         .load()
     )
-    return raw.select("value", F.col("timestamp").alias("received_at"), "offset")
+    return raw.select("value", F.col("timestamp").alias("received_at"), "offset", "partition")

@@ -1,16 +1,19 @@
 """A table written one micro-batch at a time.
 
 Each batch owns the directory ``batch=<id>`` and overwrites it, so a batch that is replayed
-after a failure replaces its own first attempt. The checkpoint lives inside the table's
-folder: whoever starts over with a new checkpoint starts a new table too, and batch numbers
-of two runs never meet.
+after a failure replaces its own first attempt. A finished batch is marked as done, which
+lets readers leave out the one being written. The checkpoint lives inside the table's folder:
+whoever starts over with a new checkpoint starts a new table too, and batch numbers of two
+runs never meet.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from jobmetrics.sources.tables import read_if_present
+
 ONCE = {"availableNow": True}
 
 
@@ -24,6 +27,8 @@ def start_log(
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(
             f"{path}/log/batch={batch_id}"
         )
+        mark = batch.sparkSession.range(1).select(F.current_timestamp().alias("done_at"))
+        mark.coalesce(1).write.mode("overwrite").parquet(f"{path}/done/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -37,3 +42,9 @@ def start_log(
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All batches; ``batch`` is a partition column."""
     return spark.read.schema(f"{schema}, batch BIGINT").parquet(f"{path}/log")
+
+
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """Number of the last batch that is done; all before it are done too."""
+    done = read_if_present(spark, f"{path}/done", "done_at TIMESTAMP, batch BIGINT")
+    return None if done is None else done.agg(F.max("batch")).first()[0]

@@ -14,11 +14,13 @@ from jobmetrics.functions.time_uuid import is_time_uuid, time_of
 from jobmetrics.functions.values import text_to_double
 from jobmetrics.schemas import MESSAGE_FIELDS, MESSAGE_NUMBERS
 
+# Where and when the topic took a message in.
+POSITION = ["received_at", "offset", "partition"]
 _CORRUPT = "_corrupt"
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """``value``, ``received_at``, ``offset`` to the message fields plus
+    """``value``, ``received_at``, ``offset`` and ``partition`` to the message fields plus
 
     ``reject_reason`` (``malformed_json``, ``not_numeric``, ``bad_create_time``, NULL for a
     good message), ``raw`` (the text of a rejected message) and ``dates`` (the day of a good one).
@@ -26,7 +28,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     layout = ", ".join(f"{name} STRING" for name in [*MESSAGE_FIELDS, _CORRUPT])
     message = F.from_json("_text", layout, {"columnNameOfCorruptRecord": _CORRUPT})
     parsed = messages.select(
-        "received_at", "offset", F.col("value").cast("string").alias("_text")
+        *POSITION, F.col("value").cast("string").alias("_text")
     ).withColumn("_m", message)
     # Each step is a projection of its own, so that what it computes is computed once.
     number = {n: text_to_double(F.col(f"_m.{n}")).alias(n) for n in MESSAGE_NUMBERS}
@@ -50,8 +52,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     )
     judged = typed.withColumn("reject_reason", reason).select(
         *MESSAGE_FIELDS,
-        "received_at",
-        "offset",
+        *POSITION,
         "reject_reason",
         F.when(F.col("reject_reason").isNotNull(), F.col("_text")).alias("raw"),
         F.when(F.col("reject_reason").isNull(), F.to_date(time_of(key))).alias("dates"),
@@ -68,5 +69,5 @@ def accepted(decoded: DataFrame) -> DataFrame:
 def rejected(decoded: DataFrame) -> DataFrame:
     """Dead letters: the reason and the whole text of each rejected message."""
     return decoded.filter(F.col("reject_reason").isNotNull()).select(
-        "received_at", "offset", "reject_reason", "raw"
+        *POSITION, "reject_reason", "raw"
     )

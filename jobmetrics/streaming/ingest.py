@@ -8,16 +8,16 @@ a day of data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobmetrics import schemas
 from jobmetrics.operators.upsert import latest_by_key
 from jobmetrics.streaming.batch_log import ONCE, read_log, start_log
-from jobmetrics.streaming.decode import decode_messages
+from jobmetrics.streaming.decode import POSITION, decode_messages
 
 _LAYOUT = (
-    f"{schemas.MESSAGE}, received_at TIMESTAMP, offset BIGINT, reject_reason STRING, "
+    f"{schemas.MESSAGE}, received_at TIMESTAMP, offset BIGINT, partition INT, reject_reason STRING, "
     "raw STRING, outcome STRING, dates DATE"
 )
 
@@ -33,20 +33,20 @@ def _rows(spark: SparkSession, path: str, outcome: str) -> DataFrame:
     return read_log(spark, path, _LAYOUT).filter(F.col("outcome") == outcome)
 
 
-def read_versions(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
-    """Every accepted message, in no order; enough to see which times there are."""
+def read_versions(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """Every accepted message, up to a batch, with its ``batch`` and ``dates``."""
     rows = _rows(spark, path, "accepted")
-    if since is not None:
-        rows = rows.filter(F.col("dates") >= since)
-    return rows.select(*schemas.MESSAGE_FIELDS, "dates", "received_at", "offset")
+    if upto is not None:
+        rows = rows.filter(F.col("batch") <= upto)
+    return rows.select(*schemas.MESSAGE_FIELDS, "dates", *POSITION, "batch")
 
 
-def read_tracking(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+def read_tracking(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
     """The event table: one row per key, the last one received; ``dates`` for pruning."""
     # The day follows from the key. Naming both lets a filter on the day pass the window.
-    latest = latest_by_key(read_versions(spark, path, since), key=("dates", "create_time"))
+    latest = latest_by_key(read_versions(spark, path, upto), key=("dates", "create_time"))
     return latest.select(*schemas.MESSAGE_FIELDS, "dates")
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    return _rows(spark, path, "rejected").select("received_at", "offset", "reject_reason", "raw")
+    return _rows(spark, path, "rejected").select(*POSITION, "reject_reason", "raw")

@@ -6,6 +6,7 @@ from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
 from jobmetrics.sinks.fact_lake import read_fact, replace_days, replace_fact
 from jobmetrics.sources import fixtures
 from jobmetrics.sources.tables import TRACKING_COLUMNS
+from jobmetrics.streaming import ingest
 
 
 def test_load_job(spark, sf_dir, tracking, job_dim, tmp_path):
@@ -25,6 +26,21 @@ def test_load_job(spark, sf_dir, tracking, job_dim, tmp_path):
     assert rows_of(read_fact(spark, f"{store}/facts").select(*FACT_COLUMNS)) == want
 
 
+def test_load_job_from_a_lake(spark, sf_dir, tracking, job_dim, tmp_path):
+    source, lake, jobs, store = (str(tmp_path / n) for n in ("in", "lake", "jobs", "store"))
+    fixtures.job(spark, sf_dir).write.parquet(jobs)
+    fixtures.messages(tracking).drop("event_id", "copy").write.parquet(source)
+    stream = spark.readStream.schema(
+        "value string, received_at timestamp, offset long, partition int"
+    )
+    ingest.start_ingest(stream.parquet(source), lake).awaitTermination()
+    argv = ["--lake", lake, "--jobs", f"path={jobs}", "--store", store]
+    assert load_fact.main(argv, spark) is True
+    assert load_fact.main(argv, spark) is False
+    got = read_fact(spark, f"{store}/facts").select(*FACT_COLUMNS)
+    assert rows_of(got) == rows_of(build_fact(ingest.read_tracking(spark, lake), job_dim))
+
+
 def _files_per_day(path):
     return {day.name: len(list(day.glob("*.parquet"))) for day in path.glob("dates=*")}
 

@@ -8,13 +8,13 @@ from jobmetrics.operators.numbering import assign_by_draw, dense_index, with_sur
 from jobmetrics.operators.upsert import latest_by_key, upsert
 from jobmetrics.plans.fact import build_fact
 
-VERSIONS = "create_time string, bid double, received_at timestamp, offset long"
+VERSIONS = "create_time string, bid double, received_at timestamp, offset long, partition int"
 
 
-def _version(key, bid, second, offset):
+def _version(key, bid, second, offset, partition=0):
     from datetime import datetime
 
-    return (key, bid, datetime(2024, 1, 1, 0, 0, second), offset)
+    return (key, bid, datetime(2024, 1, 1, 0, 0, second), offset, partition)
 
 
 def test_last_write_wins_also_with_null(spark):
@@ -27,6 +27,12 @@ def test_last_write_wins_also_with_null(spark):
     assert merged == {"a": None, "b": 1.0, "c": 2.0}
 
 
+def test_copies_of_one_moment_are_ordered_by_partition(spark):
+    rows = spark.createDataFrame([_version("a", float(p), 5, 3, p) for p in range(4)], VERSIONS)
+    for parts in (1, 4):
+        assert latest_by_key(rows.repartition(parts)).first()["bid"] == 3.0
+
+
 def test_upsert_twice_is_upsert_once(spark):
     new = spark.createDataFrame([_version("a", 2.0, 5, 3), _version("b", 1.0, 4, 2)], VERSIONS)
     once = upsert(new, new)
@@ -40,6 +46,7 @@ def test_copies_of_a_key_are_dropped_before_the_shuffle(spark):
         F.col("id").cast("double").alias("bid"),
         F.timestamp_seconds(F.col("id")).alias("received_at"),
         F.col("id").alias("offset"),
+        F.lit(0).alias("partition"),
     )
     latest = latest_by_key(hot)
     plan = plan_of(latest)

@@ -43,9 +43,9 @@ def test_table_reads_declared_columns(spark, tracking, tmp_path):
     tracking.write.parquet(path)
     table = tables.Table("parquet", {"path": path})
     assert table.load(spark, tables.TRACKING_COLUMNS).columns == tables.TRACKING_COLUMNS
-    store = tables.cassandra_table("logs", "tracking")
+    store = tables.cassandra_table("lake", "tracking")
     assert store.format == "org.apache.spark.sql.cassandra"
-    assert store.options == {"keyspace": "logs", "table": "tracking"}
+    assert store.options == {"keyspace": "lake", "table": "tracking"}
 
 
 def test_csv_round_trip_and_rejects(spark, tracking, tmp_path):
@@ -76,13 +76,15 @@ def test_csv_with_other_columns_is_refused(spark, tmp_path):
 
 
 def test_jdbc_options():
-    target = jdbc.JdbcTarget("jdbc:mysql://db:3306/outputdb", "com.mysql.cj.jdbc.Driver", "u", "p")
-    plain = jdbc.subquery_options(target, jdbc.WATERMARK_QUERY)
+    target = jdbc.JdbcTarget("jdbc:mysql://db:3306/warehouse", "com.mysql.cj.jdbc.Driver", "u", "p")
+    plain = jdbc.subquery_options(target, jdbc.newest_query("events", "updated_at"))
     assert plain["dbtable"] == "(SELECT MAX(updated_at) AS max_ts FROM events) t"
     assert "partitionColumn" not in plain and plain["user"] == "u"
-    split = jdbc.subquery_options(target, jdbc.JOB_QUERY, jdbc.Split("job_id", 1, 10**6, 32))
+    query = jdbc.dimension_query("company", "company_id", "name")
+    assert query == "SELECT id AS company_id, name FROM company"
+    split = jdbc.subquery_options(target, query, jdbc.Split("company_id", 1, 10**6, 32))
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"],
-            split["numPartitions"]) == ("job_id", "1", "1000000", "32")
+            split["numPartitions"]) == ("company_id", "1", "1000000", "32")
     written = warehouse.jdbc_write_options(target, "events", 8)
     assert (written["dbtable"], written["numPartitions"]) == ("events", "8")
 

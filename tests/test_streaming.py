@@ -16,13 +16,13 @@ from jobmetrics.streaming import dedup, hourly, ingest
 from jobmetrics.streaming.batch_log import start_log
 from jobmetrics.streaming.decode import accepted, decode_messages, rejected
 
-MESSAGE = "value string, received_at timestamp, offset long"
+MESSAGE = "value string, received_at timestamp, offset long, partition int"
 START = datetime(2024, 1, 1)
 
 
 @pytest.fixture(scope="module")
 def messages(tracking):
-    return fixtures.messages(tracking).select("value", "received_at", "offset")
+    return fixtures.messages(tracking).select("value", "received_at", "offset", "partition")
 
 
 def stream_of(spark, path, schema, **options):
@@ -30,7 +30,7 @@ def stream_of(spark, path, schema, **options):
 
 
 def decoded(spark, *values):
-    rows = [(v, START, i) for i, v in enumerate(values)]
+    rows = [(v, START, i, 0) for i, v in enumerate(values)]
     return decode_messages(spark.createDataFrame(rows, MESSAGE))
 
 
@@ -67,8 +67,8 @@ def test_message_states(spark, value, reason):
 
 
 def test_broken_text_is_rejected(spark):
-    df = spark.createDataFrame([(b'{"bid": "\xff\xfe"}', START, 0)],
-                               "value binary, received_at timestamp, offset long")
+    df = spark.createDataFrame([(b'{"bid": "\xff\xfe"}', START, 0, 0)],
+                               MESSAGE.replace("value string", "value binary"))
     assert decode_messages(df).first()["reject_reason"] == "malformed_json"
 
 
@@ -122,26 +122,52 @@ def test_days_are_pruned_below_the_choice_of_versions(spark, messages, tmp_path)
     source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
     messages.coalesce(1).write.parquet(source)
     ingest.start_ingest(stream_of(spark, source, MESSAGE), lake).awaitTermination()
-    tracking = ingest.read_tracking(spark, lake)
-    some = tracking.filter(F.col("dates") >= F.lit("2024-01-25").cast("date"))
-    assert "dates" in plan_of(some).split("PartitionFilters: [")[1].split("]")[0]
-    since = ingest.read_tracking(spark, lake, F.lit("2024-01-25").cast("date"))
-    assert rows_of(some) == rows_of(since)
+    some = ingest.read_tracking(spark, lake, 0).filter("dates >= date'2024-01-25'")
+    pruned = plan_of(some).split("PartitionFilters: [")[1].split("]")[0]
+    assert "dates" in pruned and "batch" in pruned and "outcome" in pruned
+
+
+def _end_state(spark, lake, job_dim):
+    return rows_of(build_fact(ingest.read_tracking(spark, lake), job_dim))
+
+
+def _stored(spark, store):
+    return rows_of(incremental.read_fact(spark, store.facts).select(*FACT_COLUMNS))
 
 
 def test_fact_follows_the_lake(spark, messages, job_dim, tmp_path):
-    """Messages arrive in waves, each wave is loaded; the end equals one load of everything."""
+    """Waves out of time order, with late events and changed ones: each load is complete."""
     source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
     store = incremental.FactStore(str(tmp_path / "store"))
-    for _ in _waves(messages, source):
+    assert not incremental.load_from_lake(spark, lake, job_dim, store)
+    again = F.col("offset") % 2 == 1
+    old = F.col("received_at") < F.lit("2024-01-15").cast("timestamp")
+    for wave in (~again & ~old, ~again & old, again):
+        messages.filter(wave).coalesce(1).write.mode("append").parquet(source)
+        ingest.start_ingest(stream_of(spark, source, MESSAGE), lake).awaitTermination()
+        assert incremental.load_from_lake(spark, lake, job_dim, store)
+        assert _stored(spark, store) == _end_state(spark, lake, job_dim)
+        assert not incremental.load_from_lake(spark, lake, job_dim, store)
+    before = _stored(spark, store)
+    assert incremental.load_from_lake(spark, lake, job_dim, store, full=True)
+    assert _stored(spark, store) == before
+
+
+def test_load_leaves_out_the_batch_being_written(spark, messages, job_dim, tmp_path):
+    source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    store = incremental.FactStore(str(tmp_path / "store"))
+    for wave in (F.col("offset") < 1000, F.col("offset") >= 1000):
+        messages.filter(wave).coalesce(1).write.mode("append").parquet(source)
         ingest.start_ingest(stream_of(spark, source, MESSAGE), lake).awaitTermination()
-        tracking = ingest.read_tracking(spark, lake)
-        keys = ingest.read_versions(spark, lake)
-        assert incremental.incremental_load(tracking, job_dim, store, keys=keys)
-        assert not incremental.incremental_load(tracking, job_dim, store, keys=keys)
-    got = incremental.read_fact(spark, store.facts).select(*FACT_COLUMNS)
-    want = build_fact(ingest.read_tracking(spark, lake), job_dim)
-    assert rows_of(got) == rows_of(want)
+    whole = _end_state(spark, lake, job_dim)
+    # The second batch has written some files but is not marked as done.
+    (tmp_path / "lake" / "done" / "batch=1").rename(tmp_path / "mark")
+    assert incremental.load_from_lake(spark, lake, job_dim, store)
+    assert incremental.loaded_batch(spark, store) == 0
+    assert _stored(spark, store) != whole
+    (tmp_path / "mark").rename(tmp_path / "lake" / "done" / "batch=1")
+    assert incremental.load_from_lake(spark, lake, job_dim, store)
+    assert _stored(spark, store) == whole
 
 
 def _tracking_rows(spark, hours, first_key=0):
