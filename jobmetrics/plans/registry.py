@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import TimestampType
 
 from jobmetrics import schemas
 from jobmetrics.functions.values import second_text, text_to_ts, weighted_choice
@@ -27,9 +28,13 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
+    """Register a query. Its times are given without a zone, in UTC, as the tables have them."""
+
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(prepare(spark), sf_dir)
+        df = function(prepare(spark), sf_dir)
+        zoned = [f.name for f in df.schema if isinstance(f.dataType, TimestampType)]
+        return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
     _QUERIES[function.__name__] = run
     return run

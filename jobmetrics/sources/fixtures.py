@@ -38,7 +38,8 @@ def _gap(modulus: int, value: Column) -> Column:
 def tracking(events: DataFrame) -> DataFrame:
     """Event-table rows, plus ``event_id`` and ``event_ts`` for checks."""
     event_ts = F.col("ts").cast("timestamp")
-    k = F.get_json_object("props", "$.k").cast("int")
+    # props is always {"k": <number>}; a pattern reads it several times faster than a parser.
+    k = F.regexp_extract("props", r'"k": *([0-9]+)', 1).try_cast("int")
     track = F.col("event_type")
     for name, event_type in EVENT_TYPE_OF.items():
         track = F.when(F.col("event_type") == name, event_type).otherwise(track)

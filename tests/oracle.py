@@ -38,7 +38,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 KINDS = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
-         "DATE": "date", "TIMESTAMP": "timestamp", "BOOLEAN": "boolean"}
+         "DATE": "date", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
 
 
 def compare(spark, sf_dir, query, sql) -> list[str]:

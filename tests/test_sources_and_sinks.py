@@ -85,8 +85,15 @@ def test_jdbc_options():
     split = jdbc.subquery_options(target, query, jdbc.Split("company_id", 1, 10**6, 32))
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"],
             split["numPartitions"]) == ("company_id", "1", "1000000", "32")
+
+
+def test_write_fact_jdbc_options():
+    target = jdbc.JdbcTarget("jdbc:mysql://db:3306/warehouse", "com.mysql.cj.jdbc.Driver", "u", "p")
     written = warehouse.jdbc_write_options(target, "events", 8)
-    assert (written["dbtable"], written["numPartitions"]) == ("events", "8")
+    assert (written["dbtable"], written["numPartitions"], written["batchsize"]) == (
+        "events", "8", "10000"
+    )
+    assert warehouse.GENERATED == ["id", "updated_at"]
 
 
 def test_topic_options():

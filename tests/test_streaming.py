@@ -185,7 +185,7 @@ def _hours(spark, path):
     return {r["hour"]: r["clicks"] for r in hourly.read_hourly(spark, path).collect()}
 
 
-def test_hourly_stream_updates_cells_and_drops_what_is_too_late(spark, tmp_path):
+def test_late_data_corrects_open_hours_only(spark, tmp_path):
     source, path = str(tmp_path / "in"), str(tmp_path / "out")
     schema = _tracking_rows(spark, []).schema
 
