@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Fixed values of the surrogate key: rows per hour it has room for, and hash buckets per hour.
-IDS_PER_HOUR = 10**12
+# Any hour a version 1 UUID can name (1582 to 5236) times the first stays within a BIGINT.
+IDS_PER_HOUR = 10**11
 BUCKETS = 256
 
 

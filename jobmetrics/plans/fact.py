@@ -29,10 +29,13 @@ FACT_COLUMNS = [
 def build_fact(
     tracking: DataFrame, job_dim: DataFrame, *extra: Column, source_name: str = SOURCE_NAME
 ) -> DataFrame:
-    """Fact rows of all events given. ``extra`` adds aggregates to each cell."""
+    """Fact rows of all events given. ``extra`` adds aggregates to each cell.
+
+    An id too large for the fact becomes NULL there; it must not stop the load of all others.
+    """
     hourly = hourly_metrics(tracking_clean(tracking), *extra)
     named = with_company(hourly, job_dim).withColumnsRenamed(_RENAMED)
-    ids = {name: F.col(name).cast("int") for name in _IDS}
+    ids = {name: F.col(name).try_cast("int") for name in _IDS}
     extras = [c for c in named.columns if c not in FACT_COLUMNS]
     return (
         named.withColumns(ids)

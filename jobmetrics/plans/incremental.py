@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from jobmetrics.functions.time_uuid import uuid_to_ts
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans.fact import SOURCE_NAME, build_fact
-from jobmetrics.sinks.fact_lake import read_fact, replace_days, replace_fact
+from jobmetrics.sinks.fact_lake import replace_days, replace_fact
 from jobmetrics.sources.tables import read_if_present
 from jobmetrics.streaming import ingest
 from jobmetrics.streaming.batch_log import last_batch
@@ -111,8 +111,10 @@ def _newest(tracking: DataFrame) -> int | None:
 def _record(
     spark: SparkSession, store: FactStore, newest: int | None, batch: int | None = None
 ) -> None:
+    # An event dated in the future must not hold up the events until then.
+    through = F.least(as_ts(NEVER_LOADED if newest is None else newest), F.current_timestamp())
     row = spark.range(1).select(
-        as_ts(NEVER_LOADED if newest is None else newest).alias("loaded_through"),
+        through.alias("loaded_through"),
         F.lit(batch).cast("long").alias("loaded_batch"),
         F.current_timestamp().alias("loaded_at"),
     )

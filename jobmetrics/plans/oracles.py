@@ -1,8 +1,8 @@
 """DuckDB twins of the registered queries, written apart from them.
 
 They start from the given tables, count each event type on its own and join the four counts,
-and say which messages are good by the rules that made them rather than by parsing JSON. Amounts are rounded like in the
-queries (see ``registry.rounded``).
+and say which messages are good by the rules that made them rather than by parsing JSON.
+Amounts are rounded like in the queries (see ``registry.rounded``).
 """
 
 from __future__ import annotations
@@ -113,7 +113,7 @@ _SURROGATE = {
           1, 2))::bigint as bucket
         from fact""",
     "numbered": """
-        select *, (datediff('day', date '1970-01-01', dates) * 24 + hours) * 1000000000000
+        select *, (datediff('day', date '1970-01-01', dates) * 24 + hours) * 100000000000
           + (row_number() over (partition by dates, hours, bucket
              order by job_id, publisher_id, campaign_id, group_id) - 1) * 256 + bucket + 1 as id
         from bucketed""",
@@ -197,6 +197,22 @@ def _latest(more: str = "") -> str:
     )
 
 
+def _fact_from_messages() -> str:
+    """The fact of the last good version of each key."""
+    last = {
+        "last_sent": """
+            select * from messages m where reject_reason is null and not exists (
+              select 1 from messages l where l.create_time = m.create_time
+                and l.reject_reason is null and l."offset" > m."offset")""",
+        "decoded": _CTES["decoded"].replace("from tracking", "from last_sent"),
+        "clean": _CTES["clean"],
+        "job": _CTES["job"],
+    }
+    return _with(
+        f"select {_FACT_COLUMNS} from fact", *_SENT, **last, **_metrics_ctes(), **_FACT
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     newest = "(select max(ts) from decoded)"
     return {
@@ -319,6 +335,7 @@ def oracle_sql() -> dict[str, str]:
             *_SENT),
         "tracking_upsert": _latest(),
         "stream_ingest": _latest(", cast(event_ts as date) as dates"),
+        "fact_from_messages": _fact_from_messages(),
         "stream_dedup": _with(
             "select distinct create_time, custom_track, job_id, publisher_id, campaign_id, "
             "group_id from messages where reject_reason is null", *_SENT),

@@ -15,6 +15,7 @@ from jobmetrics.plans import incremental
 from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
 from jobmetrics.session import prepare, scratch_path
 from jobmetrics.sinks import topic
+from jobmetrics.sinks.fact_lake import read_fact
 from jobmetrics.sources import csv, fixtures, tables
 from jobmetrics.streaming import batch_log, decode, dedup, hourly, ingest
 
@@ -233,7 +234,7 @@ def incremental_load(spark, sf_dir):
     tracking, dim = _tracking(spark, sf_dir), _job_dim(spark, sf_dir)
     incremental.incremental_load(_before_first_load(tracking), dim, store)
     incremental.incremental_load(tracking, dim, store)
-    stored = incremental.read_fact(spark, store.facts)
+    stored = read_fact(spark, store.facts)
     return _money(stored.select("id", *FACT_COLUMNS))
 
 
@@ -385,6 +386,16 @@ def stream_ingest(spark, sf_dir):
     return ingest.read_tracking(spark, path)
 
 
+@_query
+def fact_from_messages(spark, sf_dir):
+    """From messages to the fact: ingest, last write per key, load of the batches that came."""
+    lake, store = scratch_path(spark, "ingest"), incremental.FactStore(scratch_path(spark, "fact"))
+    sent = fixtures.messages(fixtures.tracking(fixtures.events_stream(spark, sf_dir)))
+    ingest.start_ingest(sent, lake).awaitTermination()
+    incremental.load_from_lake(spark, lake, _job_dim(spark, sf_dir), store)
+    return _money(read_fact(spark, store.facts).select(*FACT_COLUMNS))
+
+
 @_query
 def stream_dedup(spark, sf_dir):
     """The columns in which all copies agree; which copy comes first is up to the stream."""

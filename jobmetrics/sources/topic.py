@@ -15,7 +15,7 @@ def topic_options(servers: str, topic: str, starting: str = "earliest") -> dict[
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Stream of ``value``, ``received_at``, ``offset``, ``partition`` (see ``streaming.decode``)."""
+    """Stream of messages with their place in the topic, as ``streaming.decode`` takes them."""
     raw = (
         spark.readStream.format("kafka")
         .options(**topic_options(servers, topic), **options)

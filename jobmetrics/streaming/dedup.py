@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def first_copies(
-    events: DataFrame, event_time: str, lateness: str, spread: Column | None = None
+    events: DataFrame,
+    event_time: str,
+    lateness: str,
+    spread: Column | None = None,
+    ahead: str = "1 hour",
 ) -> DataFrame:
     """Drop copies of a key that arrive within ``lateness`` of its first copy.
 
     ``spread`` (a small integer that differs among copies) splits the copies of a key over
     several tasks first; then each key sends at most one row per value of it. Use it where
     some key has very many copies; it doubles the state.
+
+    Events dated more than ``ahead`` after the clock are left out: a single one would move the
+    watermark past all events to come.
     """
-    rows = events.withWatermark(event_time, lateness)
+    possible = F.col(event_time) <= F.current_timestamp() + F.expr(f"INTERVAL {ahead}")
+    rows = events.filter(possible).withWatermark(event_time, lateness)
     if spread is not None:
         rows = rows.withColumn("_spread", spread)
         rows = rows.dropDuplicatesWithinWatermark(["create_time", "_spread"]).drop("_spread")

@@ -17,8 +17,8 @@ from jobmetrics.streaming.batch_log import ONCE, read_log, start_log
 from jobmetrics.streaming.decode import POSITION, decode_messages
 
 _LAYOUT = (
-    f"{schemas.MESSAGE}, received_at TIMESTAMP, offset BIGINT, partition INT, reject_reason STRING, "
-    "raw STRING, outcome STRING, dates DATE"
+    f"{schemas.MESSAGE}, received_at TIMESTAMP, offset BIGINT, partition INT, "
+    "reject_reason STRING, raw STRING, outcome STRING, dates DATE"
 )
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from jobmetrics.functions.time_uuid import ts_to_uuid
 from jobmetrics.operators import audit, clean, enrich, metrics, reports
+from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
 
 NAN = float("nan")
@@ -66,7 +67,9 @@ def test_hour_edges_and_unknown_types(spark):
     ])
     ready = clean.tracking_clean(rows)
     cells = {
-        (str(r["date"]), r["hour"]): (r["clicks"], r["spend_hour"], r["qualified"], r["unqualified"])
+        (str(r["date"]), r["hour"]): (
+            r["clicks"], r["spend_hour"], r["qualified"], r["unqualified"]
+        )
         for r in metrics.hourly_metrics(ready).collect()
     }
     assert cells == {
@@ -101,6 +104,16 @@ def test_fractional_ids_do_not_match_a_job(spark):
     assert build_fact(rows, dim).first()["company_id"] is None
 
 
+def test_ids_beyond_an_integer_do_not_stop_the_fact(spark, job_dim):
+    rows = make(spark, [
+        ("2024-01-01 10:00:00", job, "click", 1.0, 1.0, 1.0, 1.0)
+        for job in (float("inf"), 1e18, 5.0)
+    ])
+    fact = with_surrogate(build_fact(rows, job_dim)).collect()
+    assert sorted(str(r["job_id"]) for r in fact) == ["5", "None", "None"]
+    assert len({r["id"] for r in fact}) == 3
+
+
 def test_empty_input(spark, job_dim):
     empty = make(spark, [])
     assert build_fact(empty, job_dim).count() == 0

@@ -8,6 +8,7 @@ from jobmetrics.operators.clean import decode_events
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans import incremental
 from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
+from jobmetrics.sinks.fact_lake import read_fact
 from jobmetrics.sources.tables import latest_event_time
 
 COLUMNS = ["id", *FACT_COLUMNS]
@@ -19,7 +20,7 @@ def store(tmp_path):
 
 
 def stored(spark, store):
-    return rows_of(incremental.read_fact(spark, store.facts).select(*COLUMNS))
+    return rows_of(read_fact(spark, store.facts).select(*COLUMNS))
 
 
 def whole(tracking, job_dim):
@@ -67,14 +68,22 @@ def test_late_events_need_a_look_back(spark, tracking, job_dim, store):
 
 def test_days_before_the_watermark_are_left_alone(spark, tracking, job_dim, store):
     incremental.incremental_load(until(tracking, "2024-01-10 12:00:00"), job_dim, store)
-    old = incremental.read_fact(spark, store.facts).filter("dates < date'2024-01-10'")
+    old = read_fact(spark, store.facts).filter("dates < date'2024-01-10'")
     before = rows_of(old.select("id", "updated_at"))
     incremental.incremental_load(tracking, job_dim, store)
     spark.catalog.refreshByPath(store.facts)
-    old = incremental.read_fact(spark, store.facts).filter("dates < date'2024-01-10'")
+    old = read_fact(spark, store.facts).filter("dates < date'2024-01-10'")
     assert rows_of(old.select("id", "updated_at")) == before
 
 
+def test_event_from_the_future_does_not_stop_loads(spark, tracking, job_dim, store):
+    future = F.when(F.col("event_id") == 5, F.lit("ffffffff-ffff-1fff-8000-000000000005"))
+    odd = tracking.withColumn("create_time", F.coalesce(future, F.col("create_time")))
+    incremental.incremental_load(until(odd, "2024-01-10 12:00:00"), job_dim, store)
+    assert incremental.incremental_load(odd, job_dim, store, look_back=timedelta(days=9999))
+    assert stored(spark, store) == whole(odd, job_dim)
+
+
 def test_empty_source_loads_nothing(spark, tracking, job_dim, store):
     nothing = tracking.filter("false")
     assert not incremental.incremental_load(nothing, job_dim, store)

@@ -11,6 +11,7 @@ from jobmetrics.operators.upsert import latest_by_key
 from jobmetrics.plans import incremental
 from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
 from jobmetrics.schemas import MESSAGE_FIELDS
+from jobmetrics.sinks.fact_lake import read_fact
 from jobmetrics.sources import fixtures
 from jobmetrics.streaming import dedup, hourly, ingest
 from jobmetrics.streaming.batch_log import start_log
@@ -132,7 +133,7 @@ def _end_state(spark, lake, job_dim):
 
 
 def _stored(spark, store):
-    return rows_of(incremental.read_fact(spark, store.facts).select(*FACT_COLUMNS))
+    return rows_of(read_fact(spark, store.facts).select(*FACT_COLUMNS))
 
 
 def test_fact_follows_the_lake(spark, messages, job_dim, tmp_path):
@@ -203,6 +204,9 @@ def test_late_data_corrects_open_hours_only(spark, tmp_path):
     assert arrive([9.0], 20) == {0: 3, 1: 1, 2: 1, 9: 1}
     # Hour 0 is closed by now.
     assert arrive([0.4, 8.5], 30) == {0: 3, 1: 1, 2: 1, 8: 1, 9: 1}
+    # A date far in the future closes nothing.
+    arrive([24 * 365 * 200], 40)
+    assert arrive([9.5], 50) == {0: 3, 1: 1, 2: 1, 8: 1, 9: 2}
 
 
 def test_hourly_stream_equals_batch(spark, tracking, tmp_path):
