@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from jobmetrics.operators.clean import tracking_clean
+from jobmetrics.operators.enrich import with_company
 from jobmetrics.operators.metrics import hourly_metrics, hourly_metrics_joined
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans.fact import build_fact
@@ -75,6 +76,38 @@ def test_dimension_too_big_to_broadcast(spark, lake, job_dim):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_hot_job_is_split_when_the_dimension_is_too_big(spark):
+    """A third of the cells on one job, and no broadcast: adaptive execution splits that job."""
+    cells = spark.range(120000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") % 5000 + 10.0).alias("job_id"),
+        F.col("id").alias("clicks"),
+    )
+    dim = spark.range(20000).select(
+        F.col("id").cast("int").alias("job_id"), (F.col("id") % 100).alias("company_id")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = with_company(cells, dim)
+        rows = joined.collect()
+        plan = plan_of(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == 120000
+    assert all(r["company_id"] == int(r["job_id"]) % 100 for r in rows)
+
+
 def test_latest_hours_keeps_only_the_top_rows(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan_of(contract.queries()["fact_latest"](spark, sf_dir))
 
