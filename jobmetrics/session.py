@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings every job relies on. Partition counts and memory stay with the cluster.
+# Runtime settings every job relies on. Memory stays with the cluster.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +17,9 @@ RUNTIME_CONF = {
 # Streaming state grows with the open windows, so it lives in RocksDB, not on the heap.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+SHUFFLE = "spark.sql.shuffle.partitions"
+FIRST_SHUFFLE = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _local_scratch: list[tempfile.TemporaryDirectory] = []
 
 
@@ -28,13 +31,22 @@ def build_session(app_name: str = "jobmetrics", **conf: str) -> SparkSession:
     builder = builder.config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built.
+
+    Where nobody has chosen a number of shuffle partitions, start with four per core of the
+    cluster: adaptive execution merges partitions that are too small, but cannot cut an
+    evenly filled one that is too large.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    default = 200
+    if spark.conf.get(SHUFFLE) == str(default) and spark.conf.get(FIRST_SHUFFLE, None) is None:
+        per_core = 4 * spark.sparkContext.defaultParallelism
+        spark.conf.set(FIRST_SHUFFLE, str(max(default, per_core)))
     return spark
 
 

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows_of
 
 from jobmetrics import schemas
-from jobmetrics.session import scratch_path
+from jobmetrics.session import FIRST_SHUFFLE, SHUFFLE, prepare, scratch_path
 from jobmetrics.sinks import catalog, topic as topic_sink, warehouse
 from jobmetrics.sources import csv, jdbc, tables, topic
 from jobmetrics.sources.fixtures import messages
@@ -114,6 +114,24 @@ def test_fixture_messages_are_json_for_other_readers(tracking):
         assert set(json.loads(row["value"])) == set(schemas.column_names(schemas.MESSAGE))
 
 
+def test_shuffle_partitions_follow_the_cluster():
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    def first(cores, **conf):
+        settings = Conf({SHUFFLE: "200"} | conf)
+        prepare(SimpleNamespace(
+            conf=settings, sparkContext=SimpleNamespace(defaultParallelism=cores)
+        ))
+        return settings.get(FIRST_SHUFFLE)
+
+    assert first(8) == "200"
+    assert first(4000) == "16000"
+    assert first(4000, **{SHUFFLE: "9000"}) is None
+    assert first(4000, **{FIRST_SHUFFLE: "5000"}) == "5000"
+
+
 def test_scratch_is_in_the_shared_folder():
     def session(**conf):
         return SimpleNamespace(conf=conf)
