@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
@@ -82,18 +83,23 @@ def range_of(column: str, bounds: Sequence[int]) -> Column:
 
     Two steps of about sqrt(n) comparisons each: first the block of bounds, then within it.
     """
-    key = F.coalesce(F.col(column), F.lit(LOWEST))
     if not bounds:
         return F.lit(0)
+    key = F.coalesce(F.col(column), F.lit(LOWEST))
     step = max(1, int(len(bounds) ** 0.5))
     blocks = [list(bounds[i:i + step]) for i in range(0, len(bounds), step)]
-    firsts = F.array(*[F.lit(b[0]) for b in blocks])
-    nested = F.array(*[F.array(*[F.lit(x) for x in b]) for b in blocks])
-    block = F.size(F.filter(firsts, lambda x: x <= key)) - 1
-    inner = F.element_at(nested, F.greatest(block, F.lit(0)) + 1)
+    firsts, nested = [b[0] for b in blocks], blocks
+    block = F.size(F.filter(long_array(firsts), lambda x: x <= key)) - 1
+    inner = F.element_at(long_array(nested), F.greatest(block, F.lit(0)) + 1)
     return F.greatest(block, F.lit(0)) * step + F.size(F.filter(inner, lambda x: x <= key)) - 1
 
 
+def long_array(values: Sequence) -> Column:
+    """A literal array (or array of arrays) of long numbers, which takes one node of the plan."""
+    kind = "array<array<bigint>>" if values and isinstance(values[0], list) else "array<bigint>"
+    return F.from_json(F.lit(json.dumps(list(values))), kind)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmetrics.llm import chunked_bpe, packing, token_files
+from jobmetrics.llm import chunked_bpe, fingerprints, packing, token_files
 from jobmetrics.llm.common import prepared
 from jobmetrics.session import scratch_path
 
@@ -33,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_and_edit(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, end_id=0)
