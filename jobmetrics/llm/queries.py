@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmetrics.llm import chunked_bpe, fingerprints, packing, token_files
+from jobmetrics.llm import chunked_bpe, fingerprints, html_density, packing, token_files
 from jobmetrics.llm.common import prepared
 from jobmetrics.session import scratch_path
 
@@ -38,6 +38,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_and_edit(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.main_text(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, end_id=0)
