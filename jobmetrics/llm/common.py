@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -126,5 +127,9 @@ def map_rows(df: DataFrame, function: Callable[[Batches], Iterable[list[tuple]]]
     return df.mapInArrow(run, ddl)
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 def crc(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import chunked_bpe, fingerprints, html_density, packing, token_files
-from jobmetrics.llm.common import prepared
+from jobmetrics.llm import chunked_bpe, fingerprints, html_density, language, packing, quality, token_files
+from jobmetrics.llm.common import held_out, prepared
 from jobmetrics.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,11 +38,28 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_and_edit(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, kept_back = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    languages = language.learn(docs, ~kept_back)
+    return language.with_language(docs.select("doc_id", "text"), languages).select(
+        "doc_id", kept_back.alias("held_out"), F.col("mixture.lang").alias("lang_pred"), "mixture.score",
+        "mixture.proportion", "mixture.languages")
+
+
 @_query
 def op3_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.main_text(table(spark, sf_dir, "pages"))
 
 
+@_query
+def op4_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, kept_back = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    ranking = quality.learn(docs, table(spark, sf_dir, "labels"), ~kept_back)
+    return quality.with_score(docs.select("doc_id", "text"), ranking).select(
+        "doc_id", kept_back.alias("held_out"), "score", quality.is_good().cast("int").alias("predicted"))
+
+
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, end_id=0)
