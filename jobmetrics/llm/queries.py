@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import chunked_bpe, fingerprints, html_density, language, packing, quality, token_files
+from jobmetrics.llm import chunked_bpe, fingerprints, html_density, language, packing, quality, token_files, toxicity
 from jobmetrics.llm.common import held_out, prepared
 from jobmetrics.session import scratch_path
 
@@ -77,5 +77,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+@_query
+def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, kept_back = table(spark, sf_dir, "documents"), held_out("doc_id", 3, 1)
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~kept_back)
+    return toxicity.with_toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id", kept_back.alias("held_out"), "toxicity.score",
+        (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "toxicity.spans")
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
