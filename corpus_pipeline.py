@@ -2,22 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from jobmetrics.llm import packing
-from jobmetrics.llm.common import prepared, stored
+from jobmetrics.llm import language, minhash, packing, quality
+from jobmetrics.llm.common import held_out, prepared, stored
 from jobmetrics.llm.queries import PATTERN, VOCABULARY
 
+# A document is one language's if that language has at least this share of it.
+LEAST_PROPORTION = 0.5
+
+
+def spare_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold of the ranking learned from ``labels``."""
+    labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    ranking = quality.learn(docs, labels, ~held_out("doc_id", 4, 2))
+    score = spare_name(docs, "score")
+    return quality.with_score(docs, ranking, score).where(quality.is_good(score)).select(*docs.columns)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters that are mostly in one of the languages learned."""
+    prepared(spark)
+    languages = language.learn(docs, ~held_out("doc_id", 4, 2))
+    found = spare_name(docs, "mixture")
+    known = (F.col(f"{found}.lang") != language.UNDETERMINED) & (F.col(f"{found}.proportion") >= LEAST_PROPORTION)
+    return language.with_language(docs, languages, found).where(known).select(*docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near-duplicates, and of rows with one id one.
+
+    Rows without an id belong to no group and stay.
+    """
+    prepared(spark)
+    kept = (minhash.near_duplicates(docs, width=5).where(F.col("kept") & F.col("doc_id").isNotNull())
+            .select("doc_id").distinct())
+    number = spare_name(docs, "number")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    first = (docs.join(kept, "doc_id", "left_semi").withColumn(number, F.row_number().over(order))
+             .where(F.col(number) == 1).select(*docs.columns))
+    return first.union(docs.where(F.col("doc_id").isNull()))
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 4 of 4: what the earlier stages kept, in windows of 1024 ids."""
+    """What the earlier stages kept, in windows of 1024 ids."""
     prepared(spark)
     return packing.pack(docs, VOCABULARY, PATTERN, end_id=0)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("quality", good_quality),
+    ("language", known_language),
+    ("near-duplicates", without_near_duplicates),
+    ("packing", pack),
+]
 
-# The stages learn models or tokenize, which SQL cannot express.
+# Stages learn models and tokenize, which SQL cannot express.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import chunked_bpe, fingerprints, html_density, language, minhash, packing, quality, token_files, toxicity
+from jobmetrics.llm import chunked_bpe, embeddings, fingerprints, html_density, language, minhash, packing, quality, token_files, toxicity
 from jobmetrics.llm.common import held_out, prepared
 from jobmetrics.session import scratch_path
 
@@ -70,6 +70,11 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+@_query
+def op7_itq_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 @_query
 def op8_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.encode_and_decode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
