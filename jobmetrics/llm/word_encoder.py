@@ -10,10 +10,17 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice, pairwise
 
-WORDS_KEPT = 300_000
+import numpy as np
+
+WORDS_KEPT = 400_000
+# Pre-tokens put together for one call.
+JOINED = 256
+# The byte-level vocabulary's character for a space.
+SPACE = "\u0120"
 
 
 def _plain_pattern() -> tuple[str, str]:
@@ -40,37 +47,60 @@ class WordEncoder:
         self.words = regex.compile(pattern).findall
         characters, plain = _plain_pattern()
         self.is_plain, self.plain_words = re.compile(characters).fullmatch, re.compile(plain).findall
-        self.known: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.begins = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE) for i in range(size)])
+        self.known = _Known()
         self.kept = kept
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [(self.plain_words if self.is_plain(t) else self.words)(t) for t in texts]
-        new = set(chain.from_iterable(split)).difference(self.known)
-        ids = self.known
-        if new:
-            found = self.ids_of(list(new))
-            if len(ids) + len(found) <= self.kept:
-                ids.update(found)
-            else:
-                room = self.kept - len(ids)
-                ids = _Both(found, ids)
-                self.known.update(list(found.items())[:max(0, room)])
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
-
-    def ids_of(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: b"".join(i.to_bytes(4, "little") for i in e.ids) for w, e in zip(words, found)}
-
-
-class _Both(dict):
-    """The first dictionary, then the second."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key: str) -> bytes:
-        return self.second[key]
+        self.known.missed = set()
+        ids = [list(map(self.known.__getitem__, words)) for words in split]
+        if self.known.missed:
+            fresh = self.ids_of(self.known.missed)
+            for words, found in zip(split, ids):
+                put_in(found, words, fresh)
+            self.known.update(islice(fresh.items(), max(0, self.kept - len(self.known))))
+        return list(map(b"".join, ids))
+
+    def ids_of(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens. Those of a space and letters are put together into longer texts,
+        as the pattern parts them again and an id whose token begins with a space begins each."""
+        spaced = [w for w in words if w[0] == " " and w[1:].isalpha() and self.is_plain(w)]
+        joined = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
+        found = {}
+        for group, e in zip(joined, self.tokenizer.encode_batch_fast(["".join(g) for g in joined],
+                                                                     add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            at = np.flatnonzero(self.begins[ids])
+            if len(at) != len(group):
+                raise ValueError("pre-tokens were not parted as they were put together")
+            data, at = ids.tobytes(), [*(at * 4).tolist(), len(ids) * 4]
+            found.update(zip(group, [data[a:b] for a, b in pairwise(at)]))
+        rest = list(words.difference(found))
+        for word, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            found[word] = array("I", e.ids).tobytes()
+        return found
+
+
+class _Known(dict):
+    """Ids that are kept; None for others, which are noted."""
+
+    missed: set[str]
+
+    def __missing__(self, word: str) -> None:
+        self.missed.add(word)
+
+
+def put_in(found: list[bytes | None], words: list[str], fresh: dict[str, bytes]) -> None:
+    """Fills the gaps of ``found``."""
+    at = -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            found[at] = fresh[words[at]]
+    except ValueError:  # no gap is left
+        return
 
 
 @lru_cache(maxsize=2)
