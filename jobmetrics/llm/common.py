@@ -72,11 +72,12 @@ def id_bounds(df: DataFrame, column: str, parts: int) -> list[int]:
     """
     key = F.coalesce(F.col(column), F.lit(LOWEST))
     steps = [i / parts for i in range(parts)]
-    found = df.agg(F.min(key).alias("low"),
-                   F.percentile_approx(key, steps, max(10_000, 20 * parts)).alias("cuts")).first()
-    if found["low"] is None:
+    cuts = df.agg(F.percentile_approx(key, steps, max(10_000, 20 * parts)).alias("cuts")).first()["cuts"]
+    if not cuts:
         return []
-    return sorted({found["low"], *found["cuts"]})
+    # Quantiles go through doubles, so large ids come back rounded: take the first id of each range.
+    ranges = df.select(range_of(column, sorted({LOWEST, *cuts})).alias("range"), key.alias("key"))
+    return sorted(row["first"] for row in ranges.groupBy("range").agg(F.min("key").alias("first")).collect())
 
 
 def range_of(column: str, bounds: Sequence[int]) -> Column:
