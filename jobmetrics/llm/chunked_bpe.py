@@ -69,14 +69,18 @@ def encode_chunk(c: Codec, text: str, first: bool, last: bool, size: int, overla
     end_of_head = 0 if first else int(np.searchsorted(starts, overlap, "right"))
     begin_of_tail = len(words) if last else int(np.searchsorted(starts, size, "left"))
     begin_of_tail = max(begin_of_tail, end_of_head)
+    # White space that ends a text is one match, but several before a word: so not in one piece.
+    single = begin_of_tail
+    while not last and single > end_of_head and words[single - 1].isspace():
+        single -= 1
     parts = [c.encode(w) for w in words[:end_of_head]]
-    parts.append(c.encode("".join(words[end_of_head:begin_of_tail])))
-    parts += [c.encode(w) for w in words[begin_of_tail:]]
+    parts.append(c.encode("".join(words[end_of_head:single])))
+    parts += [c.encode(w) for w in words[single:]]
     before = np.cumsum([0] + [len(p) for p in parts])
     head = (starts[:end_of_head].tolist(), before[:end_of_head].tolist())
     sure = [k for k in range(begin_of_tail, len(words)) if starts[k] <= size + overlap - LOOK_AHEAD]
     tail = ([int(starts[k]) for k in sure],
-            [int(before[end_of_head + 1 + k - begin_of_tail]) for k in sure])
+            [int(before[end_of_head + 1 + k - single]) for k in sure])
     return np.concatenate(parts).astype("<u4"), head, tail
 
 
