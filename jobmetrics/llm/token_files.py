@@ -82,8 +82,10 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> Dict
 
 def fit_dictionary(docs: DataFrame, vocabulary: str, pattern: str, end_id: int) -> Dictionary:
     """Trained on a bounded sample: SAMPLE_DOCUMENTS documents, SAMPLE_CHARACTERS of each."""
-    sample = bounded_sample(docs.select("doc_id", F.substring(whole_text(), 1, SAMPLE_CHARACTERS).alias("text")),
-                            SAMPLE_DOCUMENTS)
+    # At most SAMPLE_DOCUMENTS ids, so they can be sent to every executor.
+    ids = bounded_sample(docs.select("doc_id").where(F.col("doc_id").isNotNull()), SAMPLE_DOCUMENTS)
+    sample = (docs.join(F.broadcast(ids.distinct()), "doc_id").orderBy("doc_id")
+              .select(F.substring(whole_text(), 1, SAMPLE_CHARACTERS).alias("text")))
     texts = [row["text"] for row in sample.collect()]
     end = end_id.to_bytes(4, "little")
     return train_dictionary([serialize(ids + end) for ids in word_encoder(vocabulary, pattern).encode(texts)])
@@ -132,7 +134,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str,
     frames = map_rows(ranged, compress, FRAME_SCHEMA)
     ordered = (frames.repartition(F.col("shard"))
                .sortWithinPartitions("shard", "doc_id", "n_tokens", "ids_crc32"))
-    map_rows(ordered, segments, SEGMENT_SCHEMA).write.parquet(f"{path}/segments")
+    # The frames are compressed already.
+    map_rows(ordered, segments, SEGMENT_SCHEMA).write.option("compression", "none").parquet(f"{path}/segments")
     content = [(dictionary.hash, bytearray(dictionary.content))]
     spark.createDataFrame(content, "hash string, content binary").coalesce(1).write.parquet(f"{path}/dictionary")
     return dictionary
@@ -151,16 +154,24 @@ def segment(shard: int, number: int, before: int, held: list[tuple], dictionary_
 
 def read_segment(index: bytes, frames: bytes, dictionary: Dictionary) -> Iterator[tuple[int | None, np.ndarray]]:
     """(doc_id, ids) of each document of a segment, in order."""
-    for number, entry in enumerate(np.frombuffer(index, INDEX_ENTRY)):
-        yield (None if entry["null_id"] else int(entry["doc_id"])), read_document(index, frames, number, dictionary)
+    decompress = _coders(dictionary.content)[1].decompress
+    begin = 0
+    for end, n_tokens, doc, null_id in np.frombuffer(index, INDEX_ENTRY).tolist():
+        yield (None if null_id else doc), checked(decompress(frames[begin:end]), n_tokens)
+        begin = end
 
 
 def read_document(index: bytes, frames: bytes, number: int, dictionary: Dictionary) -> np.ndarray:
     """The ids of one document of a segment; only its own frame is decompressed."""
     entries = np.frombuffer(index, INDEX_ENTRY)
     begin = int(entries["end"][number - 1]) if number else 0
-    ids = deserialize(_coders(dictionary.content)[1].decompress(frames[begin:int(entries["end"][number])]))
-    if len(ids) != entries["n_tokens"][number]:
+    data = _coders(dictionary.content)[1].decompress(frames[begin:int(entries["end"][number])])
+    return checked(data, int(entries["n_tokens"][number]))
+
+
+def checked(data: bytes, n_tokens: int) -> np.ndarray:
+    ids = deserialize(data)
+    if len(ids) != n_tokens:
         raise ValueError("the index and the frame disagree")
     return ids
 
