@@ -1,0 +1,92 @@
+"""Near-duplicate vectors against brute force."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from test_minhash import least_reachable
+
+from jobmetrics.llm import embeddings as em
+
+SCHEMA = "vec_id long, embedding array<float>, node string, links string, table int"
+NAN, INF = float("nan"), float("inf")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, x, "n", "l", 1) for i, x in rows], SCHEMA)
+
+
+def expected(rows, cosine=0.9):
+    """(vec_id, n_links, component_id, kept) for ids that do not repeat."""
+    usable = [(i, np.array(x, np.float32).astype(float)) for i, x in rows
+              if i is not None and x and None not in x and np.isfinite(x).all() and np.any(x)]
+    size = max((len(x) for _, x in usable), default=0)
+    usable = [(i, x / np.linalg.norm(x)) for i, x in usable if len(x) == size]
+    links = []
+    if usable:
+        ids, unit = [i for i, _ in usable], np.array([x for _, x in usable])
+        a, b = np.nonzero(unit @ unit.T >= cosine)
+        links = [(ids[x], ids[y]) for x, y in zip(a, b) if x != y]
+    least = least_reachable({i for i, _ in rows if i is not None}, links)
+    count = {}
+    for a, _ in links:
+        count[a] = count.get(a, 0) + 1
+    return sorted(((i, count.get(i, 0), least.get(i), i is None or least[i] == i) for i, _ in rows), key=str)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def groups(seed, n_groups, size, noise, width=64):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(n_groups, width))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    return (centres[:, None, :] + noise * draw.normal(size=(n_groups, size, width)) / width ** 0.5).reshape(-1, width)
+
+
+def test_whole_table(prepared, sf_dir):
+    vectors = prepared.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = [(r["vec_id"], list(r["embedding"])) for r in vectors.collect()]
+    assert got(em.near_vectors(vectors)) == expected(rows)
+
+
+@pytest.mark.parametrize("block", [16, 2048])
+def test_groups_of_copies(prepared, block):
+    """Also when a bucket is dealt to several tasks."""
+    x = np.concatenate([groups(1, 60, 5, 0.2), groups(2, 1, 150, 0.15), groups(3, 500, 1, 0)])
+    rows = [(3 * i + 10, v.tolist()) for i, v in enumerate(x)]
+    assert got(em.near_vectors(frame(prepared, rows), block=block)) == expected(rows)
+
+
+def test_recall_near_the_threshold(prepared):
+    """Pairs of cosines from 0.9 up: at least nine in ten links are found, and none below."""
+    x = groups(5, 400, 2, 0.31)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found, want = (sum(r[1] for r in rows) for rows in (got(em.near_vectors(frame(prepared, rows))), expected(rows)))
+    assert want > 400 and 0.95 * want <= found <= want
+
+
+def test_edges(prepared):
+    rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, NAN]), (5, [1.0, None]), (6, [INF, 1.0]), (7, [1.0, 2.0]),
+            (8, [2.0, 4.0]), (9, [1.0, 2.0]), (10, [-1.0, -2.0]), (None, [1.0, 2.0]), (11, [1.0, 2.0, 3.0]),
+            (12, [1e30, 2e30]), (13, [1e-30, 2e-30])]
+    assert got(em.near_vectors(frame(prepared, rows))) == expected(rows)
+
+
+def test_repeated_rows_link_with_each_other(prepared):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])]
+    assert got(em.near_vectors(frame(prepared, rows))) == [
+        (1, 2, 1, True), (1, 2, 1, True), (2, 0, 2, True), (3, 2, 1, False)]
+
+
+def test_without_usable_vectors(prepared):
+    assert got(em.near_vectors(frame(prepared, []))) == []
+    assert got(em.near_vectors(frame(prepared, [(1, None), (2, [0.0])]))) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_tables_grow_slowly():
+    for n in (1, 1000, 10**6, 10**9):
+        tables, bits = em.layout(n)
+        assert n / 2 ** bits <= em.PER_BUCKET and tables <= 200
+        assert (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** tables <= em.MISSED

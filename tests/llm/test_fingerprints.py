@@ -1,0 +1,94 @@
+"""Sketches against a version in plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+
+import xxhash
+from llm_helpers import EDGES, documents
+from pyspark.sql import functions as F
+
+from jobmetrics.llm import fingerprints as fp
+
+
+def brute_sketch(text: str) -> list[int]:
+    words = [w for w in text.lower().split() if w]
+    hashes = []
+    for i in range(max(1, len(words) - 4) if words else 0):
+        h = 42
+        for word in words[i:i + 5]:
+            h = xxhash.xxh64(word.encode(), seed=h).intdigest()
+        hashes.append(h - (1 << 64) if h >> 63 else h)
+    kept = sorted({h for h in hashes if h < -(1 << 63) + (1 << 64) // fp.SCALE})
+    return kept or ([min(hashes)] if hashes else [])
+
+
+def shown(sketch: list[int]) -> str:
+    return " ".join(f"{h & (1 << 64) - 1:X}" for h in sketch)
+
+
+def containment(a: list[int], b: list[int]) -> float:
+    if not a and not b:
+        return 1.0
+    return len(set(a) & set(b)) / min(len(a), len(b)) if a and b else 0.0
+
+
+def check(rows, texts):
+    """``texts`` are (doc_id, text) in the order of the documents."""
+    by_id = {}
+    for row in rows:
+        by_id.setdefault(row["doc_id"], []).append(row)
+    for at, (doc, text) in enumerate(texts):
+        following = texts[(at + 1) % len(texts)][1]
+        k = len(text) // 4
+        edited = text[:len(text) - k] + following[:k]
+        want = (len(text), hashlib.sha256(edited.encode()).hexdigest(), shown(brute_sketch(text)),
+                shown(brute_sketch(edited)), containment(brute_sketch(text), brute_sketch(edited)),
+                containment(brute_sketch(text), brute_sketch(following)))
+        found = [tuple(r[1:7]) for r in by_id[doc]]
+        assert want in found, (doc, want, found)
+        by_id[doc].pop(found.index(want))
+    assert not any(by_id.values())
+
+
+def test_against_brute_force(prepared, sf_dir):
+    docs = prepared.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [(r["doc_id"], r["text"] or "") for r in docs.orderBy("doc_id").select("doc_id", "text").collect()]
+    check(fp.fingerprint_and_edit(docs).collect(), texts)
+
+
+def test_sparse_and_shuffled_ids(prepared):
+    rows = [(i * i * 7919 - 10**6, f"text number {i} " * (i % 9)) for i in range(200)]
+    check(fp.fingerprint_and_edit(documents(prepared, rows[::-1])).collect(), sorted(rows))
+
+
+def test_edges(edges):
+    rows = fp.fingerprint_and_edit(edges).collect()
+    assert len(rows) == len(EDGES)
+    by_id = {r["doc_id"]: r for r in rows}
+    for doc in (1, 2, 3):
+        assert by_id[doc]["fingerprint"] == ""
+    assert by_id[1]["n_chars"] == 0 and by_id[1]["near_edited"] == 1.0
+    assert by_id[4]["fingerprint"] == by_id[6]["fingerprint"] != ""
+    copies = [r for r in rows if r["doc_id"] == 5]
+    assert len(copies) == 2 and copies[0]["fingerprint"] == copies[1]["fingerprint"]
+    assert {c["near_next"] for c in copies} >= {1.0}  # the copy follows its like
+    assert all(0 <= r[c] <= 1 for r in rows for c in ("near_edited", "near_next", "jaccard_edited", "jaccard_next"))
+
+
+def test_one_document_is_its_own_successor(prepared):
+    row = fp.fingerprint_and_edit(documents(prepared, [(3, "abcdefgh")])).first()
+    assert row["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
+
+
+def test_empty_table(nothing):
+    assert fp.fingerprint_and_edit(nothing).collect() == []
+
+
+def test_merging_is_the_sketch_of_all(prepared):
+    a, b = "a b c d e f g h i j k l m n o p " * 3, "q r s t u v w x y z a c e g i k " * 3
+    df = fp.with_sketch(fp.with_sketch(prepared.createDataFrame([(a, b)], "a string, b string"), "a", "x"), "b", "y")
+    merged = df.select(fp.merged(F.col("x"), F.col("y")).alias("m")).first()["m"]
+    want = sorted(set(brute_sketch(a)) | set(brute_sketch(b)))
+    limit = -(1 << 63) + (1 << 64) // fp.SCALE
+    assert merged == ([h for h in want if h < limit] or want[:1])
