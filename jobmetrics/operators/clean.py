@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmetrics.functions.time_uuid import is_time_uuid, time_of, uuid_to_ts
 
@@ -37,6 +40,16 @@ def of_known_type(events: DataFrame) -> DataFrame:
     return events.filter(F.col("custom_track").isin(EVENT_TYPES))
 
 
+def is_whole(column: str) -> Column:
+    """Whether a number is a whole one that fits an id: no fraction, not infinite, not beyond BIGINT."""
+    x = F.col(column)
+    return F.coalesce(x.try_cast("long").cast("double") == x, F.lit(False))
+
+
+def all_whole(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [is_whole(c) for c in columns])
+
+
 def tracking_summary(tracking: DataFrame) -> DataFrame:
     """Five-column extract of the event table; ids that are no integer become NULL."""
     return tracking.select(

@@ -29,6 +29,8 @@ def with_surrogate(fact: DataFrame) -> DataFrame:
     bucketed = fact.withColumn("_bucket", hash_bucket(cell))
     within = Window.partitionBy("dates", "hours", "_bucket").orderBy(*cell)
     number = (F.row_number().over(within) - 1) * BUCKETS + F.col("_bucket") + 1
+    full = F.raise_error(F.lit(f"an hour has room for {IDS_PER_HOUR} ids only")).cast("long")
+    number = F.when(number <= IDS_PER_HOUR, number).otherwise(full)
     hour = F.unix_date("dates").cast("long") * 24 + F.col("hours")
     return bucketed.withColumn("id", hour * IDS_PER_HOUR + number).drop("_bucket")
 

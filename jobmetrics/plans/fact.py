@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmetrics.operators.clean import tracking_clean
+from jobmetrics.operators.clean import ID_COLUMNS, all_whole, tracking_clean
 from jobmetrics.operators.enrich import with_company
 from jobmetrics.operators.metrics import hourly_metrics
 
@@ -31,11 +31,11 @@ def build_fact(
 ) -> DataFrame:
     """Fact rows of all events given. ``extra`` adds aggregates to each cell.
 
-    An id too large for the fact becomes NULL there; it must not stop the load of all others.
+    Cells with an id that is no whole number are left out; ``audit.rejected_ids`` lists them.
     """
-    hourly = hourly_metrics(tracking_clean(tracking), *extra)
+    hourly = hourly_metrics(tracking_clean(tracking), *extra).filter(all_whole(ID_COLUMNS))
     named = with_company(hourly, job_dim).withColumnsRenamed(_RENAMED)
-    ids = {name: F.col(name).try_cast("int") for name in _IDS}
+    ids = {name: F.col(name).cast("long") for name in _IDS}
     extras = [c for c in named.columns if c not in FACT_COLUMNS]
     return (
         named.withColumns(ids)

@@ -19,10 +19,16 @@ _CTES = {
         select event_id, event_ts,
           substr(h, 9, 8) || '-' || substr(h, 5, 4) || '-1' || substr(h, 2, 3) || '-8000-'
             || lpad(printf('%x', event_id), 12, '0') as create_time,
-          cast(case when event_id % 97 = 0 then null else user_id % 6 end as double) as job_id,
-          cast(case when event_id % 53 = 0 then null else k % 2 end as double) as publisher_id,
-          cast(case when event_id % 41 = 0 then null else user_id % 3 end as double) as campaign_id,
-          cast(case when event_id % 31 = 0 then null else user_id % 2 end as double) as group_id,
+          case when event_id % 97 = 0 then null
+            else cast(if(event_id % 3 = 0, 1, event_id * 16 // 100) as double)
+              + case when event_id % 211 = 0 then 0.5 when event_id % 223 = 0 then 3e9 else 0 end
+            end as job_id,
+          cast(case when event_id % 53 = 0 then null when event_id % 3 = 0 then k % 2
+            else event_id * 11 // 1000 end as double) as publisher_id,
+          cast(case when event_id % 41 = 0 then null when event_id % 3 = 0 then user_id % 3
+            else event_id * 21 // 100 end as double) as campaign_id,
+          cast(case when event_id % 31 = 0 then null when event_id % 3 = 0 then user_id % 2
+            else event_id % 6 end as double) as group_id,
           case when event_id % 29 = 0 then null else value end as bid,
           case event_type when 'purchase' then 'conversion' when 'signup' then 'qualified'
             when 'error' then 'unqualified' else event_type end as custom_track,
@@ -93,14 +99,15 @@ def _metrics_ctes(source: str = "clean") -> dict[str, str]:
 
 _FACT = {
     "fact": """
-        select cast(c.job_id as int) as job_id, c.date as dates, c.hour as hours,
-          cast(c.publisher_id as int) as publisher_id, j.company_id,
-          cast(c.campaign_id as int) as campaign_id, cast(c.group_id as int) as group_id,
+        select cast(c.job_id as bigint) as job_id, c.date as dates, c.hour as hours,
+          cast(c.publisher_id as bigint) as publisher_id, cast(j.company_id as bigint) as company_id,
+          cast(c.campaign_id as bigint) as campaign_id, cast(c.group_id as bigint) as group_id,
           unqualified as disqualified_application, qualified as qualified_application,
           conversions as conversion, clicks, round(bid_set + 1e-9, 4) as bid_set,
           round(spend_hour + 1e-9, 4) as spend_hour, 'Cassandra' as sources, spend_hour as exact_spend,
           last_ts
-        from cells c left join job j on j.id = c.job_id""",
+        from cells c left join job j on j.id = c.job_id
+        where c.job_id = floor(c.job_id)""",
 }
 _FACT_COLUMNS = (
     "job_id, dates, hours, publisher_id, company_id, campaign_id, group_id, "
@@ -169,7 +176,7 @@ def _daily(key: str) -> str:
 def _funnel(key: str) -> str:
     return _on_fact(f"""
         select {key}, {_SUMS},
-          round(sum(conversion)::double / nullif(sum(clicks), 0) + 1e-9, 4) as conversion_rate,
+          round(coalesce(sum(conversion), 0)::double / nullif(sum(clicks), 0) + 1e-9, 4) as conversion_rate,
           round(coalesce(sum(qualified_application), 0)::double
             / nullif(coalesce(sum(qualified_application), 0)
               + coalesce(sum(disqualified_application), 0), 0) + 1e-9, 4) as qualified_share,
@@ -197,8 +204,8 @@ def _latest(more: str = "") -> str:
     )
 
 
-def _fact_from_messages() -> str:
-    """The fact of the last good version of each key."""
+def _on_last_sent(select: str) -> str:
+    """On the cells, or the fact, of the last good version of each key."""
     last = {
         "last_sent": """
             select * from messages m where reject_reason is null and not exists (
@@ -208,9 +215,7 @@ def _fact_from_messages() -> str:
         "clean": _CTES["clean"],
         "job": _CTES["job"],
     }
-    return _with(
-        f"select {_FACT_COLUMNS} from fact", *_SENT, **last, **_metrics_ctes(), **_FACT
-    )
+    return _with(select, *_SENT, **last, **_metrics_ctes(), **_FACT)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -269,14 +274,14 @@ def oracle_sql() -> dict[str, str]:
             from clean
             where custom_track in ('click', 'conversion', 'qualified', 'unqualified')
             group by {_CELL}""", *_CLEAN),
-        "stream_hourly_metrics": _on_cells(_ALL_CELLS),
+        "stream_hourly_metrics": _on_last_sent(_ALL_CELLS),
         "fact": _on_fact(f"select {_FACT_COLUMNS} from fact"),
         "fact_with_surrogate": _on_fact(
             f"select id, {_FACT_COLUMNS} from numbered", **_SURROGATE),
         "incremental_load": _on_fact(f"select id, {_FACT_COLUMNS} from numbered", **_SURROGATE),
         "incremental_rows": _with(
             f"select create_time, ts from decoded where ts > {FIRST_LOAD}", *_EVENTS),
-        "fact_watermark": _on_loaded_fact(
+        "fact_watermark": _on_fact(
             "select date_trunc('second', coalesce(max(last_ts), timestamp '1998-01-01')) as max_ts "
             "from fact"),
         "gate_load_time": _on_loaded_fact(f"""
@@ -326,6 +331,18 @@ def oracle_sql() -> dict[str, str]:
               when event_id % 107 = 0 then 'not_time_uuid' else 'time_uuid' end as key_state,
               count(*) as row_count
             from messages group by 1""", *_SENT),
+        "rejected_ids": _with("""
+            select job_id, publisher_id, group_id, campaign_id, count(*) as events,
+              'job_id' as reason
+            from clean where job_id <> floor(job_id)
+              and custom_track in ('click', 'conversion', 'qualified', 'unqualified')
+            group by all""", *_CLEAN),
+        "late_rows": _with("""
+            select "offset", cast(event_id % 4 as int) as partition, create_time,
+              case when event_id % 109 = 0 then 'ahead' else 'late' end as reason
+            from messages where reject_reason is null
+              and (event_id % 109 = 0 and copy = 0 or event_id % 109 <> 0 and event_id % 113 = 0)""",
+            *_SENT),
         "events_to_json": _with(f"select {_MESSAGE}, ts_text as ts from tracking", *_BASE),
         "json_decode": _with(
             f'select "offset", {_MESSAGE}, ts_text as ts from messages '
@@ -335,7 +352,7 @@ def oracle_sql() -> dict[str, str]:
             *_SENT),
         "tracking_upsert": _latest(),
         "stream_ingest": _latest(", cast(event_ts as date) as dates"),
-        "fact_from_messages": _fact_from_messages(),
+        "fact_from_messages": _on_last_sent(f"select {_FACT_COLUMNS} from fact"),
         "stream_dedup": _with(
             "select distinct create_time, custom_track, job_id, publisher_id, campaign_id, "
             "group_id from messages where reject_reason is null", *_SENT),

@@ -29,10 +29,10 @@ MESSAGE_FIELDS = ["create_time", "bid", "campaign_id", "custom_track", "group_id
                   "publisher_id", "ts"]
 MESSAGE_NUMBERS = ["bid", "campaign_id", "group_id", "job_id", "publisher_id"]
 
-# The hourly fact. Counts are BIGINT so that a cell cannot overflow.
+# The hourly fact. Counts are BIGINT so that a cell cannot overflow, ids so that none is cut.
 FACT = """
-    id BIGINT, job_id INT, dates DATE, hours INT, publisher_id INT, company_id INT,
-    campaign_id INT, group_id INT, disqualified_application BIGINT,
+    id BIGINT, job_id BIGINT, dates DATE, hours INT, publisher_id BIGINT, company_id BIGINT,
+    campaign_id BIGINT, group_id BIGINT, disqualified_application BIGINT,
     qualified_application BIGINT, conversion BIGINT, clicks BIGINT, bid_set DOUBLE,
     spend_hour DOUBLE, sources STRING, updated_at TIMESTAMP
 """

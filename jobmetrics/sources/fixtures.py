@@ -1,7 +1,9 @@
 """Representative inputs derived from the given star-schema tables (see FIXTURES.md).
 
-Everything is a projection of the given tables, so its size grows with them. The small
-moduli make several event types share an hourly cell and leave gaps in every column.
+Everything is a projection of the given tables, so its size grows with them. A third of the
+events belong to one job and share its hourly cells; the others spread over all members of
+each dimension and a few beyond. Every column has gaps, and some ids are no whole numbers or
+beyond 32 bits.
 """
 
 from __future__ import annotations
@@ -43,14 +45,21 @@ def tracking(events: DataFrame) -> DataFrame:
     track = F.col("event_type")
     for name, event_type in EVENT_TYPE_OF.items():
         track = F.when(F.col("event_type") == name, event_type).otherwise(track)
+    event, user, hot = F.col("event_id"), F.col("user_id"), F.col("event_id") % 3 == 0
+
+    def id_of(gap: int, of_hot: Column, other: Column) -> Column:
+        return _gap(gap, F.when(hot, of_hot).otherwise(other)).cast("double")
+
+    job = id_of(97, F.lit(1), F.floor(event * 16 / 100))
+    odd = F.when(event % 211 == 0, 0.5).when(event % 223 == 0, 3e9).otherwise(0.0)
     return events.select(
         "event_id",
         event_ts.alias("event_ts"),
         ts_to_uuid(event_ts, F.col("event_id")).alias("create_time"),
-        _gap(97, F.col("user_id") % 6).cast("double").alias("job_id"),
-        _gap(53, k % 2).cast("double").alias("publisher_id"),
-        _gap(41, F.col("user_id") % 3).cast("double").alias("campaign_id"),
-        _gap(31, F.col("user_id") % 2).cast("double").alias("group_id"),
+        (job + odd).alias("job_id"),
+        id_of(53, k % 2, F.floor(event * 11 / 1000)).alias("publisher_id"),
+        id_of(41, user % 3, F.floor(event * 21 / 100)).alias("campaign_id"),
+        id_of(31, user % 2, event % 6).alias("group_id"),
         _gap(29, F.col("value")).alias("bid"),
         track.alias("custom_track"),
         second_text(event_ts).alias("ts"),
@@ -60,7 +69,10 @@ def tracking(events: DataFrame) -> DataFrame:
 
 
 def messages(tracking: DataFrame) -> DataFrame:
-    """JSON messages of the events: every tenth sent again with a higher bid, some broken."""
+    """JSON messages of the events: every tenth sent again with a higher bid, some broken.
+
+    Some are received five hours later, some two hours before their event.
+    """
     event = F.col("event_id")
     copies = F.when(event % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     sent = tracking.withColumn("copy", F.explode(copies)).withColumn(
@@ -75,18 +87,19 @@ def messages(tracking: DataFrame) -> DataFrame:
         fields = [replaced.get(n, F.col(n)).alias(n) for n in MESSAGE_FIELDS]
         return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
-    job_text = F.col("job_id").cast("int").cast("string")
+    job_text = F.col("job_id").cast("string")
     value = (
         F.when(event % 101 == 0, F.lit("{bad"))
         .when(event % 103 == 0, as_json(bid=F.lit("abc")))
         .when(event % 7 == 0, as_json(job_id=job_text))
         .otherwise(as_json())
     )
+    hours = F.when(event % 109 == 0, -2).when(event % 113 == 0, 5).otherwise(0) + F.col("copy")
     return sent.select(
         "event_id",
         "copy",
         value.alias("value"),
-        (F.col("event_ts") + F.make_dt_interval(hours="copy")).alias("received_at"),
+        (F.col("event_ts") + F.make_dt_interval(hours=hours)).alias("received_at"),
         (event * 2 + F.col("copy")).alias("offset"),
         (event % 4).cast("int").alias("partition"),
     )

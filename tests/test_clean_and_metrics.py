@@ -1,10 +1,11 @@
 import uuid
 
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
 from jobmetrics.functions.time_uuid import ts_to_uuid
-from jobmetrics.operators import audit, clean, enrich, metrics, reports
+from jobmetrics.operators import audit, clean, enrich, metrics, numbering, reports
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
 
@@ -90,28 +91,42 @@ def test_fact_keeps_unknown_jobs_and_event_ids(spark, tracking, job_dim):
     fact = build_fact(tracking, job_dim)
     assert fact.columns == FACT_COLUMNS
     kinds = dict(fact.dtypes)
-    assert {kinds[c] for c in ("job_id", "hours", "company_id", "group_id")} == {"int"}
-    # Job 0 has no row in the dimension, every other job has one.
-    assert fact.filter("(company_id is null) != (job_id = 0)").count() == 0
+    assert {kinds[c] for c in ("job_id", "company_id", "group_id")} == {"bigint"}
+    # Jobs 1 to 150 are in the dimension.
+    assert fact.filter("(company_id is null) != (job_id not between 1 and 150)").count() == 0
+    assert fact.filter("company_id is null").count() > 0
     hourly = metrics.hourly_metrics(clean.tracking_clean(tracking.drop("ts")))
-    assert fact.count() == hourly.count()
+    assert fact.count() == hourly.filter("job_id = floor(job_id)").count()
 
 
 def test_fractional_ids_do_not_match_a_job(spark):
     rows = make(spark, [("2024-01-01 10:00:00", 1.5, "click", 1.0, 1.0, 1.0, 1.0)])
     dim = spark.createDataFrame([(1, 7, 1, 1)], "job_id int, company_id int, group_id int, "
                                 "campaign_id int")
-    assert build_fact(rows, dim).first()["company_id"] is None
+    assert build_fact(rows, dim).count() == 0
+
+
+def test_no_id_is_cut_and_those_that_are_none_are_listed(spark, job_dim):
+    jobs = (3e9, 4e9, 1.2, 1.7, float("inf"), -float("inf"), 1e300, 1e18, 5.0)
+    rows = make(spark, [("2024-01-01 10:00:00", job, "click", 1.0, 1.0, 1.0, 1.0) for job in jobs])
+    fact = with_surrogate(build_fact(rows, job_dim))
+    found = sorted((r["job_id"], r["id"]) for r in fact.collect())
+    assert [job for job, _ in found] == [5, 3 * 10**9, 4 * 10**9, 10**18]
+    assert found == sorted((r["job_id"], r["id"]) for r in fact.repartition(5).collect())
+    rejected = audit.rejected_ids(clean.tracking_clean(rows)).collect()
+    assert {(r["job_id"], r["events"], r["reason"]) for r in rejected} == {
+        (job, 1, "job_id") for job in jobs if job not in (3e9, 4e9, 1e18, 5.0)
+    }
 
 
-def test_ids_beyond_an_integer_do_not_stop_the_fact(spark, job_dim):
-    rows = make(spark, [
-        ("2024-01-01 10:00:00", job, "click", 1.0, 1.0, 1.0, 1.0)
-        for job in (float("inf"), 1e18, 5.0)
-    ])
-    fact = with_surrogate(build_fact(rows, job_dim)).collect()
-    assert sorted(str(r["job_id"]) for r in fact) == ["5", "None", "None"]
-    assert len({r["id"] for r in fact}) == 3
+def test_an_hour_with_too_many_cells_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "IDS_PER_HOUR", 300)
+    cells = spark.range(5000).select(
+        F.lit("2024-01-01").cast("date").alias("dates"), F.lit(5).alias("hours"), F.col("id").alias("job_id"),
+        *[F.lit(1).alias(c) for c in ("publisher_id", "campaign_id", "group_id")],
+    )
+    with pytest.raises(Exception, match="room for 300 ids"):
+        with_surrogate(cells).collect()
 
 
 def test_empty_input(spark, job_dim):

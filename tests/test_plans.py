@@ -6,16 +6,16 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from jobmetrics.operators.clean import tracking_clean
 from jobmetrics.operators.enrich import with_company
 from jobmetrics.operators.metrics import hourly_metrics, hourly_metrics_joined
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans.fact import build_fact
+from jobmetrics.plans.registry import queries
 from jobmetrics.sources.tables import tracking_scan
 
 STREAMED = {"stream_ingest", "stream_dedup", "stream_hourly_metrics", "csv_load",
-            "incremental_load", "fact_from_messages"}
+            "incremental_load", "fact_from_messages", "late_rows"}
 PYTHON_NODES = ["BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"]
 
 
@@ -27,9 +27,9 @@ def lake(spark, tracking, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - STREAMED))
+@pytest.mark.parametrize("name", sorted(set(queries()) - STREAMED))
 def test_no_python_and_no_cross_product(spark, sf_dir, name):
-    plan = plan_of(contract.queries()[name](spark, sf_dir))
+    plan = plan_of(queries()[name](spark, sf_dir))
     assert not [n for n in PYTHON_NODES if n in plan]
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
@@ -109,7 +109,7 @@ def test_hot_job_is_split_when_the_dimension_is_too_big(spark):
 
 
 def test_latest_hours_keeps_only_the_top_rows(spark, sf_dir):
-    assert "TakeOrderedAndProject" in plan_of(contract.queries()["fact_latest"](spark, sf_dir))
+    assert "TakeOrderedAndProject" in plan_of(queries()["fact_latest"](spark, sf_dir))
 
 
 def test_one_job_with_most_events(spark, tracking, job_dim):
