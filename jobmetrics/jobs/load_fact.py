@@ -15,13 +15,15 @@ import argparse
 import os
 from datetime import timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from jobmetrics.operators.enrich import job_dimension
 from jobmetrics.plans import incremental
-from jobmetrics.session import build_session
+from jobmetrics.session import build_session, size_shuffles
+from jobmetrics.sinks.catalog import ensure_fact
 from jobmetrics.sinks.fact_lake import read_fact
-from jobmetrics.sinks.warehouse import replace_fact_jdbc
+from jobmetrics.sinks.files import bytes_in
+from jobmetrics.sinks.warehouse import publish_days, replace_fact_jdbc, write_fact_jdbc
 from jobmetrics.sources.jdbc import JdbcTarget
 from jobmetrics.sources.tables import TRACKING_COLUMNS, Table
 
@@ -40,15 +42,39 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--store", required=True, help="path of the fact")
     parser.add_argument("--full", action="store_true", help="recompute all days")
     parser.add_argument(
-        "--look-back-days", type=float, default=1.0,
-        help="with --events: how late events may arrive; a lake knows what arrived",
+        "--look-back-days", type=float,
+        help="with --events: recompute only so many days before the newest event loaded, not "
+        "all; later arrivals for older days are left out (a lake knows what arrived)",
     )
+    parser.add_argument("--table", help="name of the fact in the catalog, database.table")
     parser.add_argument("--warehouse", help="JDBC URL to publish the fact to")
+    parser.add_argument(
+        "--publish", choices=["days", "append", "full"], default="days",
+        help="replace the days recomputed, append their rows, or refill the whole table",
+    )
     parser.add_argument("--warehouse-table", default="events")
     parser.add_argument("--warehouse-driver", default="com.mysql.cj.jdbc.Driver")
     return parser.parse_args(argv)
 
 
+def publish(spark: SparkSession, store: incremental.FactStore, args: argparse.Namespace) -> None:
+    """Bring the warehouse up to date with what the last load recomputed."""
+    # The password stays out of the process list.
+    target = JdbcTarget(
+        args.warehouse,
+        args.warehouse_driver,
+        os.environ.get("WAREHOUSE_USER", ""),
+        os.environ.get("WAREHOUSE_PASSWORD", ""),
+    )
+    fact, days = read_fact(spark, store.facts), incremental.days_of_last_load(spark, store)
+    if args.publish == "full" or days is None:
+        replace_fact_jdbc(fact, target, args.warehouse_table)
+    elif args.publish == "append":
+        write_fact_jdbc(fact.filter(F.col("dates").isin(days)), target, args.warehouse_table)
+    else:
+        publish_days(fact, target, days, args.warehouse_table)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> bool:
     """True when something was loaded."""
     args = parse(argv)
@@ -56,24 +82,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> bo
     store = incremental.FactStore(args.store)
     jobs = job_dimension(table_of(args.jobs).load(spark))
     if args.lake:
+        size_shuffles(spark, bytes_in(spark, args.lake))
         loaded = incremental.load_from_lake(spark, args.lake, jobs, store, args.full)
     else:
         events = table_of(args.events).load(spark, TRACKING_COLUMNS)
         if args.full:
-            incremental.full_refresh(events, jobs, store)
-            loaded = True
+            loaded = incremental.full_refresh(events, jobs, store)
         else:
-            look_back = timedelta(days=args.look_back_days)
+            days = args.look_back_days
+            look_back = None if days is None else timedelta(days=days)
             loaded = incremental.incremental_load(events, jobs, store, look_back)
+    if loaded and args.table:
+        ensure_fact(spark, args.table, store.facts)
     if loaded and args.warehouse:
-        # The password stays out of the process list.
-        target = JdbcTarget(
-            args.warehouse,
-            args.warehouse_driver,
-            os.environ.get("WAREHOUSE_USER", ""),
-            os.environ.get("WAREHOUSE_PASSWORD", ""),
-        )
-        replace_fact_jdbc(read_fact(spark, store.facts), target, args.warehouse_table)
+        publish(spark, store, args)
     print("loaded new events" if loaded else "no new events")
     return loaded
 

@@ -14,9 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Streaming state grows with the open windows, so it lives in RocksDB, not on the heap.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
+# A shuffle partition of this many bytes fits a task's share of an executor's memory.
+SHUFFLE_BYTES = 128 << 20
 SHUFFLE = "spark.sql.shuffle.partitions"
 FIRST_SHUFFLE = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -28,7 +27,6 @@ def build_session(app_name: str = "jobmetrics", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return prepare(builder.getOrCreate())
@@ -50,6 +48,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with a partition per ``SHUFFLE_BYTES`` of input, or more if there are more.
+
+    Adaptive execution merges small partitions but cannot cut evenly filled ones. Returns the
+    number of partitions shuffles start with.
+    """
+    known = int(spark.conf.get(FIRST_SHUFFLE, None) or spark.conf.get(SHUFFLE))
+    wanted = max(known, -(-input_bytes // SHUFFLE_BYTES))
+    if wanted > known:
+        spark.conf.set(FIRST_SHUFFLE, str(wanted))
+    return wanted
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 

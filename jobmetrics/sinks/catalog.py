@@ -15,6 +15,15 @@ def ensure_tables(spark: SparkSession, database: str = "default") -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet{by}")
 
 
+def ensure_fact(spark: SparkSession, table: str, path: str) -> None:
+    """Make the stored fact a table of the catalog, and register the days it has by now."""
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in schemas.struct(spark, schemas.FACT)]
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet "
+              f"PARTITIONED BY (dates) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
 def describe(spark: SparkSession, database: str = "default") -> dict[str, list[str]]:
     """Columns of every table of a database."""
     return {

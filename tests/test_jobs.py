@@ -1,8 +1,9 @@
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from jobmetrics.jobs import load_fact
+from jobmetrics.jobs import ingest_events, load_csv, load_fact
 from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
+from jobmetrics.schemas import MESSAGE_FIELDS
 from jobmetrics.sinks.fact_lake import read_fact, replace_days, replace_fact
 from jobmetrics.sources import fixtures
 from jobmetrics.sources.tables import TRACKING_COLUMNS
@@ -61,3 +62,26 @@ def test_fact_files(spark, tracking, job_dim, tmp_path):
         spark.conf.unset(setting)
     assert _files_per_day(tmp_path / "hot")["dates=2024-01-01"] > 1
     assert read_fact(spark, str(tmp_path / "hot")).count() == fact.count() * 500
+
+
+def test_jobs_take_their_options():
+    args = ingest_events.parse(["--servers", "k:9", "--lake", "x", "--hourly", "y", "--option",
+                                "subscribePattern=t.*", "--option", "startingOffsets=latest"])
+    assert args.topic is None and args.hourly == "y" and args.compact_every == 50
+    assert args.option == ["subscribePattern=t.*", "startingOffsets=latest"]
+    load = load_fact.parse(["--lake", "x", "--jobs", "path=j", "--store", "s"])
+    assert (load.publish, load.look_back_days, load.table) == ("days", None, None)
+
+
+def test_csv_job(spark, sf_dir, tracking, job_dim, tmp_path):
+    source, events, rejects, jobs, store = (str(tmp_path / n) for n in ("in", "events", "bad", "jobs", "store"))
+    tracking.select(*MESSAGE_FIELDS).write.option("header", True).csv(source)
+    (tmp_path / "in" / "broken.csv").write_text(f"{','.join(MESSAGE_FIELDS)}\nk,many,1,click,1,1,1,t\n")
+    argv = ["--csv", source, "--events", events, "--rejects", rejects]
+    assert load_csv.main(argv, spark) == (tracking.count(), 1)
+    assert spark.read.parquet(rejects).first()["raw"] == "k,many,1,click,1,1,1,t"
+    fixtures.job(spark, sf_dir).write.parquet(jobs)
+    assert load_fact.main(["--events", f"path={events}", "--jobs", f"path={jobs}", "--store", store,
+                           "--table", "default.job_test_events"], spark)
+    assert rows_of(spark.table("default.job_test_events").select(*FACT_COLUMNS)) == rows_of(
+        build_fact(tracking, job_dim))

@@ -1,12 +1,15 @@
 import json
+from datetime import date
 from types import SimpleNamespace
 
 import pytest
 from conftest import rows_of
 
 from jobmetrics import schemas
-from jobmetrics.session import FIRST_SHUFFLE, SHUFFLE, prepare, scratch_path
-from jobmetrics.sinks import catalog, topic as topic_sink, warehouse
+from jobmetrics.operators.numbering import with_surrogate
+from jobmetrics.plans.fact import build_fact
+from jobmetrics.session import FIRST_SHUFFLE, SHUFFLE, prepare, scratch_path, size_shuffles
+from jobmetrics.sinks import catalog, fact_lake, topic as topic_sink, warehouse
 from jobmetrics.sources import csv, jdbc, tables, topic
 from jobmetrics.sources.fixtures import messages
 
@@ -100,6 +103,73 @@ def test_topic_options():
     options = topic.topic_options("kafka:9092", "tracking")
     assert options == {"kafka.bootstrap.servers": "kafka:9092", "subscribe": "tracking",
                        "startingOffsets": "earliest"}
+    latest = topic.topic_options("kafka:9092", "tracking", startingOffsets="latest", maxOffsetsPerTrigger="9")
+    assert latest == options | {"startingOffsets": "latest", "maxOffsetsPerTrigger": "9"}
+    pattern = topic.topic_options("kafka:9092", subscribePattern="track.*")
+    assert "subscribe" not in pattern and pattern["subscribePattern"] == "track.*"
+    for wrong in ({}, {"topic": "a", "subscribePattern": "b"}):
+        with pytest.raises(ValueError):
+            topic.topic_options("kafka:9092", **wrong)
+
+
+def test_days_are_swapped_in_one_transaction():
+    days = [date(2024, 1, 2), date(2024, 1, 1)]
+    assert warehouse.swap_statements("events", "events_staging", ["job_id", "dates"], days) == [
+        "DELETE FROM events WHERE dates IN (DATE '2024-01-01', DATE '2024-01-02')",
+        "INSERT INTO events (job_id, dates) SELECT job_id, dates FROM events_staging",
+    ]
+
+
+def test_only_the_days_loaded_are_published(spark, tracking, job_dim, monkeypatch):
+    """What would go to the warehouse; no database is run here."""
+    written, run = [], []
+    monkeypatch.setattr(warehouse, "replace_fact_jdbc", lambda rows, t, table, n: written.append((rows, table)))
+    monkeypatch.setattr(warehouse, "run_in_transaction", lambda spark, t, statements: run.extend(statements))
+    target = jdbc.JdbcTarget("jdbc:mysql://db:3306/warehouse", "com.mysql.cj.jdbc.Driver", "u", "p")
+    fact, days = build_fact(tracking, job_dim), [date(2024, 1, 3), date(2024, 2, 9)]
+    warehouse.publish_days(fact, target, days)
+    (rows, table), = written
+    assert table == "events_staging" and rows_of(rows) == rows_of(fact.filter("dates = date'2024-01-03'"))
+    assert len(run) == 2 and "2024-02-09" in run[0]
+    warehouse.publish_days(fact, target, [])
+    assert len(written) == 1
+
+
+def test_the_fact_is_a_table_of_the_catalog(spark, tracking, job_dim, tmp_path):
+    path = str(tmp_path / "facts")
+    fact = with_surrogate(build_fact(tracking, job_dim))
+    early = fact.filter("dates < date'2024-01-10'")
+    spark.sql("create database if not exists fact_test")
+    for rows in (early, fact):
+        fact_lake.replace_fact(rows, path)
+        catalog.ensure_fact(spark, "fact_test.events", path)
+        assert spark.table("fact_test.events").count() == rows.count()
+    columns = {f.name: f.dataType for f in spark.table("fact_test.events").schema}
+    assert columns == {f.name: f.dataType for f in schemas.struct(spark, schemas.FACT)}
+    fact_lake.replace_days(fact.filter("false"), path, [date(2024, 1, 3)])
+    catalog.ensure_fact(spark, "fact_test.events", path)
+    assert spark.table("fact_test.events").count() == fact.filter("dates <> date'2024-01-03'").count()
+
+
+def test_shuffles_start_by_the_size_of_the_input():
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    session = SimpleNamespace(conf=Conf({SHUFFLE: "200"}))
+    assert size_shuffles(session, 10 << 30) == 200 and FIRST_SHUFFLE not in session.conf
+    assert size_shuffles(session, 100 << 40) == 819200 and session.conf[FIRST_SHUFFLE] == "819200"
+
+
+def test_csv_rejects_keep_the_whole_record(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    header = ",".join(schemas.column_names(schemas.MESSAGE))
+    path.write_text(f'{header}\nd,1,1,click,1,1,1,t,surplus,more\nb,many,1,click,1,1,1,t\n')
+    raw = {r["create_time"]: r["raw"] for r in csv.csv_rejects(spark, str(path)).collect()}
+    assert raw == {"d": "d,1,1,click,1,1,1,t,surplus,more", "b": "b,many,1,click,1,1,1,t"}
+    path.write_text(f'{header}\na,1,1,"cli\nck",1,1,1,t\n')
+    row, = csv.csv_load(spark, str(path), multi_line=True).collect()
+    assert row["custom_track"] == "cli\nck"
 
 
 def test_messages_write_missing_fields_as_null(spark, tracking):
