@@ -1,12 +1,13 @@
 """Loading the fact: in full, or only the days new events touch.
 
 A load of new events cannot add to existing cells, since a replay would count twice. It
-recomputes whole days and replaces their partitions. Which days:
+recomputes whole days and replaces them, also those that are left without rows. Which days:
 
-* ``incremental_load`` goes by event time, for any event table: the watermark's day and all
-  later ones. The watermark is the newest event time of the last load.
 * ``load_from_lake`` goes by arrival, for a lake written by the ingest stream: the days named
   in batches that came after the last load. It misses neither late events nor changed ones.
+* ``incremental_load`` is for event tables that do not say what arrived when. When there is
+  an event later than the watermark, all days are recomputed. A look-back limits that to the
+  days since the watermark less so much time; ``audit.stale_days`` tells what it leaves out.
 
 Each load is recorded beside the fact, after the fact is written, so a load that dies
 half-way is repeated in full by the next one.
@@ -15,11 +16,14 @@ half-way is repeated in full by the next one.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from jobmetrics import schemas
 from jobmetrics.functions.time_uuid import uuid_to_ts
+from jobmetrics.operators.clean import of_known_type, tracking_clean
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans.fact import SOURCE_NAME, build_fact
 from jobmetrics.sinks.fact_lake import replace_days, replace_fact
@@ -31,7 +35,7 @@ from jobmetrics.streaming.batch_log import last_batch
 # as microseconds since 1970, which mean the same whatever the driver's time zone.
 NEVER_LOADED = 883612800000000
 
-_LOADS = "loaded_through TIMESTAMP, loaded_batch BIGINT, loaded_at TIMESTAMP"
+_LOADS = "loaded_through TIMESTAMP, loaded_batch BIGINT, loaded_at TIMESTAMP, days ARRAY<DATE>"
 
 
 @dataclass(frozen=True)
@@ -103,66 +107,101 @@ def loaded_batch(spark: SparkSession, store: FactStore) -> int | None:
     return _last_load(spark, store, F.col("loaded_batch"))
 
 
-def _newest(tracking: DataFrame) -> int | None:
-    times = tracking.select(uuid_to_ts(F.col("create_time")).alias("ts"))
-    return times.agg(F.unix_micros(F.max("ts"))).first()[0]
+def days_of_last_load(spark: SparkSession, store: FactStore) -> list[date] | None:
+    """Days that the last load replaced, None if it replaced all."""
+    loads = read_if_present(spark, store.loads, _LOADS)
+    return None if loads is None else loads.agg(F.max_by("days", "loaded_at")).first()[0]
+
+
+def newest_countable(tracking: DataFrame) -> DataFrame:
+    """One row: the time of the newest event that counts for the fact (``max_ts``)."""
+    return of_known_type(tracking_clean(tracking)).agg(F.max("ts").alias("max_ts"))
 
 
 def _record(
-    spark: SparkSession, store: FactStore, newest: int | None, batch: int | None = None
+    spark: SparkSession, store: FactStore, newest: int | None, batch: int | None = None,
+    days: list[date] | None = None,
 ) -> None:
     # An event dated in the future must not hold up the events until then.
-    through = F.least(as_ts(NEVER_LOADED if newest is None else newest), F.current_timestamp())
+    through = F.least(as_ts(newest), F.current_timestamp()) if newest is not None else F.lit(None)
     row = spark.range(1).select(
-        through.alias("loaded_through"),
+        through.cast("timestamp").alias("loaded_through"),
         F.lit(batch).cast("long").alias("loaded_batch"),
         F.current_timestamp().alias("loaded_at"),
+        (F.lit(None) if days is None else F.array(*[F.lit(d) for d in days])).cast("array<date>").alias("days"),
     )
     row.coalesce(1).write.mode("append").parquet(store.loads)
 
 
-def _numbered(tracking: DataFrame, job_dim: DataFrame, source_name: str) -> DataFrame:
-    return with_surrogate(build_fact(tracking, job_dim, source_name=source_name))
+def _numbered(
+    tracking: DataFrame, job_dim: DataFrame, source_name: str
+) -> tuple[DataFrame, Observation]:
+    """Fact rows, and what their write will have seen as newest event: no scan of its own."""
+    fact = build_fact(tracking, job_dim, F.max("ts").alias("newest"), source_name=source_name)
+    seen = Observation()
+    rows = fact.observe(seen, F.unix_micros(F.max("newest")).alias("newest")).drop("newest")
+    return with_surrogate(rows), seen
+
+
+def newest_of(seen: Observation) -> int | None:
+    """What a write has observed; None if its rows were found to be none before it ran."""
+    try:
+        return seen.get["newest"]
+    except Py4JJavaError:
+        return None
 
 
 def full_refresh(
     tracking: DataFrame, job_dim: DataFrame, store: FactStore, source_name: str = SOURCE_NAME
-) -> None:
-    """Recompute the fact from all events and replace it."""
-    newest = _newest(tracking)
-    replace_fact(_numbered(tracking, job_dim, source_name), store.facts)
-    _record(tracking.sparkSession, store, newest)
+) -> bool:
+    """Recompute the fact from all events, in one scan, and replace it; False if it is empty."""
+    rows, seen = _numbered(tracking, job_dim, source_name)
+    replace_fact(rows, store.facts)
+    newest = newest_of(seen)
+    if newest is not None:
+        _record(tracking.sparkSession, store, newest)
+    return newest is not None
 
 
 def incremental_load(
     tracking: DataFrame,
     job_dim: DataFrame,
     store: FactStore,
-    look_back: timedelta = timedelta(0),
+    look_back: timedelta | None = None,
     source_name: str = SOURCE_NAME,
 ) -> bool:
-    """Load what is newer than the watermark; False when there is nothing.
+    """Load when there is an event later than the watermark; False when there is none.
 
-    ``look_back`` also recomputes days before the watermark, for events that arrive late.
+    ``look_back`` recomputes only the watermark's day, that much before it, and all after it.
     """
     spark = tracking.sparkSession
     watermark = loaded_through(spark, store)
     if watermark is None:
-        newest = _newest(tracking)
-        if newest is None or newest <= NEVER_LOADED:
-            return False
-        full_refresh(tracking, job_dim, store, source_name)
-        return True
+        return full_refresh(tracking, job_dim, store, source_name)
     # Nothing before the watermark's day can be newer, so only these days are searched.
-    newest = _newest(events_since_day(tracking, watermark))
-    if newest is None or newest <= watermark:
+    recent = events_since_day(tracking, watermark)
+    loaded = spark.range(1).select(as_ts(watermark).alias("max_ts"))
+    if not gate(newest_countable(recent), loaded).first()["has_new"]:
         return False
-    touched = events_since_day(tracking, watermark - look_back // timedelta(microseconds=1))
-    replace_days(_numbered(touched, job_dim, source_name), store.facts)
-    _record(spark, store, newest)
+    if look_back is None:
+        return full_refresh(tracking, job_dim, store, source_name)
+    since = watermark - look_back // timedelta(microseconds=1)
+    rows, seen = _numbered(events_since_day(tracking, since), job_dim, source_name)
+    before = set(_days_since(spark, store, since))
+    replace_days(rows, store.facts, before)
+    _record(spark, store, newest_of(seen), days=sorted(before.union(_days_since(spark, store, since))))
     return True
 
 
+def _days_since(spark: SparkSession, store: FactStore, micros: int) -> list[date]:
+    """Days of the fact that a load from this time on replaces."""
+    stored = read_if_present(spark, store.facts, schemas.FACT)
+    if stored is None:
+        return []
+    days = stored.filter(F.col("dates") >= F.to_date(as_ts(micros))).select("dates").distinct()
+    return [row["dates"] for row in days.collect()]
+
+
 def load_from_lake(
     spark: SparkSession,
     lake: str,
@@ -176,16 +215,13 @@ def load_from_lake(
     loaded = None if full else loaded_batch(spark, store)
     if newest is None or (loaded is not None and newest <= loaded):
         return False
-    tracking = ingest.read_tracking(spark, lake, newest)
-    versions = ingest.read_versions(spark, lake, newest)
+    tracking, days = ingest.read_tracking(spark, lake, newest), None
     if loaded is None:
-        replace_fact(_numbered(tracking, job_dim, source_name), store.facts)
+        rows, seen = _numbered(tracking, job_dim, source_name)
+        replace_fact(rows, store.facts)
     else:
-        # Partition columns only, and at most one row per calendar day.
-        fresh = versions.filter(F.col("batch") > loaded).select("dates").distinct()
-        days = [row["dates"] for row in fresh.collect()]
-        versions = versions.filter(F.col("dates").isin(days))
-        touched = tracking.filter(F.col("dates").isin(days))
-        replace_days(_numbered(touched, job_dim, source_name), store.facts)
-    _record(spark, store, _newest(versions), newest)
+        days = ingest.touched_days(spark, lake, newest, loaded)
+        rows, seen = _numbered(tracking.filter(F.col("dates").isin(days)), job_dim, source_name)
+        replace_days(rows, store.facts, days)
+    _record(spark, store, newest_of(seen), newest, days)
     return True

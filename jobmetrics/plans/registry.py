@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +18,7 @@ from jobmetrics.session import prepare, scratch_path
 from jobmetrics.sinks import topic
 from jobmetrics.sinks.fact_lake import read_fact
 from jobmetrics.sources import csv, fixtures, tables
-from jobmetrics.streaming import batch_log, decode, dedup, hourly, ingest
+from jobmetrics.streaming import decode, dedup, hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,10 +83,18 @@ def _before_first_load(tracking: DataFrame) -> DataFrame:
     return tracking.filter(F.col("event_ts") <= F.expr(FIRST_LOAD))
 
 
+def _stamped_fact(spark: SparkSession, sf_dir: str, tracking: DataFrame) -> DataFrame:
+    """A fact whose load time stands at the newest event of each cell."""
+    return build_fact(tracking, _job_dim(spark, sf_dir), F.max("ts").alias("updated_at"))
+
+
 def _loaded_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact of the first load; its load time stands at the newest event of each cell."""
-    before = _before_first_load(_tracking(spark, sf_dir))
-    return build_fact(before, _job_dim(spark, sf_dir), F.max("ts").alias("updated_at"))
+    """The fact of the first load."""
+    return _stamped_fact(spark, sf_dir, _before_first_load(_tracking(spark, sf_dir)))
+
+
+def _sent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.messages(fixtures.tracking(fixtures.events_stream(spark, sf_dir)))
 
 
 # Scans and dimension pulls
@@ -233,7 +242,7 @@ def incremental_load(spark, sf_dir):
     store = incremental.FactStore(scratch_path(spark, "fact"))
     tracking, dim = _tracking(spark, sf_dir), _job_dim(spark, sf_dir)
     incremental.incremental_load(_before_first_load(tracking), dim, store)
-    incremental.incremental_load(tracking, dim, store)
+    incremental.incremental_load(tracking, dim, store, look_back=timedelta(days=1))
     stored = read_fact(spark, store.facts)
     return _money(stored.select("id", *FACT_COLUMNS))
 
@@ -246,7 +255,7 @@ def incremental_rows(spark, sf_dir):
 
 @_query
 def fact_watermark(spark, sf_dir):
-    return incremental.fact_watermark(_loaded_fact(spark, sf_dir))
+    return incremental.fact_watermark(_stamped_fact(spark, sf_dir, _tracking(spark, sf_dir)))
 
 
 @_query
@@ -338,6 +347,11 @@ def unrecognized_events(spark, sf_dir):
     return audit.unrecognized_events(_clean(spark, sf_dir))
 
 
+@_query
+def rejected_ids(spark, sf_dir):
+    return audit.rejected_ids(_clean(spark, sf_dir))
+
+
 @_query
 def bad_uuid_audit(spark, sf_dir):
     return audit.key_audit(decode.decode_messages(_messages(spark, sf_dir)))
@@ -381,17 +395,24 @@ def tracking_upsert(spark, sf_dir):
 @_query
 def stream_ingest(spark, sf_dir):
     path = scratch_path(spark, "ingest")
-    sent = fixtures.messages(fixtures.tracking(fixtures.events_stream(spark, sf_dir)))
-    ingest.start_ingest(sent, path).awaitTermination()
+    ingest.start_ingest(_sent_stream(spark, sf_dir), path).awaitTermination()
+    ingest.compact(spark, path)
     return ingest.read_tracking(spark, path)
 
 
+@_query
+def late_rows(spark, sf_dir):
+    """Messages long after, or before, their event; what comes of a key later replaces nothing here."""
+    path = scratch_path(spark, "ingest")
+    ingest.start_ingest(_sent_stream(spark, sf_dir), path).awaitTermination()
+    return audit.late_rows(ingest.read_versions(spark, path))
+
+
 @_query
 def fact_from_messages(spark, sf_dir):
     """From messages to the fact: ingest, last write per key, load of the batches that came."""
     lake, store = scratch_path(spark, "ingest"), incremental.FactStore(scratch_path(spark, "fact"))
-    sent = fixtures.messages(fixtures.tracking(fixtures.events_stream(spark, sf_dir)))
-    ingest.start_ingest(sent, lake).awaitTermination()
+    ingest.start_ingest(_sent_stream(spark, sf_dir), lake).awaitTermination()
     incremental.load_from_lake(spark, lake, _job_dim(spark, sf_dir), store)
     return _money(read_fact(spark, store.facts).select(*FACT_COLUMNS))
 
@@ -400,21 +421,16 @@ def fact_from_messages(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """The columns in which all copies agree; which copy comes first is up to the stream."""
     path = scratch_path(spark, "dedup")
-    sent = fixtures.messages(fixtures.tracking(fixtures.events_stream(spark, sf_dir)))
-    events = decode.accepted(decode.decode_messages(sent)).drop("ts")
-    timed = clean.decode_events(events)
-    first = dedup.first_copies(timed, "ts", "2 hours", dedup.spread_by("offset", 8))
-    same = ["create_time", "custom_track", "job_id", "publisher_id", "campaign_id", "group_id"]
-    kept = first.select(*same, "dates")
-    batch_log.start_log(kept, path, "append", ["dates"], batch_log.ONCE).awaitTermination()
-    layout = f"{schemas.MESSAGE}, dates DATE"
-    return batch_log.read_log(spark, path, layout).select(*same)
+    good = decode.accepted(decode.decode_messages(_sent_stream(spark, sf_dir)))
+    same = "create_time STRING, custom_track STRING, job_id DOUBLE, publisher_id DOUBLE, "
+    layout = f"{same} campaign_id DOUBLE, group_id DOUBLE, dates DATE"
+    dedup.start_first_copies(good, path, layout).awaitTermination()
+    return dedup.read_first_copies(spark, path, layout).drop("dates")
 
 
 @_query
 def stream_hourly_metrics(spark, sf_dir):
-    path = scratch_path(spark, "hourly")
-    tracking = fixtures.tracking(fixtures.events_stream(spark, sf_dir))
-    spread = dedup.spread_by("event_id", 8)
-    hourly.start_hourly(tracking.drop("ts"), path, spread=spread).awaitTermination()
+    """From messages, with those sent again: the last write counts."""
+    lake, path = scratch_path(spark, "ingest"), scratch_path(spark, "hourly")
+    hourly.start_hourly(_sent_stream(spark, sf_dir), lake, path).awaitTermination()
     return _money(hourly.read_hourly(spark, path))

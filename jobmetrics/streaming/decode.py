@@ -10,20 +10,23 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobmetrics.functions.time_uuid import is_time_uuid, time_of
+from jobmetrics.functions.time_uuid import is_time_uuid, uuid_to_ts
 from jobmetrics.functions.values import text_to_double
 from jobmetrics.schemas import MESSAGE_FIELDS, MESSAGE_NUMBERS
 
 # Where and when the topic took a message in.
 POSITION = ["received_at", "offset", "partition"]
 _CORRUPT = "_corrupt"
+# A key may name any time from 1582 to 5236. Outside these bounds it is no event time, and
+# would make tables by day as wide as a clock can be wrong.
+PLAUSIBLE = "event_time >= TIMESTAMP '1990-01-01' AND event_time <= received_at + INTERVAL 1 DAY"
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
     """``value``, ``received_at``, ``offset`` and ``partition`` to the message fields plus
 
-    ``reject_reason`` (``malformed_json``, ``not_numeric``, ``bad_create_time``, NULL for a
-    good message), ``raw`` (the text of a rejected message) and ``dates`` (the day of a good one).
+    ``reject_reason`` (``malformed_json``, ``not_numeric``, ``bad_create_time``,
+    ``implausible_time``, NULL for a good message), ``raw`` (the text of a rejected message) and ``dates`` (the day of a good one).
     """
     layout = ", ".join(f"{name} STRING" for name in [*MESSAGE_FIELDS, _CORRUPT])
     message = F.from_json("_text", layout, {"columnNameOfCorruptRecord": _CORRUPT})
@@ -49,13 +52,15 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         F.when(~F.coalesce(readable, F.lit(False)), "malformed_json")
         .when(bad_number, "not_numeric")
         .when(~is_time_uuid(key), "bad_create_time")
+        .when(~F.coalesce(F.expr(PLAUSIBLE), F.lit(True)), "implausible_time")
     )
-    judged = typed.withColumn("reject_reason", reason).select(
+    timed = typed.withColumn("event_time", uuid_to_ts(key))
+    judged = timed.withColumn("reject_reason", reason).select(
         *MESSAGE_FIELDS,
         *POSITION,
         "reject_reason",
         F.when(F.col("reject_reason").isNotNull(), F.col("_text")).alias("raw"),
-        F.when(F.col("reject_reason").isNull(), F.to_date(time_of(key))).alias("dates"),
+        F.when(F.col("reject_reason").isNull(), F.to_date("event_time")).alias("dates"),
     )
     # One row per message all the same. The generator keeps later filters above it; they would
     # be moved below a projection and do the parsing a second time.

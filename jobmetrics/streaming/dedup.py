@@ -1,33 +1,48 @@
-"""First copy of each event on a stream, with bounded state."""
+"""First copy of each event on a stream.
+
+What a key's first copy is, is looked up in what earlier batches stored of the same days. So
+there is no state that grows, and no watermark behind which rows are lost.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from jobmetrics.operators.upsert import KEY, ORDER
+from jobmetrics.streaming.batch_log import ONCE, read_log, start_log
 
-def first_copies(
-    events: DataFrame,
-    event_time: str,
-    lateness: str,
-    spread: Column | None = None,
-    ahead: str = "1 hour",
-) -> DataFrame:
-    """Drop copies of a key that arrive within ``lateness`` of its first copy.
 
-    ``spread`` (a small integer that differs among copies) splits the copies of a key over
-    several tasks first; then each key sends at most one row per value of it. Use it where
-    some key has very many copies; it doubles the state.
+def first_by_key(rows: DataFrame) -> DataFrame:
+    """The copy of each key received first.
 
-    Events dated more than ``ahead`` after the clock are left out: a single one would move the
-    watermark past all events to come.
+    Like ``latest_by_key`` it is planned with a limit per key before the shuffle, so a key with
+    very many copies sends one per task.
     """
-    possible = F.col(event_time) <= F.current_timestamp() + F.expr(f"INTERVAL {ahead}")
-    rows = events.filter(possible).withWatermark(event_time, lateness)
-    if spread is not None:
-        rows = rows.withColumn("_spread", spread)
-        rows = rows.dropDuplicatesWithinWatermark(["create_time", "_spread"]).drop("_spread")
-    return rows.dropDuplicatesWithinWatermark(["create_time"])
+    oldest = Window.partitionBy(KEY).orderBy(*[F.col(c).asc_nulls_last() for c in ORDER])
+    ranked = rows.withColumn("_rank", F.row_number().over(oldest))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def start_first_copies(
+    events: DataFrame, path: str, layout: str, trigger: dict = ONCE
+) -> StreamingQuery:
+    """Store the first copy of each ``create_time``; ``layout`` has the columns to keep.
+
+    Events need their day (``dates``), which follows from the key, and the place in the topic.
+    """
+    columns = [part.split()[0] for part in layout.split(",")]
+
+    def new(batch: DataFrame, batch_id: int) -> DataFrame:
+        first = first_by_key(batch)
+        # One row per day there is; see PLAUSIBLE in streaming.decode.
+        days = [row["dates"] for row in batch.select("dates").distinct().collect()]
+        known = read_log(batch.sparkSession, path, layout, upto=batch_id - 1)
+        known = known.filter(F.col("dates").isin(days)).select("dates", KEY)
+        return first.join(known, ["dates", KEY], "left_anti").select(*columns)
+
+    return start_log(events, path, ["dates"], trigger, prepare=new)
 
 
-def spread_by(column: str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(parts))
+def read_first_copies(spark, path: str, layout: str) -> DataFrame:
+    return read_log(spark, path, layout).drop("batch")

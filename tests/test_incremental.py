@@ -1,9 +1,10 @@
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
+from jobmetrics.operators import audit, clean
 from jobmetrics.operators.clean import decode_events
 from jobmetrics.operators.numbering import with_surrogate
 from jobmetrics.plans import incremental
@@ -58,22 +59,67 @@ def test_load_that_died_before_its_record_is_repeated(spark, tracking, job_dim,
     assert stored(spark, store) == whole(tracking, job_dim)
 
 
-def test_late_events_need_a_look_back(spark, tracking, job_dim, store):
+def test_late_events_are_loaded_with_the_next_new_one(spark, tracking, job_dim, store):
+    """Without a look-back a load is complete, however late an event is."""
     on_time = F.col("event_id") % 11 != 0
     first = until(tracking, "2024-01-10 12:00:00")
     incremental.incremental_load(first.filter(on_time), job_dim, store)
-    incremental.incremental_load(tracking, job_dim, store, look_back=timedelta(days=30))
+    incremental.incremental_load(tracking, job_dim, store)
     assert stored(spark, store) == whole(tracking, job_dim)
+    assert incremental.days_of_last_load(spark, store) is None
+
+
+def test_what_a_look_back_leaves_out_is_told(spark, tracking, job_dim, store):
+    on_time = F.col("event_id") % 11 != 0
+    first = until(tracking, "2024-01-10 12:00:00")
+    incremental.incremental_load(first.filter(on_time), job_dim, store)
+    incremental.incremental_load(tracking, job_dim, store, look_back=timedelta(days=2))
+    fact = read_fact(spark, store.facts)
+    late = clean.tracking_clean(first.filter(~on_time)).filter("ts < timestamp'2024-01-08'")
+    late = clean.of_known_type(late).filter("job_id = floor(job_id)")
+    want = {(r["d"], r["count"]) for r in late.groupBy(F.to_date("ts").alias("d")).count().collect()}
+    found = audit.stale_days(tracking.drop("ts"), fact).collect()
+    assert want and {(r["dates"], r["events"] - r["loaded"]) for r in found} == want
 
 
-def test_days_before_the_watermark_are_left_alone(spark, tracking, job_dim, store):
+def test_days_before_the_look_back_are_left_alone(spark, tracking, job_dim, store):
     incremental.incremental_load(until(tracking, "2024-01-10 12:00:00"), job_dim, store)
     old = read_fact(spark, store.facts).filter("dates < date'2024-01-10'")
     before = rows_of(old.select("id", "updated_at"))
-    incremental.incremental_load(tracking, job_dim, store)
+    incremental.incremental_load(tracking, job_dim, store, look_back=timedelta(0))
     spark.catalog.refreshByPath(store.facts)
     old = read_fact(spark, store.facts).filter("dates < date'2024-01-10'")
     assert rows_of(old.select("id", "updated_at")) == before
+    assert stored(spark, store) == whole(tracking, job_dim)
+    assert min(incremental.days_of_last_load(spark, store)) == date(2024, 1, 10)
+
+
+def test_events_from_before_the_first_watermark_are_loaded(spark, tracking, job_dim, store):
+    old = F.lit("13814000-1dd2-11b2-8000-000000000000")  # 1970
+    rows = tracking.limit(50).withColumn("create_time", old)
+    assert incremental.incremental_load(rows, job_dim, store)
+    assert stored(spark, store) == whole(rows, job_dim)
+
+
+def test_a_first_load_scans_the_events_once(spark, tracking, job_dim, store, tmp_path, monkeypatch):
+    tracking.write.parquet(str(tmp_path / "events"))
+    scans = []
+    replace = incremental.replace_fact
+    monkeypatch.setattr(incremental, "replace_fact", lambda rows, path: (
+        scans.append(plan_of(rows).count("events")), replace(rows, path)))
+    monkeypatch.setattr(incremental, "newest_countable", None)  # not asked for
+    events = spark.read.parquet(str(tmp_path / "events"))
+    assert incremental.incremental_load(events, job_dim, store)
+    assert scans == [1]
+    newest = clean.of_known_type(clean.tracking_clean(tracking)).agg(F.unix_micros(F.max("ts"))).first()[0]
+    assert incremental.loaded_through(spark, store) == newest
+
+
+def test_an_emptied_day_is_removed(spark, tracking, job_dim, store):
+    incremental.incremental_load(until(tracking, "2024-01-10 12:00:00"), job_dim, store)
+    gone = tracking.filter("to_date(event_ts) <> date'2024-01-09'")
+    incremental.incremental_load(gone, job_dim, store, look_back=timedelta(days=3))
+    assert stored(spark, store) == whole(gone, job_dim)
 
 
 def test_event_from_the_future_does_not_stop_loads(spark, tracking, job_dim, store):
