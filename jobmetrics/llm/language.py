@@ -28,13 +28,13 @@ PENALTY = 6.0
 UNDETERMINED = "und"
 MIXTURE = "lang string, proportion double, score double, languages string"
 
-LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])
+LETTER = np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def trigrams(text: str) -> np.ndarray:
     """Hashes of the trigrams of a text's lower-cased letters, runs of others counting as one space."""
     codes = code_points(text.lower())
-    letter = np.where(codes < len(LETTER), LETTER[np.minimum(codes, len(LETTER) - 1)], True)
+    letter = LETTER[codes]
     if not letter.any():
         return np.zeros(0, np.int64)
     after_letter = np.concatenate([[False], letter[:-1]])
