@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobmetrics.llm import chunked_bpe, embeddings, fingerprints, html_density, language, minhash, packing, quality, token_files, toxicity
 from jobmetrics.llm.common import held_out, prepared
+from jobmetrics.llm.oracles import oracle_sql as oracle_sql
 from jobmetrics.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +96,3 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", kept_back.alias("held_out"), "toxicity.score",
         (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "toxicity.spans")
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
