@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_helpers import EDGES, documents, words
+from llm_helpers import EDGES, documents, edges, nothing, prepared, words  # noqa: F401
 
 from jobmetrics.llm import chunked_bpe as cb
 from jobmetrics.llm.queries import PATTERN, RANKS

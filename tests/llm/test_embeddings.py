@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from llm_helpers import prepared  # noqa: F401
 import numpy as np
 import pytest
 from test_minhash import least_reachable

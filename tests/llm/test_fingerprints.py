@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import xxhash
-from llm_helpers import EDGES, documents
+from llm_helpers import EDGES, documents, edges, nothing, prepared  # noqa: F401
 from pyspark.sql import functions as F
 
 from jobmetrics.llm import fingerprints as fp

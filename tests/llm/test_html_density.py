@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 
+from llm_helpers import prepared  # noqa: F401
 import pytest
 
 from jobmetrics.llm import html_density as hd

@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
-from llm_helpers import BIG, EDGES, documents, words
+from llm_helpers import BIG, EDGES, documents, edges, nothing, prepared, words  # noqa: F401
 
 from jobmetrics.llm import minhash as mh
 from jobmetrics.llm.components import components

@@ -6,7 +6,7 @@ from itertools import product
 
 import numpy as np
 import pytest
-from llm_helpers import EDGES, documents
+from llm_helpers import EDGES, documents, edges, nothing, prepared  # noqa: F401
 from pyspark.sql import functions as F
 
 from jobmetrics.llm import language, quality, queries, toxicity

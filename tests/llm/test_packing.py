@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
-from llm_helpers import EDGES, documents, words
+from llm_helpers import EDGES, documents, edges, nothing, prepared, words  # noqa: F401
 from test_token_files import ids_by_library
 
 from jobmetrics.llm import packing

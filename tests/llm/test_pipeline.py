@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline as cp
-from llm_helpers import EDGES
+import pytest
+from llm_helpers import EDGES, edges, nothing, prepared  # noqa: F401
+from oracle import compare
 from test_minhash import expected
 from test_packing import check
 
@@ -55,3 +57,9 @@ def test_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(names)
     assert set(contract.oracle_sql()) <= set(names)
     assert [n for n, _ in cp.STAGES] == ["quality", "language", "near-duplicates", "packing"]
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_its_twin(prepared, name):
+    path = SF.replace("0.01", "0.001")
+    assert compare(prepared, path, queries.queries()[name], queries.oracle_sql()[name]) == []

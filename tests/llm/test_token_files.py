@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from llm_helpers import EDGES, documents
+from llm_helpers import EDGES, documents, edges, nothing, prepared  # noqa: F401
 from pyspark.errors import PythonException
 from tokenizers import Tokenizer
 
