@@ -20,18 +20,21 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmetrics.llm.common import Batches, bounded_sample, map_rows, whole_text
+from jobmetrics.llm.common import Batches, bounded_sample, map_rows, stored, whole_text
+from jobmetrics.llm.minhash import shingles, signature
 
 # Learning sees at most this many documents of each label, and this many lines of each of them,
 # cut to this many tokens.
 SAMPLE_PER_LABEL, LINES_PER_DOCUMENT, LINE_TOKENS = 3_000, 2, 64
-# A feature marks toxic tokens if chance would give its counts with a probability below e^-18,
-# and it is this many times as frequent among toxic documents.
-SURPRISE, RATIO = 18.0, 4
+# A feature marks toxic tokens if chance would give its counts with a probability below e^-14
+# (about one in a million), and it is this many times as frequent among toxic documents.
+SURPRISE, RATIO = 14.0, 4
 WEIGHTS = 1 << 18
 STEPS, RATE, RIDGE = 40, 0.5, 1e-5
 WORDS_KEPT = 300_000
 THRESHOLD = 0.7
+# Documents that share one of so many hash minima count as copies when learning.
+MINIMA = 4
 # Marginals below this are not summed: a long clean text has very many of them.
 DOUBT = 0.2
 EVIDENCE = 4
@@ -221,9 +224,10 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_label: int
     chosen = bounded_sample(usable.where("label = 1"), per_label).union(
         bounded_sample(usable.where("label = 0"), per_label))
     # At most twice per_label rows, so they can be sent to every executor.
-    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-             .join(F.broadcast(chosen), "doc_id").select("label", "text"))
-    toxic_marks = surprising(texts, min(counts.get(0, 0), per_label), min(counts.get(1, 0), per_label))
+    sample = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+                    .join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+    texts, n_clean, n_toxic = without_copies(sample)
+    toxic_marks = surprising(texts, n_clean, n_toxic)
     lines = sorted((words.split(" "), list(map(int, flags))) for words, flags in
                    map_rows(texts, lambda batches: labelled_lines(batches, toxic_marks),
                             "words string, flags string").collect())
@@ -240,6 +244,34 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_label: int
     return model
 
 
+def without_copies(sample: DataFrame) -> tuple[DataFrame, int, int]:
+    """(label, text) of the documents that share none of a few hash minima with an earlier one,
+    and how many are clean and toxic.
+
+    Near copies of one document would make any of its words look like a mark. What reaches the
+    driver are a few numbers for each document of the bounded sample.
+    """
+
+    def minima(batches: Batches) -> Iterator[list[tuple]]:
+        for rows in batches:
+            sets = [shingles(text, 5) for _, _, text in rows]
+            yield [(doc, label, signature(s)[:MINIMA].tolist() if len(s) else [])
+                   for (doc, label, _), s in zip(rows, sets)]
+
+    found = map_rows(sample.select("doc_id", "label", "text"), minima,
+                     "doc_id long, label int, minima array<long>").collect()
+    seen: set[tuple[int, int]] = set()
+    kept = {}
+    for doc, label, least in sorted(map(tuple, found)):
+        keys = set(enumerate(least))
+        if seen.isdisjoint(keys):
+            kept[doc] = label
+        seen |= keys
+    ids = sample.sparkSession.createDataFrame([(doc,) for doc in kept], "doc_id long")
+    n_toxic = sum(kept.values())
+    return sample.join(F.broadcast(ids), "doc_id").select("label", "text"), len(kept) - n_toxic, n_toxic
+
+
 def surprising(texts: DataFrame, n_clean: int, n_toxic: int) -> frozenset[str]:
     """Marks that are in so many toxic documents, and so few clean ones, that it is no chance.
 

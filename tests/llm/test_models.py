@@ -6,7 +6,7 @@ from itertools import product
 
 import numpy as np
 import pytest
-from llm_helpers import EDGES, documents, edges, nothing, prepared  # noqa: F401
+from llm_helpers import EDGES, documents, edges, nothing, prepared, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from jobmetrics.llm import language, quality, queries, toxicity
@@ -163,6 +163,16 @@ def test_training_raises_the_likelihood_of_labelled_tokens():
     assert (p[[2, 6]] > 0.9).all() and (p[[0, 1, 3, 4, 5]] < 0.1).all()
 
 
+def test_copies_of_a_document_teach_once(prepared):
+    rows = [(i, 1, words(80, 5).replace("a", "b", i % 3)) for i in range(40)]
+    rows += [(100 + i, i % 2, words(60, 100 + i) + (" foulword" if i % 2 else "")) for i in range(80)]
+    sample = prepared.createDataFrame(rows, "doc_id long, label int, text string")
+    texts, clean, toxic = toxicity.without_copies(sample)
+    assert clean == 40 and 41 <= toxic <= 44 and texts.count() == clean + toxic
+    assert "foulword" in toxicity.surprising(texts, clean, toxic)
+    assert not {m for m in toxicity.surprising(texts, clean, toxic) if not m.startswith("foul")}
+
+
 def test_spans_are_offsets_in_the_text():
     text = "İ say: you FOUL, foul thing.\nfine"
     p = np.array([0, 0, 0, 0.9, 0.8, 0.1, 0, 0.6])
