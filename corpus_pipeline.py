@@ -8,8 +8,8 @@ from jobmetrics.llm import language, minhash, packing, quality
 from jobmetrics.llm.common import held_out, prepared, stored
 from jobmetrics.llm.queries import PATTERN, VOCABULARY
 
-# A document is one language's if that language has at least this share of it.
-LEAST_PROPORTION = 0.5
+# A document is in a language if that has at least this share; a passage in another one is no fault.
+LEAST_PROPORTION = 1 / 3
 
 
 def spare_name(docs: DataFrame, name: str) -> str:
@@ -29,7 +29,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters that are mostly in one of the languages learned."""
+    """Documents with letters of which one of the languages learned has a fair share."""
     prepared(spark)
     languages = language.learn(docs, ~held_out("doc_id", 4, 2))
     found = spare_name(docs, "mixture")
