@@ -128,6 +128,23 @@ def map_rows(df: DataFrame, function: Callable[[Batches], Iterable[list[tuple]]]
     return df.mapInArrow(run, ddl)
 
 
+def block_pairs(rows: DataFrame, sizes: DataFrame, by: list[str], node: str, block: int) -> DataFrame:
+    """Deals groups of rows to tasks so that every two rows of a group meet in one of them.
+
+    A group of more than ``block`` rows is cut into blocks by a hash of ``node``, and each two of
+    its blocks become a group of their own, named by the columns ``low`` and ``high``; ``block``
+    is the row's own. ``sizes`` has one row for each group: ``by`` and its ``count``.
+    """
+    large = sizes.where(F.col("count") > block).select(*by, F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    blocks = F.coalesce("blocks", F.lit(1))
+    dealt = (rows.join(large, by, "left").withColumn("block", F.pmod(F.xxhash64(node), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+             .drop("blocks", "other"))
+    group = [*by, "low", "high"]
+    return dealt.repartition(*group).sortWithinPartitions(*group, node)
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 

@@ -21,7 +21,7 @@ from math import acos, ceil, log, log2, pi
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmetrics.llm.common import Batches, bounded_sample, map_rows, stored
+from jobmetrics.llm.common import Batches, block_pairs, bounded_sample, map_rows, stored
 from jobmetrics.llm.components import components
 
 COSINE = 0.9
@@ -161,15 +161,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
 
     coded = stored(map_rows(unit, code, "node long, copies long, unit binary, packed binary, keys array<long>"), "codes")
     placed = coded.select("node", "copies", "unit", "packed", F.posexplode("keys").alias("table", "key"))
-    large = (coded.select(F.posexplode("keys").alias("table", "key")).groupBy("table", "key").count()
-             .where(F.col("count") > block)
-             .select("table", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    blocks = F.coalesce("blocks", F.lit(1))
-    own = F.pmod(F.xxhash64("node", "unit"), blocks).cast("int")
-    dealt = (placed.join(large, ["table", "key"], "left").withColumn("block", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("table", "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                     "block", "node", "copies", "unit", "packed"))
+    sizes = coded.select(F.posexplode("keys").alias("table", "key")).groupBy("table", "key").count()
+    together = block_pairs(placed, sizes, ["table", "key"], "node", block).select(
+        "table", "key", "low", "high", "block", "node", "copies", "unit", "packed")
 
     def match(batches: Batches) -> Iterable[list[tuple]]:
         rows = (row for batch in batches for row in batch)
@@ -178,7 +172,6 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
             if len(members) > 1:
                 yield list(compare(members, low, high, cosine, dimension))
 
-    together = dealt.repartition("table", "key", "low", "high").sortWithinPartitions("table", "key", "low", "high", "node")
     found = stored(map_rows(together, match, "node long, links long, least long"), "found")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     reached = components(found.select(F.col("node").alias("u"), F.col("least").alias("v")))

@@ -5,10 +5,12 @@
    a class has one row, however many copies there are.
 2. Rows of the signature are grouped into bands; classes that agree in a whole band meet in a
    bucket. A bucket does not give pairs of all its members. First each member is paired with two
-   hubs of each of its buckets, and the hub it meets most often is checked.
+   hubs of each of its buckets, and the hubs it meets most often are checked.
 3. Connected components of the links so found leave few buckets with members of different
-   components. Only there are members compared with each other, by signature, and the pairs
-   that could be similar enough are checked. Members of one component need no further link.
+   components. Only there members are compared with each other, within the task that holds the
+   bucket (or two blocks of a large one): by signatures first, where a pair counts in the first
+   bucket it shares, and those that have a partner again on whole sets. A task gives no pairs
+   but one link for each two components it finds connected.
 4. A check looks at the signatures first and then computes the similarity of the full sets.
 """
 
@@ -18,12 +20,11 @@ import hashlib
 from collections.abc import Iterable
 from functools import lru_cache
 from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from jobmetrics.llm.common import Batches, map_rows, stored, whole_text
+from jobmetrics.llm.common import Batches, block_pairs, map_rows, stored, whole_text
 from jobmetrics.llm.components import components
 
 # At similarity 0.8, two signatures share no band with probability (1 - 0.8^5)^36 < 1e-6.
@@ -33,6 +34,8 @@ PERCENT = 80
 # Signatures that agree in less than this share are not checked further: at similarity 0.8 the
 # share has a standard deviation of 0.03.
 LEAST_AGREEMENT = 0.8 - 5 * (0.8 * 0.2 / HASHES) ** 0.5
+# Hubs that a member is checked against, and members that one task compares with as many others.
+HUBS, MEMBERS = 3, 2048
 BLOCK = 1024
 WORDS_KEPT = 300_000
 
@@ -147,27 +150,72 @@ def linked(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, width: int
     return stored(map_rows(whole, compare, "u long, v long"), "links")
 
 
-def cross_pairs(batches: Batches) -> Iterable[list[tuple]]:
-    """Pairs of different components in a bucket whose sizes and signatures allow a link.
+def with_partner(members: list[tuple], across: bool) -> np.ndarray:
+    """Which members have one of another component whose size and signature allow a link.
 
-    Rows are (bucket, component, doc_id, n_shingles, signature), those of a bucket together.
+    Members are (block, band, component, n_shingles, signature); ``across`` compares those of
+    different blocks only. A pair that shares an earlier bucket is left to that.
     """
+    block, component, n = (np.array([m[k] for m in members]) for k in (0, 2, 3))
+    signed = np.frombuffer(b"".join(m[4] for m in members), "<u2").reshape(-1, HASHES)
+    band, found = members[0][1], np.zeros(len(members), bool)
+    for i in range(len(members) - 1):
+        fits = (component[i + 1:] != component[i]) & (
+            100 * np.minimum(n[i + 1:], n[i]) >= PERCENT * np.maximum(n[i + 1:], n[i]))
+        others = np.flatnonzero(fits & (block[i + 1:] != block[i]) if across else fits) + i + 1
+        if len(others):
+            same = signed[others] == signed[i]
+            others, same = (x[same.mean(1) >= LEAST_AGREEMENT] for x in (others, same))
+            earlier = same[:, :band * ROWS].reshape(len(others), band, ROWS).all(2).any(1)
+            others = others[~earlier]
+        if len(others):
+            found[i] = True
+            found[others] = True
+    return found
+
+
+def connecting_links(members: list[tuple], across: bool, width: int, percent: int) -> list[tuple[int, int]]:
+    """Links that connect components, as many as that takes: whole sets of (block, component, doc_id, text)."""
+    block, component, doc = (np.array([m[k] for m in members]) for k in (0, 1, 2))
+    sets = [shingles(m[3], width) for m in members]
+    sizes = np.array([len(s) for s in sets])
+    elements, number = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    names, counts = np.unique(component, return_counts=True)
+    largest = names[counts.argmax()]
+    links = []
+    for i in np.flatnonzero(component != largest):
+        mine = np.zeros(len(elements), bool)
+        mine[number[starts[i]:starts[i] + sizes[i]]] = True
+        common = np.add.reduceat(mine[number].astype(np.int64), starts)
+        near = (100 * common >= percent * (sizes + sizes[i] - common)) & (component != component[i])
+        if across:
+            near &= block != block[i]
+        for j in np.flatnonzero(near):
+            if component[j] != component[i]:
+                links.append((int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))))
+                component[component == component[j]] = component[i]
+    return links
+
+
+def groups(batches: Batches) -> Iterable[tuple[tuple, list[tuple]]]:
+    """Rows of one (bucket, low, high) after the other, without these columns."""
     rows = (row for batch in batches for row in batch)
-    for _, group in groupby(rows, itemgetter(0)):
-        members = list(group)
-        component = np.array([m[1] for m in members])
-        doc = np.array([m[2] for m in members])
-        n = np.array([m[3] for m in members])
-        signed = np.frombuffer(b"".join(m[4] for m in members), "<u2").reshape(-1, HASHES)
-        for i in range(len(members) - 1):
-            others = np.arange(i + 1, len(members))
-            fits = (component[others] != component[i]) & (100 * np.minimum(n[others], n[i])
-                                                          >= PERCENT * np.maximum(n[others], n[i]))
-            others = others[fits]
-            if len(others):
-                others = others[(signed[others] == signed[i]).mean(1) >= LEAST_AGREEMENT]
-            if len(others):
-                yield [(int(min(doc[i], doc[j])), int(max(doc[i], doc[j]))) for j in others]
+    for key, group in groupby(rows, lambda r: r[:3]):
+        yield key, [r[3:] for r in group]
+
+
+def possible_members(batches: Batches) -> Iterable[list[tuple]]:
+    for (bucket, low, high), rows in groups(batches):
+        found = with_partner([(block, band, component, n, signed)
+                              for block, band, component, _, n, signed in rows], low != high)
+        yield [(bucket, low, high, r[0], r[2], r[3]) for r, keep in zip(rows, found) if keep]
+
+
+def bucket_links(batches: Batches, width: int, percent: int) -> Iterable[list[tuple]]:
+    for (_, low, high), rows in groups(batches):
+        if len(rows) > 1:
+            yield connecting_links(rows, low != high, width, percent)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -187,17 +235,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     classes = (linkable.join(members.withColumnRenamed("node", "doc_id"), ["key_a", "key_b", "doc_id"])
                .dropDuplicates(["key_a", "key_b"]))
 
-    placed = classes.select("doc_id", F.explode("buckets").alias("bucket"))
+    placed = classes.select("doc_id", F.posexplode("buckets").alias("band", "bucket"))
     # A hub is the member whose id is least, or greatest, after an exclusive or with the bucket's key.
     coded = F.col("doc_id").bitwiseXOR(F.col("bucket"))
     shared = (placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min(coded).alias("low"), F.max(coded).alias("high"))
               .where("n > 1"))
-    meeting = stored(placed.join(shared, "bucket").select("bucket", "doc_id", "low", "high"), "buckets")
+    meeting = stored(placed.join(shared, "bucket").select("bucket", "band", "doc_id", "low", "high"), "buckets")
     hubs = F.explode(F.array("low", "high")).alias("hub")
     met = (meeting.select("bucket", "doc_id", hubs)
            .select("doc_id", F.col("hub").bitwiseXOR(F.col("bucket")).alias("hub")).where("doc_id <> hub")
            .groupBy("doc_id", "hub").count())
-    best = met.groupBy("doc_id").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    often = Window.partitionBy("doc_id").orderBy(F.desc("count"), "hub")
+    best = met.withColumn("rank", F.row_number().over(often)).where(F.col("rank") <= HUBS)
     pairs = best.select(F.least("doc_id", "hub").alias("u"), F.greatest("doc_id", "hub").alias("v")).distinct()
 
     involved = meeting.select("doc_id").distinct()
@@ -208,14 +257,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     first = stored(components(links), "components")
 
     known = meeting.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_buckets = (known.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-                    .where("a <> b").select("bucket"))
-    unsettled = (known.join(open_buckets, "bucket").join(signatures, "doc_id")
-                 .select("bucket", "component", "doc_id", "n_shingles", "signature")
-                 .repartition("bucket").sortWithinPartitions("bucket", "component", "doc_id"))
-    more = map_rows(unsettled, cross_pairs, "u long, v long").distinct().join(pairs, ["u", "v"], "left_anti")
-    also = linked(more, signatures, texts, width, percent)
+        "bucket", "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    open_buckets = (known.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"),
+                                                F.count("*").alias("count"))
+                    .where("a <> b").select("bucket", "count"))
+    unsettled = known.join(open_buckets.select("bucket"), "bucket").join(signatures, "doc_id")
+    names = ["bucket", "low", "high", "block", "band", "component", "doc_id"]
+    possible = stored(map_rows(
+        block_pairs(unsettled, open_buckets, ["bucket"], "doc_id", MEMBERS).select(*names, "n_shingles", "signature"),
+        lambda batches: possible_members(batches),
+        "bucket long, low int, high int, block int, component long, doc_id long"), "possible")
+    group = ["bucket", "low", "high"]
+    whole = (possible.join(texts, "doc_id").select(*group, "block", "component", "doc_id", "text")
+             .repartition(*group).sortWithinPartitions(*group, "component", "doc_id"))
+    also = stored(map_rows(whole, lambda batches: bucket_links(batches, width, percent), "u long, v long").distinct(),
+                  "more-links")
     stars = first.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")
     reached = components(stars.union(also))
 
