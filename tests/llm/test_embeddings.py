@@ -21,7 +21,8 @@ def expected(rows, cosine=0.9):
     """(vec_id, n_links, component_id, kept) for ids that do not repeat."""
     usable = [(i, np.array(x, np.float32).astype(float)) for i, x in rows
               if i is not None and x and None not in x and np.isfinite(x).all() and np.any(x)]
-    size = max((len(x) for _, x in usable), default=0)
+    lengths = [len(x) for _, x in usable]
+    size = max(lengths, key=lambda n: (lengths.count(n), n), default=0)
     usable = [(i, x / np.linalg.norm(x)) for i, x in usable if len(x) == size]
     links = []
     if usable:
