@@ -83,8 +83,11 @@ def test_edited_copies_chains_and_a_group_of_copies(prepared):
     assert got(mh.near_duplicates(documents(prepared, rows), 4)) == want
 
 
-def test_members_of_a_bucket_that_hubs_do_not_link(prepared):
-    """Links between members that are not similar to their hubs are found in the second step."""
+@pytest.mark.parametrize("block", [8, 2048])
+def test_members_of_a_bucket_that_hubs_do_not_link(prepared, monkeypatch, block):
+    """Links between members that are not similar to their hubs are found in the second step,
+    also where a bucket is cut into blocks."""
+    monkeypatch.setattr(mh, "MEMBERS", block)
     rows = []
     for pair in range(30):
         base = words(60, 7).split() + words(25, 100 + pair).split()
