@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobmetrics.llm.common import Batches, code_points, map_rows, whole_text
+from jobmetrics.llm.common import Batches, code_points, map_rows, may_be_sampled, whole_text
 
 # Learning sees at most this many documents of each language.
 SAMPLE_PER_LANGUAGE = 2_000
@@ -108,10 +108,13 @@ def learn(docs: DataFrame, learnable: Column, per_language: int = SAMPLE_PER_LAN
     are read whole. What reaches the driver are BUCKETS counts for each language.
     """
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-           .where(learnable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    usable = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
+              .where(learnable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()))
+    # One row a language, and at most per_language ids of each: less than the model itself, which
+    # every task gets too.
+    counts = usable.groupBy("lang").agg(F.count("*").alias("total"))
+    ids = (usable.join(F.broadcast(counts), "lang").where(may_be_sampled(F.xxhash64("doc_id"), F.col("total"), per_language))
            .withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang"))
-    # per_language ids of each language: less than the model itself, which every task gets too.
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                          whole_text().alias("text")).join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text"))
 
