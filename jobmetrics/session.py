@@ -69,7 +69,8 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         if not _local_scratch:
             _local_scratch.append(tempfile.TemporaryDirectory(prefix="jobmetrics-"))

@@ -210,6 +210,7 @@ def test_scratch_is_in_the_shared_folder():
     path = scratch_path(shared, "x")
     assert path.startswith("hdfs://shared/checkpoints/jobmetrics/x-")
     assert path != scratch_path(shared, "x")
-    with pytest.raises(RuntimeError):
-        scratch_path(session(**{"spark.master": "yarn"}), "x")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            scratch_path(session(**{"spark.master": master}), "x")
     assert scratch_path(session(**{"spark.master": "local[4]"}), "x")
