@@ -1,11 +1,13 @@
-"""Document fingerprints: every shingle hash below a fixed fraction of the hash range.
+"""Document fingerprints: every shingle hash in a fixed fraction of the hash range.
 
 A sketch keeps the hashes of those five-word shingles whose 64-bit hash lies in the lowest
 1/SCALE of the range. Membership depends on the hash alone, so sketches merge by union, grow
 with their documents, and compare documents of very unequal lengths: the share of the smaller
-sketch that the larger one has too estimates how much of the shorter document the longer one
-contains. A text of which no hash lies below keeps its lowest hash instead, so that only texts
-without words have an empty sketch. Everything is Spark SQL functions.
+sketch that the larger one has too is how much of the shorter document the longer one contains.
+SCALE is 1, all hashes, so that this holds for short texts too; with a larger scale it is an
+estimate, which for texts of a few shingles is poor, and a text of which no hash lies below
+keeps its lowest hash instead. Only texts without words have an empty sketch. Everything is
+Spark SQL functions.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from jobmetrics.llm.common import LOWEST, id_bounds, long_array, range_of, shuffle_width, whole_text
 
 SHINGLE_WORDS = 5
-SCALE = 8
+SCALE = 1
 RANGES_PER_PARTITION = 4
 
 
@@ -36,8 +38,9 @@ def shingle_hashes(word_array: Column, width: int = SHINGLE_WORDS) -> Column:
 
 def below(hashes: Column, scale: int = SCALE) -> Column:
     """The distinct hashes in the lowest 1/scale of the range, in ascending order."""
-    limit = F.lit(LOWEST + (1 << 64) // scale)
-    return F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h < limit)))
+    highest = F.lit(LOWEST + (1 << 64) // scale - 1)
+    kept = F.filter(hashes, lambda h: h <= highest) if scale > 1 else hashes
+    return F.sort_array(F.array_distinct(kept))
 
 
 def or_lowest(kept: Column, hashes: Column) -> Column:
@@ -108,12 +111,13 @@ def fingerprint_and_edit(docs: DataFrame) -> DataFrame:
     columns other than doc_id and text are left out.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    own = with_sketch(base, "text", "sketch").withColumn("n_chars", F.char_length("text").cast("long"))
     replaced = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - replaced),
                       F.substring("next_text", F.lit(1), replaced))
-    both = with_next(own, ["text", "sketch"]).withColumn("edited", edited).drop("text", "next_text")
-    found = with_sketch(both, "edited", "edited_sketch")
+    # Sketches are made after the rows have been dealt out, which so moves texts only.
+    found = with_next(base.withColumn("n_chars", F.char_length("text").cast("long")), ["text"]).withColumn("edited", edited)
+    for text, sketch in (("text", "sketch"), ("next_text", "next_sketch"), ("edited", "edited_sketch")):
+        found = with_sketch(found, text, sketch)
     return found.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_string(F.col("sketch")).alias("fingerprint"), as_string(F.col("edited_sketch")).alias("edited_fingerprint"),

@@ -92,3 +92,34 @@ def test_merging_is_the_sketch_of_all(prepared):
     want = sorted(set(brute_sketch(a)) | set(brute_sketch(b)))
     limit = -(1 << 63) + (1 << 64) // fp.SCALE
     assert merged == ([h for h in want if h < limit] or want[:1])
+
+
+def test_containment_is_that_of_the_shingle_sets_at_every_length(prepared, sf_dir):
+    def shingles(text):
+        w = [x for x in text.lower().split() if x]
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4) if w else 0)}
+
+    docs = prepared.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").select("doc_id", "text").collect()
+    found = {r["doc_id"]: r for r in fp.fingerprint_and_edit(documents(prepared, [tuple(r) for r in docs])).collect()}
+    errors = {12: [], 25: [], 50: [], 100: [], 400: [], 20_000: []}
+    for at, (doc, text) in enumerate(docs):
+        following, k = docs[(at + 1) % len(docs)]["text"] or "", len(text or "") // 4
+        own = shingles(text or "")
+        length = next(n for n in errors if len((text or "").split()) <= n)
+        for column, other in (("near_edited", (text or "")[:len(text or "") - k] + following[:k]), ("near_next", following)):
+            errors[length].append(abs(found[doc][column] - containment(own, shingles(other))))
+    assert {n: max(e) for n, e in errors.items() if e and max(e) > 1e-9} == {}
+
+
+def test_a_short_text_in_a_long_one_is_contained_whole(prepared):
+    long = [f"w{i}" for i in range(300)]
+    rows = [(2 * i + j, " ".join(long[i:i + 5 + i % 9] if j == 0 else long)) for i in range(50) for j in (0, 1)]
+    found = fp.fingerprint_and_edit(documents(prepared, rows)).collect()
+    assert {r["near_next"] for r in found if r["doc_id"] % 2 == 0} == {1.0}
+
+
+def test_sketches_of_a_fraction_are_those_hashes(prepared):
+    text = " ".join(f"w{i}" for i in range(300))
+    df = fp.with_sketch(prepared.createDataFrame([(text,)], "a string"), "a", "all")
+    every, part = df.select("all", fp.below(F.col("all"), 8)).first()
+    assert part == [h for h in every if h < -(1 << 63) + (1 << 61)] and 0 < len(part) < len(every) == 296
