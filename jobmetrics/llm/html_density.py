@@ -5,7 +5,8 @@ sum of its children's densities is large for the element that holds the paragrap
 whose density is below the threshold, the least density on the way from the body down to the
 densest block, are no candidates; of the others the one with the largest sum is the main text.
 If it lies in an ``article`` or ``main`` element, that element is taken. Elements that say what
-they are (menus, footers, forms, adverts, ...) take no part.
+they are (menus, footers, forms, adverts, ...) take no part; a class or an id says so only of an
+element that does not hold the main text by its structure or size.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import accumulate
 from math import e, log
 
 from pyspark.sql import DataFrame, functions as F
@@ -61,6 +63,7 @@ class Element:
     name: str
     parent: int
     left_out: bool
+    named: bool
     in_link: bool
     last: int = 0
     chars: int = 0
@@ -78,26 +81,27 @@ class Page:
     texts: list[tuple[int, int, str]] = field(default_factory=list)
 
 
-def left_out(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element says that it is no main text."""
+def says(name: str, rest: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element says that it is no main text, and whether its class or id suggests so."""
     if name in NOT_CONTENT or (name == "header" and not in_article):
-        return True
+        return True, False
+    named = False
     if not rest or name in ("html", "body", "article", "main"):
-        return False
+        return False, named
     for key, *values in ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values).lower()
         if key in ("class", "id") and not NAME_PARTS.isdisjoint(PART.findall(value)):
-            return True
+            named = True
         if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return True, named
         if key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return True, named
+    return False, named
 
 
 def parse(html: str) -> Page:
     """The page's elements, with missing end tags put where browsers put them."""
-    page = Page([Element("", -1, False, False)])
+    page = Page([Element("", -1, False, False, False)])
     elements, texts, stack = page.elements, page.texts, [0]
     block, at = 0, 0
 
@@ -139,7 +143,8 @@ def parse(html: str) -> Page:
                 close_to(depth)
         parent = elements[stack[-1]]
         in_article = any(elements[i].name in ("article", "main") for i in stack)
-        element = Element(name, stack[-1], parent.left_out or left_out(name, token["rest"], in_article),
+        no_content, named = says(name, token["rest"], in_article)
+        element = Element(name, stack[-1], parent.left_out or no_content, named,
                           parent.in_link or name == "a", len(elements))
         parent.children.append(len(elements))
         elements.append(element)
@@ -151,9 +156,47 @@ def parse(html: str) -> Page:
     if at < len(html):
         texts.append((stack[-1], block, html[at:]))
     close_to(0)
+    leave_out_named(page)
     return page
 
 
+def leave_out_named(page: Page) -> None:
+    """Leaves out the elements with a telling class or id, unless they hold the main text.
+
+    They hold it if a main or h1 element is in them, or an article (articles in an article are
+    comments on it), or most of the page's text, unless that is beside the page's main element
+    or only article. What is in such an element is judged by itself.
+    """
+    elements = page.elements
+    if not any(x.named and not x.left_out for x in elements):
+        return
+    sizes = [0] * len(elements)
+    for index, _, text in page.texts:
+        sizes[index] += 0 if elements[index].left_out else len(text.strip())
+    text_before = [0, *accumulate(sizes)]
+
+    def held(before: list[int], index: int) -> int:
+        return before[elements[index].last + 1] - before[index]
+
+    def before(*names: str) -> list[int]:
+        return [0, *accumulate(int(x.name in names and not x.left_out and held(text_before, i) > 0)
+                               for i, x in enumerate(elements))]
+
+    heads, mains, articles = before("main", "h1"), before("main"), before("article")
+    above = [(0, 0)] * len(elements)
+    for i, x in enumerate(elements[1:], 1):
+        parent = elements[x.parent]
+        in_mains, in_articles = above[x.parent]
+        above[i] = in_mains + (parent.name == "main"), in_articles + (parent.name == "article")
+        if parent.left_out:
+            x.left_out = True
+        elif x.named and not x.left_out:
+            beside = mains[-1] > held(mains, i) + above[i][0] or (
+                articles[-1] == 1 and not held(articles, i) and not above[i][1])
+            x.left_out = not (held(heads, i) or held(articles, i) and not above[i][1]
+                              or 2 * held(text_before, i) > text_before[-1] and not beside)
+
+
 def densities(page: Page) -> tuple[list[float], list[float]]:
     """Composite density of each element, and the sum of its children's (its own, if it has none)."""
     elements = page.elements

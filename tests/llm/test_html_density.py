@@ -60,3 +60,41 @@ def test_edges(prepared):
     got = hd.main_text(prepared.createDataFrame(rows, schema)).collect()
     assert sorted(map(tuple, got), key=str) == [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]
     assert hd.main_text(prepared.createDataFrame([], schema)).collect() == []
+
+
+POST = f"<h1>Title</h1><p>{'long text ' * 30}</p><p>{'more text ' * 30}</p>"
+PARAGRAPHS = "\n".join([("long text " * 30).strip(), ("more text " * 30).strip()])
+SIDE = '<div class="sidebar"><p>other pages of this place</p></div>'
+WRAPPED = [
+    f'<div class="layout has-sidebar"><article>{POST}</article>{SIDE}</div>',
+    f'<div id="notice-1234"><main>{POST}</main></div>',
+    f'<div class="share-price-report">{POST}</div>{SIDE}',
+    f'<div class="page-with-widget"><div id="social-page"><article>{POST}</article>{SIDE}</div></div>',
+    f'<article><div class="related-work">{POST}</div></article>{SIDE}',
+    f'<div class="promo"><article><p>teaser</p></article></div><div class="has-sidebar"><article>{POST}</article></div>',
+]
+
+
+@pytest.mark.parametrize("inside", WRAPPED)
+def test_names_of_wrappers_do_not_lose_the_main_text(inside):
+    assert hd.extract(f"<body>{BOILERPLATE}{inside}<footer>me</footer>") == f"Title\n{PARAGRAPHS}"
+
+
+def test_most_of_the_text_is_main_text_whatever_its_name():
+    text = POST.replace("<h1>Title</h1>", "")
+    assert hd.extract(f"<body>{BOILERPLATE}<div class='share-price-report'>{text}</div>{SIDE}") == PARAGRAPHS
+    assert hd.extract(f"<body><main><div id='notice-7'>{text}</div></main>{SIDE}") == PARAGRAPHS
+    assert hd.extract("<div class='notice'>all there is</div>") == "all there is"
+
+
+def test_comments_and_adverts_stay_out_by_name():
+    comments = "<div class='comments'>" + f"<article><p>{'I disagree ' * 12}</p></article>" * 3 + "</div>"
+    plain = comments.replace("article>", "div>")
+    assert hd.extract(f"<body><article><h1>T</h1><p>short post</p></article>{plain}") == "T\nshort post"
+    assert hd.extract(f"<body><main><p>short post</p></main>{plain}") == "short post"
+    assert hd.extract(f"<body><article>{POST}{comments}</article>") == f"Title\n{PARAGRAPHS}"
+    assert hd.extract(f"<body><div>{POST}</div>{SIDE}<div class='ad'>Buy</div>").endswith(PARAGRAPHS)
+
+
+def test_named_elements_without_end_take_linear_time():
+    assert hd.extract("<div class=ad>" * 3000 + "deep") == "deep"
