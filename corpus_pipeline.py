@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from jobmetrics.llm import language, minhash, packing, quality
-from jobmetrics.llm.common import held_out, prepared, stored
+from jobmetrics.llm.common import held_out, prepared, stored, whole_text
 from jobmetrics.llm.queries import PATTERN, VOCABULARY
 
 # A document is in a language if that has at least this share; a passage in another one is no fault.
@@ -29,11 +29,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters of which one of the languages learned has a fair share."""
+    """Documents with letters, in the languages learned, of which one has a fair share."""
     prepared(spark)
     languages = language.learn(docs, ~held_out("doc_id", 4, 2))
     found = spare_name(docs, "mixture")
-    known = (F.col(f"{found}.lang") != language.UNDETERMINED) & (F.col(f"{found}.proportion") >= LEAST_PROPORTION)
+    known = ((F.col(f"{found}.lang") != language.UNDETERMINED) & (F.col(f"{found}.proportion") >= LEAST_PROPORTION)
+             & language.in_known_language(languages, whole_text()))
     return language.with_language(docs, languages, found).where(known).select(*docs.columns)
 
 

@@ -8,11 +8,12 @@ import corpus_pipeline as cp
 import pytest
 from llm_helpers import EDGES, edges, nothing, prepared  # noqa: F401
 from oracle import compare
+from pyspark.sql import functions as F
 from test_minhash import expected
 from test_packing import check
 
 import __spark_entry__ as contract
-from jobmetrics.llm import queries
+from jobmetrics.llm import language, queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -63,3 +64,44 @@ def test_registered():
 def test_query_equals_its_twin(prepared, name):
     path = SF.replace("0.01", "0.001")
     assert compare(prepared, path, queries.queries()[name], queries.oracle_sql()[name]) == []
+
+
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem. ",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью. ",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki. ",
+]
+
+
+def test_texts_in_a_language_not_learned_go(prepared):
+    docs = prepared.read.parquet(f"{SF}/documents.parquet")
+    for left_out in ("es", "de"):
+        learned = F.when(F.col("lang") != left_out, F.col("lang"))
+        kept = {r["doc_id"] for r in cp.known_language(prepared, docs.withColumn("lang", learned), SF).collect()}
+        rows = docs.where(F.length("text") > 300).select("doc_id", "lang").collect()
+        foreign, known = ([r["doc_id"] in kept for r in rows if (r["lang"] == left_out) == k] for k in (True, False))
+        assert len(foreign) > 50 and sum(foreign) <= 0.05 * len(foreign)
+        assert sum(known) >= 0.99 * len(known)
+
+
+def test_foreign_texts_go_and_foreign_passages_stay(prepared):
+    docs = prepared.read.parquet(f"{SF}/documents.parquet")
+    long = docs.where(F.length("text") > 600).orderBy("doc_id").limit(60).collect()
+    texts = {10**9 + i: text * 5 for i, text in enumerate(FOREIGN)}
+    mixed = {2 * 10**9 + i: r["text"][:600] + "\n" + (FOREIGN[i % 3] * 3)[:250] for i, r in enumerate(long)}
+    added = [tuple({**long[0].asDict(), "doc_id": d, "text": t, "lang": None}.values()) for d, t in {**texts, **mixed}.items()]
+    kept = cp.known_language(prepared, docs.union(prepared.createDataFrame(added, docs.schema)), SF)
+    found = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert not found & set(texts)
+    assert len(found & set(mixed)) >= len(mixed) - 1
+
+
+def test_a_language_learned_from_little_stays(prepared):
+    docs = prepared.read.parquet(f"{SF}/documents.parquet")
+    few = docs.where("lang = 'fr'").orderBy("doc_id").limit(3).select("doc_id")
+    ids = [r["doc_id"] for r in few.collect()]
+    lang = F.when((F.col("lang") != "fr") | F.col("doc_id").isin(ids), F.col("lang"))
+    languages = language.learn(docs.withColumn("lang", lang), F.lit(True))
+    rows = docs.where("lang = 'fr'").withColumn("known", language.in_known_language(languages, F.col("text"))).collect()
+    assert languages.unseen[languages.names.index("fr")] > 10 * max(u for n, u in zip(languages.names, languages.unseen) if n != "fr")
+    assert sum(r["known"] for r in rows) >= 0.98 * len(rows)
