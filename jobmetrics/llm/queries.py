@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm import chunked_bpe, embeddings, fingerprints, html_density, language, minhash, packing, quality, token_files, toxicity
+from jobmetrics.llm import (
+    chunked_bpe, embeddings, fingerprints, html_density, language, minhash, packing, quality, repeated_windows, token_files,
+    toxicity,
+)
 from jobmetrics.llm.common import held_out, prepared
 from jobmetrics.llm.oracles import oracle_sql as oracle_sql
 from jobmetrics.session import scratch_path
@@ -96,3 +99,9 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", kept_back.alias("held_out"), "toxicity.score",
         (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "toxicity.spans")
 
+
+
+@_query
+def op13_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeated_windows.without_repeats(table(spark, sf_dir, "documents"), length=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
