@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobmetrics.llm import (
-    chunked_bpe, embeddings, fingerprints, html_density, language, minhash, packing, quality, repeated_windows, token_files,
+    chunked_bpe, collocations, dual_tree_search, embeddings, fingerprints, html_density, language, minhash, packing, quality, repeated_windows, token_files,
     toxicity,
 )
 from jobmetrics.llm.common import held_out, prepared
@@ -101,6 +101,16 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, limit=2000)
+
+
+@_query
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 @_query
 def op13_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeated_windows.without_repeats(table(spark, sf_dir, "documents"), length=20)

@@ -1,0 +1,101 @@
+"""Phrases against a version in plain Python that counts all of them."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_helpers import EDGES, documents, edges, nothing, prepared, words  # noqa: F401
+
+from jobmetrics.llm import collocations as co
+
+
+def brute(rows, least, limit):
+    """(lang, rank, phrase, a, l, r, n, score) for (text, lang)."""
+    counts: dict[str, Counter] = {}
+    for text, lang in rows:
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            found = re.findall(r"[^\x20\x09]+", piece)
+            counted = counts.setdefault("und" if lang is None else lang, Counter())
+            for size in range(1, 5):
+                counted.update(tuple(found[i:i + size]) for i in range(len(found) - size + 1))
+    out = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        dropped = {p[i:i + size] for p, a in candidates.items() for size in range(2, len(p)) for i in range(len(p) - size + 1)
+                   if 100 * a >= 80 * f[p[i:i + size]]}
+        scored = []
+        for p, a in candidates.items():
+            if p not in dropped:
+                score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+                scored.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        n = sum(a for p, a in f.items() if len(p) == 1)
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:limit], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def got(docs, least, limit):
+    return sorted(tuple(r) for r in co.collocations(docs, least, limit).collect())
+
+
+def texts(seed, docs=150):
+    """Texts of few words, so that phrases of all lengths repeat; some phrases nearly always occur in longer ones."""
+    draw = random.Random(seed)
+    fixed = [["new", "york", "city", "hall"], ["in", "spite", "of"], ["New", "York"], ["spite", "of", "the", "rain"], ["a", "a", "a", "a"]]
+    rows = []
+    for _ in range(docs):
+        out = []
+        for _ in range(draw.randint(0, 30)):
+            out += draw.choice(fixed) if draw.random() < 0.4 else [draw.choice(["the", "of", "in", "hall", "rain", "x", "É", "é"])]
+            out.append(draw.choice(["", "", "", "", "", ",", ".\n", "\t", "!"]))
+        rows.append((" ".join(out), draw.choice(["en", "en", "de", None])))
+    return rows
+
+
+@pytest.mark.parametrize("least, limit", [(3, 5), (3, 40), (10, 10), (2, 10_000)])
+def test_against_brute_force(prepared, least, limit):
+    rows = texts(least * 7 + limit)
+    docs = documents(prepared, [(i, *r) for i, r in enumerate(rows)])
+    want = brute(rows, least, limit)
+    assert got(docs, least, limit) == want and len(want) >= min(limit, 20)
+
+
+def test_the_frontier_goes_down_until_enough_survive(prepared, monkeypatch):
+    """With a first floor above most phrases, the same phrases come out after it was lowered."""
+    monkeypatch.setattr(co, "AHEAD", 1)
+    asked, original = [], co._score_at
+    monkeypatch.setattr(co, "_score_at", lambda pairs, rank: asked.append(rank) or original(pairs, rank))
+    # Pairs that always occur in longer phrases score best, and none of them survives.
+    rows = [(" . ".join(["one two three four"] * 3 + ["five six seven", "red sea", "red sea", "red", "sea", "sun red"]), "en")] * 5
+    docs = documents(prepared, [(i, *r) for i, r in enumerate(rows)])
+    assert got(docs, 5, 4) == brute(rows, 5, 4)
+    assert len(asked) > 1
+
+
+def test_chunks_do_not_matter(prepared, monkeypatch):
+    rows = texts(3)
+    docs = documents(prepared, [(i, *r) for i, r in enumerate(rows)])
+    want = brute(rows, 4, 30)
+    assert got(docs.coalesce(1), 4, 30) == want and got(docs.repartition(9), 4, 30) == want
+
+
+def test_words_of_two_languages_are_apart(prepared):
+    rows = [("es en es en", "en"), ("en es de", "es"), ("de en", "de")] * 4
+    docs = documents(prepared, [(i, *r) for i, r in enumerate(rows)])
+    assert got(docs, 4, 10) == brute(rows, 4, 10)
+
+
+def test_one_phrase_in_a_third_of_all_texts(prepared):
+    rows = [("same old words here" if i % 3 == 0 else words(12, i), "en") for i in range(300)]
+    docs = documents(prepared, [(i, *r) for i, r in enumerate(rows)])
+    assert got(docs, 30, 10) == brute(rows, 30, 10) == [("en", 1, "same old words here", 100, 100, 100, 2800, 1_000_000)]
+
+
+def test_edges(prepared, edges, nothing):
+    rows = [(r[1], "en") for r in EDGES]
+    assert got(edges, 2, 10_000) == brute(rows, 2, 10_000)
+    assert got(nothing, 2, 10) == [] and got(documents(prepared, [(1, None), (2, "")]), 1, 10) == []

@@ -1,0 +1,114 @@
+"""Ranks against a version in plain Python that scores every document for every item."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_helpers import BIG, EDGES, documents, edges, nothing, prepared, words  # noqa: F401
+
+from jobmetrics.llm import dual_tree_search as dt
+
+ITEMS = "item_id long, text string, score string, doc_id string"
+
+
+def found_terms(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+
+def brute(rows, items, k):
+    counted = [(doc, Counter(found_terms(text))) for doc, text in rows]
+    holding = Counter(t for _, c in counted for t in c)
+    n, total = sum(1 for _, c in counted if c), sum(c.total() for _, c in counted)
+    wanted: dict = {}
+    for item, text in items:
+        wanted.setdefault(item, set()).update(found_terms(text))
+    out = []
+    for item, terms in wanted.items():
+        scored = []
+        for doc, c in counted:
+            score = 0
+            for t in terms & c.keys():
+                m = 100 - 50 + 50 * c.total() * n // total
+                score += math.floor(1000 * math.log((2 * n + 2) / (2 * holding[t] + 1))) * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0))
+        out += [(item, rank, None if missing else doc, -score) for rank, (score, missing, doc) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=str)
+
+
+def got(docs, items, k):
+    return sorted((tuple(r) for r in dt.search(docs, items, k).collect()), key=str)
+
+
+def items_of(spark, items):
+    return spark.createDataFrame([(*i, "s", "d") for i in items], ITEMS)
+
+
+@pytest.mark.parametrize("k", [1, 7, 50])
+def test_whole_tables(prepared, sf_dir, k):
+    docs, items = (prepared.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = brute(rows, [tuple(r) for r in items.select("item_id", "text").collect()], k)
+    assert got(docs, items, k) == want
+
+
+def random_case(seed, docs=400, items=40):
+    draw = random.Random(seed)
+    some = [f"w{i}" for i in range(120)] + ["É1", "漢字"]
+    weights = [1 / (i + 1) for i in range(len(some))]
+    rows = [(i * 5 - 300, " ".join(draw.choices(some, weights, k=draw.randint(0, 60)))) for i in range(docs)]
+    return rows, [(i, "-".join(draw.choices(some, k=draw.randint(0, 9)))) for i in range(items)]
+
+
+@pytest.mark.parametrize("fan_out, block, cells", [(2, 16_384, 4096), (8, 40, 1 << 20), (3, 1, 2000)])
+def test_trees_and_blocks_do_not_matter(prepared, monkeypatch, fan_out, block, cells):
+    """Small batches, few terms in a block, and many ties: half of the documents are there twice."""
+    for name, value in (("FAN_OUT", fan_out), ("BLOCK_TERMS", block), ("CELLS", cells)):
+        monkeypatch.setattr(dt, name, value)
+    rows, items = random_case(fan_out, items=12)
+    rows += [(doc + 1, text) for doc, text in rows[::2]]
+    want = brute(rows, items, 10)
+    docs = documents(prepared, rows)
+    assert got(docs, items_of(prepared, items), 10) == want
+    assert got(docs.repartition(5, "text"), items_of(prepared, items), 10) == want
+
+
+def test_bounds_prune_and_lose_nothing():
+    draw = np.random.default_rng(5)
+    docs = np.where(draw.random((300, 60)) < 0.1, draw.integers(1, 1000, (300, 60)), 0)
+    docs = docs[np.argsort(docs.argmax(1))]
+    held = [np.unique(draw.integers(0, 60, 6)) for _ in range(50)]
+    tree = dt.ItemTree(held, np.ones(60, np.int64))
+    exact = np.stack([docs[:, h].sum(1) for h in held])
+    floors = np.sort(exact, 1)[:, -10]
+    pairs = dt.reaching(tree, dt.levels(docs, dt.FAN_OUT), np.arange(60), floors)
+    left = {(tree.order[i], int(d)) for i, d in pairs}
+    assert {tuple(p) for p in np.argwhere(exact >= floors[:, None]).tolist()} <= left
+    assert len(left) < 0.2 * exact.size
+    # Groups of documents without a live pair are not looked into.
+    assert dt.reaching(tree, dt.levels(docs, dt.FAN_OUT), np.arange(60), exact.max(1) + 1).size == 0
+
+
+def test_edges(prepared, edges, nothing):
+    items = [(1, "one"), (None, "ID no"), (3, None), (4, "!!"), (5, "absent"), (5, "one 123"), (BIG, words(40, 9)), (7, "漢字 x")]
+    rows = [(r[0], r[1]) for r in EDGES]
+    found = dt.search(edges, items_of(prepared, items), 3).collect()
+    want = brute(rows, items, 3)
+    # Rows with one id and one text tie.
+    assert sorted(map(tuple, found), key=str) == want and {r[0] for r in want} == {1, None, 5, BIG, 7}
+    assert dt.search(nothing, items_of(prepared, items), 3).collect() == []
+    assert dt.search(edges, items_of(prepared, []), 3).collect() == []
+
+
+def test_a_third_of_all_documents_are_copies(prepared):
+    rows = [(i, "alpha beta gamma" if i % 3 == 0 else f"alpha {words(5, i)}") for i in range(900)]
+    items = [(1, "alpha beta"), (2, "alpha"), (3, words(5, 1))]
+    want = brute(rows, items, 50)
+    assert got(documents(prepared, rows), items_of(prepared, items), 50) == want
+    assert [r[2] for r in sorted(want) if r[0] == 1] == [3 * i for i in range(50)]
