@@ -17,13 +17,16 @@ from collections.abc import Callable, Iterable, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from jobmetrics.llm.common import shuffle_width
 from jobmetrics.llm.minhash import mixed
 
 ASKS = "part long, block long, keys binary, counts binary"
 # Keys of one part, about: what one task sorts at a time.
 PART_KEYS = 1_000_000
+# Fewer keys than this are not dealt to two parts for the sake of more tasks.
+LEAST_PART_KEYS = 500_000
 # Bytes beyond which words are hashed one by one.
 LONG_WORD = 256
 
@@ -79,6 +82,11 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[starts], which, np.diff(np.r_[starts, len(keys)])
 
 
+def part_count(spark: SparkSession, keys: int) -> int:
+    """Parts for about so many keys: enough for a task each, but not more than there are blocks of keys worth a row."""
+    return max(-(-keys // PART_KEYS), min(shuffle_width(spark), -(-keys // LEAST_PART_KEYS)), 1)
+
+
 def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Part of each key, and the order of the keys by part, with where each part starts."""
     hashed = mixed(keys if keys.ndim == 1 else keys[:, 0] ^ mixed(keys[:, 1]))

@@ -23,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm.block_keys import ASKS, PART_KEYS, Part, answered, answers, distinct, joined, questions, word_hashes
+from jobmetrics.llm.block_keys import ASKS, Part, answered, answers, distinct, joined, part_count, questions, word_hashes
 from jobmetrics.llm.common import id_bounds, range_of, shuffle_width, whole_text
 
 # Bytes of text in a block, about; a task holds some ten times as much.
 BLOCK_BYTES = 16 << 20
+# Less text than this is not cut into two blocks for the sake of more tasks.
+LEAST_BLOCK_BYTES = 1 << 20
 # Windows shorter than this are too frequent by chance to be worth asking about.
 LEAST_LENGTH = 8
 
@@ -162,8 +164,7 @@ def in_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
-    width = shuffle_width(spark)
-    count = max(2 * width, -(-size // BLOCK_BYTES))
+    count = max(-(-size // BLOCK_BYTES), min(2 * shuffle_width(spark), -(-size // LEAST_BLOCK_BYTES)), 1)
     bounds = id_bounds(texts.where(F.col("doc_id").isNotNull()), "doc_id", count)
     hashed = F.xxhash64("text")
     later = F.lit(count + 1) + F.floor((hashed / F.lit(2.0 ** 64) + 0.5) * count)
@@ -171,7 +172,8 @@ def in_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     blocks = texts.select(
         "doc_id", F.col("text").cast("binary").alias("text"), F.when(missing, hashed).otherwise(F.col("doc_id")).alias("place"),
         F.when(missing, later).otherwise(range_of("doc_id", bounds)).cast("long").alias("block"))
-    return blocks, max(width, -(-size // (6 * PART_KEYS)))
+    # A task a block, however many there are. At most one of about six windows is asked about, of as many words of six bytes.
+    return blocks.repartition(count, "block"), part_count(spark, size // 36)
 
 
 def without_repeats(docs: DataFrame, length: int = 20) -> DataFrame:
