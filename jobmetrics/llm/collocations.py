@@ -23,7 +23,7 @@ count again. Without frequent phrases there are no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +31,15 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobmetrics.llm.block_keys import ASKS, PART_KEYS, Part, answered, answers, distinct, joined, questions, word_hashes
-from jobmetrics.llm.common import map_rows, shuffle_width, stored, whole_text
+from jobmetrics.llm.block_keys import ASKS, Part, answered, answers, distinct, joined, part_count, questions, word_hashes
+from jobmetrics.llm.common import ARROW_TYPES, map_rows, stored, whole_text
 
 UNDETERMINED = "und"
 LONGEST = 4
 # Rank of the pair of words whose score the frontier has to reach at first, as a multiple of the phrases wanted.
 AHEAD = 4
-# Words in a chunk, about.
-CHUNK_WORDS = 1_000_000
+# Words that a task holds in open chunks; beyond, it closes the largest one.
+HELD_WORDS = 2_000_000
 # Numbers of words fit in so many bits, numbers of phrases in the others of 63.
 WORD_BITS = 28
 SCALE = 2_000_000
@@ -50,6 +50,7 @@ _TABLE = bytes(ord(",") if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c
 _CHUNK = "chunk long, lang string, n long, words binary, counts binary, stream binary"
 _REPLIES_DDL = "block long, part long, n long, keys binary, bits binary, totals binary, ids binary, first binary"
 _REPLIES = pa.schema([(n.split()[0], pa.int64() if n.endswith("long") else pa.binary()) for n in _REPLIES_DDL.split(", ")])
+_KNOWN = ["chunk", "lang", "stream", "word_ids", "word_totals", "grams", "gram_ids", "gram_totals"]
 _STATE_DDL = ("chunk long, lang string, stream binary, word_ids binary, word_totals binary, grams binary, gram_ids binary, "
               "gram_totals binary, names binary, named binary, named_totals binary")
 _STATE = pa.schema([(n.split()[0], pa.int64() if n.endswith("long") else pa.string() if n.endswith("string") else pa.binary())
@@ -90,24 +91,20 @@ def chunked(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[list[tuple]]) -> Iterable[list[tuple]]:
         chunk, held, open_chunks = TaskContext.get().partitionId() << 32, 0, {}
-
-        def close() -> Iterator[list[tuple]]:
-            nonlocal chunk, held
-            for lang, found in open_chunks.items():
-                if found.n:
-                    yield [found.row(chunk, lang)]
-                    chunk += 1
-            open_chunks.clear()
-            held = 0
-
         for rows in batches:
             for lang, text in rows:
                 if lang not in open_chunks:
                     open_chunks[lang] = _Open()
                 held += open_chunks[lang].add(text)
-                if held >= CHUNK_WORDS:
-                    yield from close()
-        yield from close()
+                if held >= HELD_WORDS:
+                    largest = max(open_chunks, key=lambda name: open_chunks[name].n)
+                    held -= open_chunks[largest].n
+                    yield [open_chunks.pop(largest).row(chunk, largest)]
+                    chunk += 1
+        for lang, found in open_chunks.items():
+            if found.n:
+                yield [found.row(chunk, lang)]
+                chunk += 1
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNDETERMINED))
     return map_rows(docs.select(lang.alias("lang"), whole_text().cast("binary").alias("text")), run, _CHUNK)
@@ -128,14 +125,17 @@ class Chunk:
     """A chunk whose frequent words, and phrases of some length, are known by number and count.
 
     ``stream`` has the place of each word among ``word_ids``, -1 between pieces; ``grams`` that of the phrase that starts
-    there among ``gram_ids``, -1 if it is rare or was not asked about.
+    there among ``gram_ids``, -1 if it is rare or was not asked about. Single words are not stored twice.
     """
 
     def __init__(self, row: dict) -> None:
         self.row = row
-        self.stream, self.grams = (np.frombuffer(row[c], np.int32) for c in ("stream", "grams"))
-        self.word_ids, self.word_totals, self.gram_ids, self.gram_totals = (
-            _longs(row[c]) for c in ("word_ids", "word_totals", "gram_ids", "gram_totals"))
+        self.stream = np.frombuffer(row["stream"], np.int32)
+        self.word_ids, self.word_totals = _longs(row["word_ids"]), _longs(row["word_totals"])
+        single = row["grams"] is None
+        self.grams = self.stream if single else np.frombuffer(row["grams"], np.int32)
+        self.gram_ids = self.word_ids if single else _longs(row["gram_ids"])
+        self.gram_totals = self.word_totals if single else _longs(row["gram_totals"])
 
     def asked(self, size: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct phrases of ``size`` words on the frontier: keys, where they start, which one it is, how often."""
@@ -217,12 +217,26 @@ def _first_state(row: dict, parts: int, replies: list[tuple]) -> dict:
     owned = frequent & first
     words = row["words"].split()
     return {"chunk": row["chunk"], "lang": row["lang"], "stream": stream.tobytes(), "word_ids": ids[frequent].tobytes(),
-            "word_totals": totals[frequent].tobytes(), "grams": stream.tobytes(), "gram_ids": ids[frequent].tobytes(),
-            "gram_totals": totals[frequent].tobytes(), "names": b" ".join([words[i] for i in np.flatnonzero(owned).tolist()]),
+            "word_totals": totals[frequent].tobytes(), "grams": None, "gram_ids": None, "gram_totals": None,
+            "names": b" ".join([words[i] for i in np.flatnonzero(owned).tolist()]),
             "named": ids[owned].tobytes(), "named_totals": totals[owned].tobytes()}
 
 
-def _next_state(chunks: DataFrame, replies: DataFrame, step) -> DataFrame:
+def each_row(df: DataFrame, function: Callable[..., list[tuple]], ddl: str) -> DataFrame:
+    """``map_rows`` for large rows: one is turned into Python at a time."""
+    schema = pa.schema([(f.split()[0], ARROW_TYPES[f.split()[1]]) for f in ddl.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                rows = function(*[column[at].as_py() for column in batch.columns])
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return df.mapInArrow(run, ddl)
+
+
+def _next_state(chunks: DataFrame, replies: DataFrame, step: Callable[[dict, list[tuple]], dict]) -> DataFrame:
     """``step(row, replies)`` for each chunk with what was answered to it."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -234,39 +248,32 @@ def _next_state(chunks: DataFrame, replies: DataFrame, step) -> DataFrame:
 
 
 def _phrases_asked(chunks: DataFrame, size: int, floors: dict[str, int], parts: int) -> DataFrame:
-    columns = ["stream", "word_ids", "word_totals", "grams", "gram_ids", "gram_totals"]
+    def run(*values) -> list[tuple]:
+        row = dict(zip(_KNOWN, values))
+        keys, _, _, counts = Chunk(row).asked(size, floors.get(row["lang"], 0))
+        return questions(row["chunk"], keys, counts, parts)
 
-    def run(batches: Iterator[list[tuple]]) -> Iterable[list[tuple]]:
-        for rows in batches:
-            for number, lang, *values in rows:
-                keys, _, _, counts = Chunk(dict(zip(columns, values))).asked(size, floors.get(lang, 0))
-                yield questions(number, keys, counts, parts)
-
-    return map_rows(chunks.select("chunk", "lang", *columns), run, ASKS)
+    return each_row(chunks.select(*_KNOWN), run, ASKS)
 
 
 def _entries(replies: DataFrame) -> DataFrame:
     """Prefix, last word, number and count of each frequent phrase."""
 
-    def run(batches: Iterator[list[tuple]]) -> Iterable[list[tuple]]:
-        for rows in batches:
-            for keys, totals, ids in rows:
-                key = _longs(keys)
-                yield list(zip((key >> WORD_BITS).tolist(), (key & (1 << WORD_BITS) - 1).tolist(), _longs(ids).tolist(), _longs(totals).tolist()))
+    def run(keys: bytes, totals: bytes, ids: bytes) -> list[tuple]:
+        key = _longs(keys)
+        return list(zip((key >> WORD_BITS).tolist(), (key & (1 << WORD_BITS) - 1).tolist(), _longs(ids).tolist(), _longs(totals).tolist()))
 
-    return map_rows(replies.where(F.col("block").isNull()).select("keys", "totals", "ids"), run,
+    return each_row(replies.where(F.col("block").isNull()).select("keys", "totals", "ids"), run,
                     "prefix long, last long, id long, a long")
 
 
 def _names(chunks: DataFrame) -> DataFrame:
     """The frequent words of each language: number, count and text."""
 
-    def run(batches: Iterator[list[tuple]]) -> Iterable[list[tuple]]:
-        for rows in batches:
-            for lang, names, ids, totals in rows:
-                yield [(lang, i, t, w) for i, t, w in zip(_longs(ids).tolist(), _longs(totals).tolist(), names.split())]
+    def run(lang: str, names: bytes, ids: bytes, totals: bytes) -> list[tuple]:
+        return [(lang, i, t, w) for i, t, w in zip(_longs(ids).tolist(), _longs(totals).tolist(), names.split())]
 
-    words = map_rows(chunks.select("lang", "names", "named", "named_totals"), run, "lang string, id long, a long, text binary")
+    words = each_row(chunks.select("lang", "names", "named", "named_totals"), run, "lang string, id long, a long, text binary")
     return words.withColumn("text", F.col("text").cast("string"))
 
 
@@ -329,22 +336,20 @@ def collocations(docs: DataFrame, least: int = 30, limit: int = 2000) -> DataFra
     chunks = stored(chunked(docs), "chunks")
     sizes = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    parts = max(shuffle_width(spark), -(-total // PART_KEYS))
+    parts = part_count(spark, total)
 
-    def asked_words(batches: Iterator[list[tuple]]) -> Iterable[list[tuple]]:
-        for rows in batches:
-            for number, lang, words, counts in rows:
-                keys, which, _ = distinct(_words_asked(lang, words))
-                there = np.zeros(len(keys), np.uint32)
-                np.add.at(there, which, np.frombuffer(counts, np.uint32))
-                yield questions(number, keys, there, parts)
+    def asked_words(number: int, lang: str, words: bytes, counts: bytes) -> list[tuple]:
+        keys, which, _ = distinct(_words_asked(lang, words))
+        there = np.zeros(len(keys), np.uint32)
+        np.add.at(there, which, np.frombuffer(counts, np.uint32))
+        return questions(number, keys, there, parts)
 
-    asks = map_rows(chunks.select("chunk", "lang", "words", "counts"), asked_words, ASKS)
+    asks = each_row(chunks.select("chunk", "lang", "words", "counts"), asked_words, ASKS)
     told = stored(counted(asks, 2, least, parts, word_level=True), "words")
-    first = stored(_next_state(chunks, told, lambda row, replies: _first_state(row, parts, replies)), "words-in-chunks")
+    first = stored(_next_state(chunks.select("chunk", "lang", "words", "stream"), told, lambda row, replies: _first_state(row, parts, replies)), "words-in-chunks")
     told = stored(counted(_phrases_asked(first, 2, {}, parts), 1, least, parts, word_level=False), "pairs")
     pairs = stored(_scored(_pairs(_entries(told), _names(first))), "scored-pairs")
-    second = stored(_next_state(first, told, lambda row, replies: Chunk(row).grown(2, 0, parts, replies)), "pairs-in-chunks")
+    second = stored(_next_state(first.select(*_KNOWN), told, lambda row, replies: Chunk(row).grown(2, 0, parts, replies)), "pairs-in-chunks")
 
     rank = AHEAD * limit
     floors = _score_at(pairs, rank)
@@ -352,7 +357,7 @@ def collocations(docs: DataFrame, least: int = 30, limit: int = 2000) -> DataFra
         now = dict(floors)
         told3 = stored(counted(_phrases_asked(second, 3, now, parts), 1, least, parts, word_level=False), "threes")
         threes = stored(_scored(_longer(_entries(told3), pairs)), "scored-threes")
-        third = _next_state(second, told3, lambda row, replies: Chunk(row).grown(3, now.get(row["lang"], 0), parts, replies))
+        third = _next_state(second.select(*_KNOWN), told3, lambda row, replies: Chunk(row).grown(3, now.get(row["lang"], 0), parts, replies))
         told4 = stored(counted(_phrases_asked(third, LONGEST, now, parts), 1, least, parts, word_level=False), "fours")
         fours = _scored(_longer(_entries(told4), threes))
         reaching = F.lit(0)

@@ -80,6 +80,7 @@ def test_chunks_do_not_matter(prepared, monkeypatch):
     rows = texts(3)
     docs = documents(prepared, [(i, *r) for i, r in enumerate(rows)])
     want = brute(rows, 4, 30)
+    monkeypatch.setattr(co, "HELD_WORDS", 100)
     assert got(docs.coalesce(1), 4, 30) == want and got(docs.repartition(9), 4, 30) == want
 
 
