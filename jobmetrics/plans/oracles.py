@@ -218,6 +218,37 @@ def _on_last_sent(select: str) -> str:
     return _with(select, *_SENT, **last, **_metrics_ctes(), **_FACT)
 
 
+# Which messages came in which of eight batches, and the clock that each batch was judged by.
+_GATE = {
+    "received": """
+        select *, event_ts + to_hours(cast(copy + case when event_id % 109 = 0 then -2 when event_id % 113 = 0 then 5
+          else 0 end as bigint)) as received_at from messages""",
+    "waves": """
+        select *, (epoch_us(received_at) - (select min(epoch_us(received_at)) from received)) * 8
+          // ((select max(epoch_us(received_at)) - min(epoch_us(received_at)) + 1 from received)) as wave
+        from received""",
+    "good": "select * from waves where reject_reason is null",
+    "clocks": """
+        select w.wave, coalesce(max(g.event_ts) - interval 1 hour, timestamp '1990-01-01') as clock
+        from (select distinct wave from waves) w left join good g on g.wave < w.wave group by w.wave""",
+    "judged": """
+        select g.*, clock, date_trunc('hour', event_ts) + interval 1 hour <= clock as late
+        from good g join clocks using (wave)""",
+}
+
+
+def _on_open_hours(select: str) -> str:
+    """On the cells of the last version of each key among the messages that were not late."""
+    passed = {
+        "last_sent": """
+            select * from judged m where not late and not exists (
+              select 1 from judged l where l.create_time = m.create_time and not l.late and l."offset" > m."offset")""",
+        "decoded": _CTES["decoded"].replace("from tracking", "from last_sent"),
+        "clean": _CTES["clean"],
+    }
+    return _with(select, *_SENT, **_GATE, **passed, **_metrics_ctes())
+
+
 def oracle_sql() -> dict[str, str]:
     newest = "(select max(ts) from decoded)"
     return {
@@ -353,6 +384,12 @@ def oracle_sql() -> dict[str, str]:
         "tracking_upsert": _latest(),
         "stream_ingest": _latest(", cast(event_ts as date) as dates"),
         "fact_from_messages": _on_last_sent(f"select {_FACT_COLUMNS} from fact"),
+        "stream_hourly_changes": _on_last_sent(_ALL_CELLS),
+        "stream_first_copies": _with(
+            f"select {_MESSAGE}, ts_text as ts from messages where reject_reason is null and copy = 0", *_SENT),
+        "stream_closed_hours": _on_open_hours(_ALL_CELLS),
+        "stream_late_events": _with(
+            "select \"offset\", create_time, clock, 'hour closed' as reason from judged where late", *_SENT, **_GATE),
         "stream_dedup": _with(
             "select distinct create_time, custom_track, job_id, publisher_id, campaign_id, "
             "group_id from messages where reject_reason is null", *_SENT),

@@ -18,7 +18,7 @@ from jobmetrics.session import prepare, scratch_path
 from jobmetrics.sinks import topic
 from jobmetrics.sinks.fact_lake import read_fact
 from jobmetrics.sources import csv, fixtures, tables
-from jobmetrics.streaming import decode, dedup, hourly, ingest
+from jobmetrics.streaming import decode, dedup, gate, hourly, ingest, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,22 @@ def _sent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.messages(fixtures.tracking(fixtures.events_stream(spark, sf_dir)))
 
 
+def _sent_in_waves(spark: SparkSession, sf_dir: str, waves: int = 8) -> DataFrame:
+    """The messages as a stream of as many batches, cut by the time they were received."""
+    sent = _messages(spark, sf_dir).drop("event_id", "copy")
+    micros = F.unix_micros("received_at")
+    first, last = sent.agg(F.min(micros), F.max(micros)).first()
+    wave = F.floor((micros - first) * waves / (last - first + 1))
+    path = scratch_path(spark, "waves")
+    for n in range(waves):
+        sent.filter(wave == n).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _accepted_in_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode.accepted(decode.decode_messages(_sent_in_waves(spark, sf_dir)))
+
+
 # Scans and dimension pulls
 
 
@@ -434,3 +450,41 @@ def stream_hourly_metrics(spark, sf_dir):
     lake, path = scratch_path(spark, "ingest"), scratch_path(spark, "hourly")
     hourly.start_hourly(_sent_stream(spark, sf_dir), lake, path).awaitTermination()
     return _money(hourly.read_hourly(spark, path))
+
+
+@_query
+def stream_hourly_changes(spark, sf_dir):
+    """From messages in eight batches, each adding what it changes: the last write counts."""
+    path = scratch_path(spark, "changes")
+    keyed.start_hourly_changes(_accepted_in_waves(spark, sf_dir), path, compact_every=3).awaitTermination()
+    return _money(keyed.read_hourly_changes(spark, path))
+
+
+@_query
+def stream_first_copies(spark, sf_dir):
+    """Whole first copies over eight batches, from keyed state."""
+    path, layout = scratch_path(spark, "first"), f"{schemas.MESSAGE}, dates DATE"
+    keyed.start_first_copies(_accepted_in_waves(spark, sf_dir), path, layout).awaitTermination()
+    return keyed.read_first_copies(spark, path, layout).drop("dates")
+
+
+def _through_gate(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "gate")
+    gate.start_gate(_accepted_in_waves(spark, sf_dir), path, delay="1 hour").awaitTermination()
+    return path
+
+
+@_query
+def stream_closed_hours(spark, sf_dir):
+    """Cells of the events that came before their hour was closed, with the state of closed hours given up."""
+    passed, path = _through_gate(spark, sf_dir), scratch_path(spark, "changes")
+    events = gate.open_events(spark, passed, maxFilesPerTrigger="100")
+    keyed.start_hourly_changes(events, path).awaitTermination()
+    return _money(keyed.read_hourly_changes(spark, path))
+
+
+@_query
+def stream_late_events(spark, sf_dir):
+    """What came after its hour was closed, with the clock that closed it."""
+    late = gate.late_events(spark, _through_gate(spark, sf_dir))
+    return late.select("offset", "create_time", "clock", "reason")
