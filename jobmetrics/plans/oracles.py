@@ -384,6 +384,9 @@ def oracle_sql() -> dict[str, str]:
         "tracking_upsert": _latest(),
         "stream_ingest": _latest(", cast(event_ts as date) as dates"),
         "fact_from_messages": _on_last_sent(f"select {_FACT_COLUMNS} from fact"),
+        "versioned_load": _on_last_sent(f"select {_FACT_COLUMNS} from fact"),
+        "file_ledger_load": _on_fact(f"select {_FACT_COLUMNS} from fact"),
+        "daily_rollup": _daily("job_id"),
         "stream_hourly_changes": _on_last_sent(_ALL_CELLS),
         "stream_first_copies": _with(
             f"select {_MESSAGE}, ts_text as ts from messages where reject_reason is null and copy = 0", *_SENT),

@@ -12,11 +12,12 @@ from pyspark.sql.types import TimestampType
 from jobmetrics import schemas
 from jobmetrics.functions.values import second_text, text_to_ts, weighted_choice
 from jobmetrics.operators import audit, clean, enrich, metrics, numbering, reports, upsert
-from jobmetrics.plans import incremental
+from jobmetrics.plans import incremental, versioned
 from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
 from jobmetrics.session import prepare, scratch_path
 from jobmetrics.sinks import topic
 from jobmetrics.sinks.fact_lake import read_fact
+from jobmetrics.sinks.versions import VersionedStore
 from jobmetrics.sources import csv, fixtures, tables
 from jobmetrics.streaming import decode, dedup, gate, hourly, ingest, keyed
 
@@ -488,3 +489,39 @@ def stream_late_events(spark, sf_dir):
     """What came after its hour was closed, with the clock that closed it."""
     late = gate.late_events(spark, _through_gate(spark, sf_dir))
     return late.select("offset", "create_time", "clock", "reason")
+
+
+# Versioned loads
+
+
+@_query
+def versioned_load(spark, sf_dir):
+    """Loads of an event lake between its batches, each swapping in the days that differ."""
+    lake, store = scratch_path(spark, "ingest"), VersionedStore(scratch_path(spark, "versions"))
+    sent, dim = _sent_in_waves(spark, sf_dir, waves=4), _job_dim(spark, sf_dir)
+    # Each batch is loaded as soon as it is stored.
+    ingest.start_ingest(sent, lake, then=lambda session, batch: versioned.load_from_lake(
+        session, lake, dim, store)).awaitTermination()
+    return _money(versioned.read_fact(spark, store).select(*FACT_COLUMNS))
+
+
+def _loaded_from_files(spark: SparkSession, sf_dir: str) -> VersionedStore:
+    """Events arriving as files, in no order of time, loaded as they come."""
+    path, store = scratch_path(spark, "events"), VersionedStore(scratch_path(spark, "versions"))
+    source = tables.Table("parquet", {"path": path})
+    for n in range(3):
+        wave = F.pmod(F.xxhash64("event_id"), F.lit(3)) == n
+        _tracking(spark, sf_dir).filter(wave).write.mode("append").parquet(path)
+        versioned.load_from_files(spark, source, _job_dim(spark, sf_dir), store)
+    return store
+
+
+@_query
+def file_ledger_load(spark, sf_dir):
+    return _money(versioned.read_fact(spark, _loaded_from_files(spark, sf_dir)).select(*FACT_COLUMNS))
+
+
+@_query
+def daily_rollup(spark, sf_dir):
+    """Daily totals per job from the totals of days stored with each load."""
+    return _money(versioned.read_daily(spark, _loaded_from_files(spark, sf_dir), "job_id"))
