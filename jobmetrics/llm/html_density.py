@@ -4,9 +4,15 @@ Each element's density is its characters per tag, damped by how much of it is li
 sum of its children's densities is large for the element that holds the paragraphs. Elements
 whose density is below the threshold, the least density on the way from the body down to the
 densest block, are no candidates; of the others the one with the largest sum is the main text.
-If it lies in an ``article`` or ``main`` element, that element is taken. Elements that say what
-they are (menus, footers, forms, adverts, ...) take no part; a class or an id says so only of an
-element that does not hold the main text by its structure or size.
+If it lies in an ``article`` or ``main`` element, that element is taken. Otherwise the subtree grows
+to all of its parent as long as that adds only content, that is, as long as nothing left out and no
+list of links is beside it. Where something is, those parts beside it are main text as well that reach the
+threshold, and the headings before them. Elements that say what they are (menus, footers, forms,
+adverts, ...) take no part; a class or an id says so only of an element that does not hold the main
+text by its structure or size.
+
+Parsing takes time in proportion to the page: places of open elements are kept by name, and behind the last ``>``
+nothing is taken for a tag.
 """
 
 from __future__ import annotations
@@ -29,10 +35,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
-    "section summary table tbody td tfoot th thead tr ul".split())
+    "section summary table tbody td tfoot th thead tr ul xmp".split())
 ENDS_PARAGRAPH = BLOCK - frozenset("body html td th tr tbody thead tfoot caption option optgroup legend".split())
 NOT_CONTENT = frozenset(
-    "aside button canvas datalist dialog footer form head input menu nav noscript object select".split())
+    "aside button datalist dialog footer form head input menu nav noscript select".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
                   "search".split())
 NAME_PARTS = frozenset(
@@ -49,9 +56,9 @@ IMPLIED_END = {
 PARAGRAPH_SCOPE = frozenset("button caption html table td th".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|textarea|title|iframe|svg|math|xmp|noembed|noframes)(?=[\s/>])"
-    r"[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"<!--.*?(?P<done>-->|\Z)"
+    r"|<(?P<raw>script|style|template|textarea|title|iframe|svg|xmp|noembed|noframes)(?=[\s/>])"
+    r"[^>]*+>(?P<inside>.*?)(?P<end></(?P=raw)\s*+>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?/][^>]*+>", re.S | re.I)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
@@ -65,6 +72,7 @@ class Element:
     left_out: bool
     named: bool
     in_link: bool
+    in_article: bool = False
     last: int = 0
     chars: int = 0
     tags: int = 0
@@ -104,25 +112,33 @@ def parse(html: str) -> Page:
     page = Page([Element("", -1, False, False, False)])
     elements, texts, stack = page.elements, page.texts, [0]
     block, at = 0, 0
+    places: dict[str, list[int]] = {}  # depths of the open elements of each name
 
     def close_to(depth: int) -> None:
-        for index in stack[depth:]:
+        for index in reversed(stack[depth:]):
             elements[index].last = len(elements) - 1
+            places.get(elements[index].name, [0]).pop()
         del stack[depth:]
 
     def depth_of(names: frozenset | set, scope: frozenset | set) -> int | None:
-        for depth in range(len(stack) - 1, 0, -1):
-            name = elements[stack[depth]].name
-            if name in names:
-                return depth
-            if name in scope:
-                return None
-        return None
-
-    for token in TOKEN.finditer(html):
+        """Depth of the innermost open element of ``names``, None if one of ``scope`` is within it."""
+        found, barrier = (max((places[n][-1] for n in group if places.get(n)), default=0) for group in (names, scope))
+        return found if found > barrier else None
+
+    # Behind the last end of a tag there are no more tags, only a comment may start.
+    end = html.rfind(">") + 1
+    comment = html.find("<!--", end)
+    text_end = len(html) if comment < 0 else comment
+    for token in TOKEN.finditer(html, 0, end):
         if token.start() > at:
             texts.append((stack[-1], block, html[at:token.start()]))
         at = token.end()
+        inside = token["inside"] or ""
+        if token["done"] == "" or token["end"] == "":  # it goes on to the end of the page
+            inside, text_end = inside + html[end:], at
+        if (token["raw"] or "").lower() == "xmp":
+            texts.append((stack[-1], block + 1, inside.replace("&", "&amp;")))
+            block += 2
         if not token["name"]:
             continue
         name = token["name"].lower()
@@ -142,19 +158,20 @@ def parse(html: str) -> Page:
             if depth:
                 close_to(depth)
         parent = elements[stack[-1]]
-        in_article = any(elements[i].name in ("article", "main") for i in stack)
+        in_article = parent.in_article or parent.name in ("article", "main")
         no_content, named = says(name, token["rest"], in_article)
         element = Element(name, stack[-1], parent.left_out or no_content, named,
-                          parent.in_link or name == "a", len(elements))
+                          parent.in_link or name == "a", in_article, len(elements))
         parent.children.append(len(elements))
         elements.append(element)
         if name in VOID:
             if name == "br":
                 texts.append((stack[-1], block, "\n"))
         elif not token["rest"].endswith("/") or name in BLOCK:
+            places.setdefault(name, []).append(len(stack))
             stack.append(len(elements) - 1)
-    if at < len(html):
-        texts.append((stack[-1], block, html[at:]))
+    if at < text_end:
+        texts.append((stack[-1], block, html[at:text_end]))
     close_to(0)
     leave_out_named(page)
     return page
@@ -230,37 +247,72 @@ def composite(x: Element, linked: float) -> float:
     return x.chars / max(x.tags, 1) * max(log(max(share, 1.0)), 1e-3) / base
 
 
-def main_element(page: Page) -> int | None:
-    """Index of the element that holds the main text, None if no element has text."""
+def main_elements(page: Page) -> list[int]:
+    """Indexes of the elements that hold the main text, in page order; none if no element has text."""
     density, sums = densities(page)
     elements = page.elements
     blocks = [i for i, x in enumerate(elements) if density[i] > 0 and (x.name in BLOCK or not x.name)]
     if not blocks:
-        return None
+        return []
     index = max(blocks, key=lambda i: (density[i], -i))
-    threshold = density[index]
+    weakest = index
     while index >= 0:
-        threshold = min(threshold, density[index])
+        weakest = min(weakest, index, key=density.__getitem__)
         index = -1 if elements[index].name == "body" else elements[index].parent
-    best = max((i for i in blocks if density[i] >= threshold), key=lambda i: (sums[i], -i))
+    best = max((i for i in blocks if density[i] >= density[weakest]), key=lambda i: (sums[i], -i))
     outer = best
     while outer > 0 and elements[outer].name not in ("article", "main"):
         outer = elements[outer].parent
-    return outer if outer > 0 else best
+    return [outer] if outer > 0 else with_siblings(elements, elements[weakest], best)
+
+
+def with_siblings(elements: list[Element], weakest: Element, best: int) -> list[int]:
+    """The element grown to its parents while they add only content; then what reaches the threshold beside it.
+
+    A part beside it is compared by its characters per tag alone, as the logarithm grows with a part's size.
+    """
+    def menu(x: Element) -> bool:
+        return 2 * x.link_chars > x.chars
+
+    def dense(x: Element) -> bool:
+        return x.chars * max(weakest.tags, 1) >= weakest.chars * max(x.tags, 1)
+
+    while best > 0:
+        beside = elements[elements[best].parent].children
+        if any(elements[i].left_out or menu(elements[i]) for i in beside if i != best):
+            break
+        best = elements[best].parent
+    if best <= 0:
+        return [0]
+    taken, heads = [], []
+    for i in beside:
+        x = elements[i]
+        if i != best and (x.left_out or not x.chars):
+            continue
+        if i == best or x.name not in HEADINGS and dense(x) and not menu(x):
+            taken += [*heads, i]
+            heads = []
+        elif x.name in HEADINGS:
+            heads.append(i)
+        else:
+            heads = []
+    return taken
 
 
 def extract(html: str | None) -> str:
     """The main text: blocks in page order joined by line ends, white space within each as one space."""
     page = parse(html or "")
-    best = main_element(page)
-    if best is None:
-        return ""
-    last = page.elements[best].last
+    spans = [(i, page.elements[i].last) for i in main_elements(page)]
     blocks: dict[int, list[str]] = {}
-    for index, block, text in page.texts:
-        if best <= index <= last and not page.elements[index].left_out:
+    at = 0
+    for index, block, text in sorted(page.texts, key=lambda t: t[0]) if len(spans) > 1 else page.texts:
+        if page.elements[index].left_out:
+            continue
+        while at + 1 < len(spans) and index > spans[at][1]:
+            at += 1
+        if spans and spans[at][0] <= index <= spans[at][1]:
             blocks.setdefault(block, []).append(text)
-    lines = (" ".join(unescape("".join(texts)).split()) for texts in blocks.values())
+    lines = (" ".join(unescape("".join(texts)).split()) for _, texts in sorted(blocks.items()))
     return "\n".join(line for line in lines if line)
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import math
 import re
+import time
 
 from llm_helpers import prepared  # noqa: F401
 import pytest
@@ -41,6 +43,88 @@ def test_deep_and_unclosed_pages_take_linear_time():
     assert len(hd.extract("<p>" + "a < b \" ' " * 50_000)) > 300_000
 
 
+@pytest.mark.parametrize("page", [
+    "<div>" * 200_000, "<a " * 350_000, "<div>" * 50_000 + "</i>" * 50_000, "<p><button>" + "<b>" * 30_000 + "</p>" * 200_000,
+    "<!--" + "<a " * 350_000, "<b>x</b>" + "<a \"" * 250_000, "<ul>" + "<li><b>" * 140_000, "<" * 1_000_000, "<p><table>" * 100_000,
+])
+def test_a_megabyte_of_anything_takes_seconds(page):
+    start = time.perf_counter()
+    hd.extract(page + "deep")
+    assert time.perf_counter() - start < 5
+
+
+def paragraphs(n):
+    return "".join(f"<p>{f'Paragraph number {i} of several words. ' * 3}</p>" for i in range(n))
+
+
+def lines_of(*counts):
+    return [f"Paragraph number {i} of several words. " * 2 + f"Paragraph number {i} of several words." for n in counts for i in range(n)]
+
+
+MENU = "<nav><a href=x>Home</a></nav>"
+
+
+def test_all_parts_of_a_text_without_article_are_kept():
+    parts = "<h1>Title</h1>" + "".join(f"<section>{paragraphs(n)}</section>" for n in (10, 3, 1))
+    want = "\n".join(["Title", *lines_of(10, 3, 1)])
+    assert hd.extract(f"<body>{MENU}<div>{parts}</div><footer>me</footer></body>") == want
+    assert hd.extract(f"<body>{MENU}{parts}<footer>me</footer></body>") == want
+    assert hd.extract(f"<body><div><ul><li><a href=1>one page</a><li><a href=2>other page</a></ul>{parts}</div></body>") == want
+    short = f"<div><div>{paragraphs(6)}</div><div><p>Short part.</p></div></div>"
+    assert hd.extract(f"<body>{MENU}{short}<footer>me</footer></body>") == "\n".join([*lines_of(6), "Short part."])
+
+
+def test_what_is_beside_the_text_of_a_page_stays_out():
+    page = f"<body>{MENU}<h1>Title</h1><div>{paragraphs(8)}</div><div>All rights reserved</div><h2>More</h2><div>x</div></body>"
+    assert hd.extract(page) == "\n".join(["Title", *lines_of(8)])
+
+
+def test_nothing_else_is_dropped():
+    assert hd.extract("<article><p>Let <math><mi>x</mi></math> be</p><xmp>a <b> &lt; c</xmp>d</article>") == "Let x be\na <b> &lt; c\nd"
+    assert hd.extract("<article><p>a</p><object><p>b</p></object><canvas>c</canvas></article>") == "a\nb\nc"
+    assert hd.extract("<p>a<xmp>b <i>") == "a\nb <i>"
+    assert hd.extract("<p>a</p>b<!-- c") == "a\nb"
+
+
+def brute_densities(html_text):
+    """Composite density and sum of children's of each element, straight from the definitions, by recursion over the tree."""
+    page = hd.parse(html_text)
+    elements = page.elements
+
+    def below(i):
+        return [i, *(j for c in elements[i].children if not elements[c].left_out for j in below(c))]
+
+    def counts(i):
+        inside = set(below(i)) if not elements[i].left_out else set()
+        chars = sum(len(t.strip()) for j, _, t in page.texts if j in inside)
+        links = sum(len(t.strip()) for j, _, t in page.texts if j in inside and elements[j].in_link)
+        return chars, links, len(inside) - 1, sum(elements[j].name == "a" for j in inside if j != i)
+
+    body = next((i for i, x in enumerate(elements) if x.name == "body"), 0)
+    whole_chars, whole_links, *_ = counts(body)
+    out = []
+    for i, x in enumerate(elements):
+        chars, links, tags, link_tags = counts(i)
+        if x.left_out or not chars:
+            out.append(0.0)
+            continue
+        tags = max(tags, 1)
+        base = math.log(chars / max(chars - links, 1) * links + whole_links / max(whole_chars, 1) * chars + math.e)
+        ratio = chars * tags / (max(links, 1) * max(link_tags, 1))
+        out.append(chars / tags * max(math.log(max(ratio, 1)), 1e-3) / base)
+    return out, [sum(out[c] for c in x.children) or d for x, d in zip(elements, out)]
+
+
+def test_densities_against_their_definition(sf_dir):
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table(f"{sf_dir}/pages.parquet").column("html").to_pylist()[:30]
+    for page in [*pages, *WRAPPED, *[c[0] for c in CASES if c[0]]]:
+        got = hd.densities(hd.parse(page))
+        for a, b in zip(got, brute_densities(page)):
+            assert a == pytest.approx(b)
+
+
 def test_whole_table(prepared, sf_dir):
     pages = prepared.read.parquet(f"{sf_dir}/pages.parquet")
     found = {r["page_id"]: r for r in hd.main_text(pages).collect()}
