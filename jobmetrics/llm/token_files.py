@@ -23,7 +23,8 @@ from jobmetrics.llm.common import (
 )
 from jobmetrics.llm.word_encoder import word_encoder
 
-# The dictionary is fitted on at most this many documents, and this many characters of each.
+# The dictionary is fitted on at most this many documents, and this many characters of each, from a place
+# anywhere in the text that a hash of the text gives.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 1_000, 4_096
 DICTIONARY_BYTES = 64 * 1024
 SEGMENT_BYTES = 1 << 20
@@ -81,11 +82,15 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> Dict
 
 
 def fit_dictionary(docs: DataFrame, vocabulary: str, pattern: str, end_id: int) -> Dictionary:
-    """Trained on a bounded sample: SAMPLE_DOCUMENTS documents, SAMPLE_CHARACTERS of each."""
+    """Trained on a bounded sample: SAMPLE_DOCUMENTS documents, SAMPLE_CHARACTERS of each, from anywhere in it."""
     # At most SAMPLE_DOCUMENTS ids, so they can be sent to every executor.
     ids = bounded_sample(docs.select("doc_id").where(F.col("doc_id").isNotNull()), SAMPLE_DOCUMENTS)
-    sample = (docs.join(F.broadcast(ids.distinct()), "doc_id").orderBy("doc_id")
-              .select(F.substring(whole_text(), 1, SAMPLE_CHARACTERS).alias("text")))
+    hashed, length = F.xxhash64("text"), F.char_length("text")
+    start = F.pmod(hashed, F.greatest(length - SAMPLE_CHARACTERS + 1, F.lit(1))).cast("int") + 1
+    # Rows with one id may be many, so they are bounded again.
+    sample = (docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids.distinct()), "doc_id")
+              .select("doc_id", hashed.alias("hashed"), F.substring("text", start, F.lit(SAMPLE_CHARACTERS)).alias("text"))
+              .orderBy("doc_id", "hashed").limit(SAMPLE_DOCUMENTS))
     texts = [row["text"] for row in sample.collect()]
     end = end_id.to_bytes(4, "little")
     return train_dictionary([serialize(ids + end) for ids in word_encoder(vocabulary, pattern).encode(texts)])

@@ -3,6 +3,8 @@
 The pattern splits a text into pre-tokens, and each is encoded by itself, so the ids of a text
 are those of its pre-tokens put together. Frequent pre-tokens are kept with their ids. What is
 kept is bounded; what has no room is encoded anew.
+
+As in the library, strings of added tokens (such as ``<|endoftext|>``) part a text first, and are their one id.
 """
 
 from __future__ import annotations
@@ -43,17 +45,22 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = {t.content: (number, t) for number, t in self.tokenizer.get_added_tokens_decoder().items()}
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for _, t in added.values()):
+            raise ValueError("added tokens that depend on what is around them are not supported")
+        longest_first = sorted(added, key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, longest_first))) if added else None
         self.words = regex.compile(pattern).findall
         characters, plain = _plain_pattern()
         self.is_plain, self.plain_words = re.compile(characters).fullmatch, re.compile(plain).findall
         size = self.tokenizer.get_vocab_size()
         self.begins = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE) for i in range(size)])
         self.known = _Known()
+        self.known.added = {content: number.to_bytes(4, "little") for content, (number, _) in added.items()}
         self.kept = kept
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [(self.plain_words if self.is_plain(t) else self.words)(t) for t in texts]
+        split = [self.parted(t) for t in texts]
         self.known.missed = set()
         ids = [list(map(self.known.__getitem__, words)) for words in split]
         if self.known.missed:
@@ -63,6 +70,16 @@ class WordEncoder:
             self.known.update(islice(fresh.items(), max(0, self.kept - len(self.known))))
         return list(map(b"".join, ids))
 
+    def parted(self, text: str) -> list[str]:
+        """Pre-tokens and added tokens of a text, in order."""
+        if self.added is None or not self.added.search(text):
+            return (self.plain_words if self.is_plain(text) else self.words)(text)
+        out, at = [], 0
+        for found in self.added.finditer(text):
+            out += [*self.words(text[at:found.start()]), found[0]]
+            at = found.end()
+        return [*out, *self.words(text[at:])]
+
     def ids_of(self, words: set[str]) -> dict[str, bytes]:
         """Ids of pre-tokens. Those of a space and letters are put together into longer texts,
         as the pattern parts them again and an id whose token begins with a space begins each."""
@@ -84,12 +101,16 @@ class WordEncoder:
 
 
 class _Known(dict):
-    """Ids that are kept; None for others, which are noted."""
+    """Ids that are kept, and those of added tokens; None for others, which are noted."""
 
     missed: set[str]
+    added: dict[str, bytes]
 
-    def __missing__(self, word: str) -> None:
+    def __missing__(self, word: str) -> bytes | None:
+        if word in self.added:
+            return self.added[word]
         self.missed.add(word)
+        return None
 
 
 def put_in(found: list[bytes | None], words: list[str], fresh: dict[str, bytes]) -> None:

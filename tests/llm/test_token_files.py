@@ -18,7 +18,6 @@ from jobmetrics.session import scratch_path
 
 def ids_by_library(texts):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -39,7 +38,7 @@ def round_trip(docs, shards=None):
 
 
 def test_words_have_the_librarys_ids():
-    texts = [t or "" for _, t in EDGES] + ["<|endoftext|> a", "é́  x\u0085y\x1c z", "½²ªº ǅ ʰ", "a's 're  'll  \n\n b ",
+    texts = [t or "" for _, t in EDGES] + ["<|endoftext|> a", "end <|endoftext|> start", "<|endoftext|><|endoftext|>", "é <|endoftext|>", "<|endoftext|", "é́  x\u0085y\x1c z", "½²ªº ǅ ʰ", "a's 're  'll  \n\n b ",
                                             "кот 中文", "İstanbul ſ K", "don't  STOP\t\t\tnow"]
     for kept in (0, 5, 10_000):
         encoder = WordEncoder(VOCABULARY, PATTERN, kept)
