@@ -14,17 +14,18 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from heapq import nsmallest
 from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmetrics.llm.common import Batches, bounded_sample, map_rows, stored, whole_text
+from jobmetrics.llm.common import Batches, bounded_sample, crc, map_rows, stored, whole_text
 from jobmetrics.llm.minhash import shingles, signature
 
-# Learning sees at most this many documents of each label, and this many lines of each of them,
-# cut to this many tokens.
+# Learning sees at most this many documents of each label, and of each of them this many lines, cut to this
+# many tokens, from anywhere in the text.
 SAMPLE_PER_LABEL, LINES_PER_DOCUMENT, LINE_TOKENS = 3_000, 2, 64
 # A feature marks toxic tokens if chance would give its counts with a probability below e^-14
 # (about one in a million), and it is this many times as frequent among toxic documents.
@@ -33,8 +34,10 @@ WEIGHTS = 1 << 18
 STEPS, RATE, RIDGE = 40, 0.5, 1e-5
 WORDS_KEPT = 300_000
 THRESHOLD = 0.7
-# Documents that share one of so many hash minima count as copies when learning.
+# Documents that share one of so many hash minima are compared when looking for copies in what teaches.
 MINIMA = 4
+# Share of equal minima from which a document is a near copy.
+COPY = 0.7
 # Marginals below this are not summed: a long clean text has very many of them.
 DOUBT = 0.2
 EVIDENCE = 4
@@ -214,8 +217,8 @@ def fit_scale(x: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_label: int = SAMPLE_PER_LABEL) -> Field:
     """A field from the labelled rows for which ``learnable``, a condition on doc_id, holds.
 
-    It reads the whole texts of at most ``per_label`` documents of each label. Null labels and
-    ids teach nothing; without toxic documents every text gets a score of at most one half.
+    It reads the whole texts of at most ``per_label`` documents of each label: marks are counted in all of them, the field
+    learns from LINES_PER_DOCUMENT lines of each, chosen by a hash among all its lines. Null labels and ids teach nothing; without toxic documents every text gets a score of at most one half.
     """
     usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
               .where(learnable & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)))
@@ -223,9 +226,9 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_label: int
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
     chosen = bounded_sample(usable.where("label = 1"), per_label).union(
         bounded_sample(usable.where("label = 0"), per_label))
-    # At most twice per_label rows, so they can be sent to every executor.
+    # At most twice per_label rows, so they can be sent to every executor. Of rows with one id one teaches.
     sample = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-                    .join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+                    .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "toxicity-sample")
     texts, n_clean, n_toxic = without_copies(sample)
     toxic_marks = surprising(texts, n_clean, n_toxic)
     lines = sorted((words.split(" "), list(map(int, flags))) for words, flags in
@@ -245,28 +248,30 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_label: int
 
 
 def without_copies(sample: DataFrame) -> tuple[DataFrame, int, int]:
-    """(label, text) of the documents that share none of a few hash minima with an earlier one,
-    and how many are clean and toxic.
+    """(label, text) of the documents that are no near copy of a kept one of the same label, and how many are clean and toxic.
 
-    Near copies of one document would make any of its words look like a mark. What reaches the
-    driver are a few numbers for each document of the bounded sample.
+    Near copies of one document would make any of its words look like a mark. They are looked for among those that share
+    one of the first MINIMA hash minima, and told by the share of all minima that are equal. What reaches the driver
+    is the signature of each document of the bounded sample.
     """
 
-    def minima(batches: Batches) -> Iterator[list[tuple]]:
+    def signatures(batches: Batches) -> Iterator[list[tuple]]:
         for rows in batches:
             sets = [shingles(text, 5) for _, _, text in rows]
-            yield [(doc, label, signature(s)[:MINIMA].tolist() if len(s) else [])
-                   for (doc, label, _), s in zip(rows, sets)]
+            yield [(doc, label, signature(s).tolist() if len(s) else []) for (doc, label, _), s in zip(rows, sets)]
 
-    found = map_rows(sample.select("doc_id", "label", "text"), minima,
+    found = map_rows(sample.select("doc_id", "label", "text"), signatures,
                      "doc_id long, label int, minima array<long>").collect()
-    seen: set[tuple[int, int]] = set()
-    kept = {}
-    for doc, label, least in sorted(map(tuple, found)):
-        keys = set(enumerate(least))
-        if seen.isdisjoint(keys):
-            kept[doc] = label
-        seen |= keys
+    kept: dict[int, int] = {}
+    sharing: dict[tuple, list[np.ndarray]] = {}
+    for doc, label, minima in sorted(map(tuple, found)):
+        signed = np.array(minima)
+        keys = [(label, place, least) for place, least in enumerate(minima[:MINIMA])]
+        if any((signed == other).mean() >= COPY for key in keys for other in sharing.get(key, ())):
+            continue
+        kept[doc] = label
+        for key in keys:
+            sharing.setdefault(key, []).append(signed)
     ids = sample.sparkSession.createDataFrame([(doc,) for doc in kept], "doc_id long")
     n_toxic = sum(kept.values())
     return sample.join(F.broadcast(ids), "doc_id").select("label", "text"), len(kept) - n_toxic, n_toxic
@@ -299,19 +304,17 @@ def surprising(texts: DataFrame, n_clean: int, n_toxic: int) -> frozenset[str]:
 
 
 def labelled_lines(batches: Batches, toxic_marks: frozenset[str]) -> Iterator[list[tuple]]:
-    """Lines to learn from: of toxic documents some with toxic tokens, of clean ones some at all."""
+    """Lines to learn from: of toxic documents some with toxic tokens, of clean ones some at all, by a hash of the line."""
     for rows in batches:
         out = []
         for label, text in rows:
-            taken = 0
-            for line in cut_lines(TOKEN.findall(text)):
+            found = []
+            for at, line in enumerate(cut_lines(TOKEN.findall(text))):
                 flags = [int(bool(label) and not toxic_marks.isdisjoint(marks(w))) for w in line]
-                if label and not any(flags):
-                    continue
-                out.append((" ".join(line), "".join(map(str, flags))))
-                taken += 1
-                if taken == LINES_PER_DOCUMENT:
-                    break
+                if any(flags) or not label:
+                    joined = " ".join(line)
+                    found.append((crc(joined.encode("utf-8", "surrogatepass")), at, joined, "".join(map(str, flags))))
+            out += [(line, flags) for _, _, line, flags in nsmallest(LINES_PER_DOCUMENT, found)]
         yield out
 
 

@@ -173,6 +173,23 @@ def test_copies_of_a_document_teach_once(prepared):
     assert not {m for m in toxicity.surprising(texts, clean, toxic) if not m.startswith("foul")}
 
 
+def test_a_shared_minimum_alone_makes_no_copy(prepared):
+    """Half of the words are shared by all, so single minima agree often; and copies of a document of the other label teach."""
+    shared = words(40, 1)
+    rows = [(i, i % 2, f"{shared} {words(40, 100 + i)}") for i in range(30)] + [(100, 1, words(80, 5)), (101, 0, words(80, 5))]
+    sample = prepared.createDataFrame(rows, "doc_id long, label int, text string")
+    assert toxicity.without_copies(sample)[1:] == (16, 16)
+
+
+def test_lines_to_learn_from_come_from_the_whole_text():
+    texts = [(0, "\n".join(f"line {n} of {k}" for n in range(12))) for k in range(60)]
+    out = next(toxicity.labelled_lines(iter([texts]), frozenset()))
+    assert len(out) == 120 and {line.split()[1] for line, _ in out} == {str(n) for n in range(12)}
+    marked = [(1, "\n".join(f"fine {n}" if n < 9 else f"foul {n}" for n in range(12)))]
+    found = next(toxicity.labelled_lines(iter([marked]), frozenset(toxicity.marks("foul"))))
+    assert len(found) == 2 and all(line.startswith("foul") and "1" in flags for line, flags in found)
+
+
 def test_spans_are_offsets_in_the_text():
     text = "İ say: you FOUL, foul thing.\nfine"
     p = np.array([0, 0, 0, 0.9, 0.8, 0.1, 0, 0.6])
