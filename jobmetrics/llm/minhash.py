@@ -24,7 +24,7 @@ from itertools import groupby
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from jobmetrics.llm.common import Batches, block_pairs, map_rows, stored, whole_text
+from jobmetrics.llm.common import Batches, map_rows, stored, whole_text
 from jobmetrics.llm.components import components
 
 # At similarity 0.8, two signatures share no band with probability (1 - 0.8^5)^36 < 1e-6.
@@ -111,9 +111,9 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             for doc, text in rows:
                 found = shingles(text, width)
                 key = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "<i8").tolist()
-                signed = signature(found) if len(found) else None
-                out.append((doc, len(found), *key,
-                            None if signed is None else signed.astype("<u2").tobytes(),
+                # Buckets hold what is equal in the signature as it is kept, so that both tell the same of a pair.
+                signed = signature(found).astype("<u2") if len(found) else None
+                out.append((doc, len(found), *key, None if signed is None else signed.tobytes(),
                             None if signed is None else bucket_keys(signed).view(np.int64).tolist()))
             yield out
 
@@ -218,6 +218,31 @@ def bucket_links(batches: Batches, width: int, percent: int) -> Iterable[list[tu
             yield connecting_links(rows, low != high, width, percent)
 
 
+def dealt_by_component(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """Deals the members of buckets to tasks so that every two of different components meet in one of them.
+
+    A bucket of more than ``block`` members is cut into blocks, those of its largest component apart from the others.
+    Blocks of others meet each other, and those of the largest component only the others: its members need not
+    be compared among themselves. ``low`` and ``high`` name a task's two blocks, ``block`` is the row's own; blocks of the
+    largest component have negative numbers. ``sizes`` has the ``count`` of each bucket.
+    """
+    large = sizes.where(F.col("count") > block).select("bucket")
+    parts = rows.select("bucket", "component").join(large, "bucket").groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    split = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n")).select(
+        "bucket", F.col("most.component").alias("main"), F.ceil(F.col("most.n") / block).cast("int").alias("main_blocks"),
+        F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("other_blocks"))
+    hashed, is_main = F.xxhash64("doc_id"), F.col("component") == F.col("main")
+    others = F.sequence(F.lit(0), F.col("other_blocks") - 1)
+    mains = F.transform(F.sequence(F.lit(1), F.col("main_blocks")), lambda x: -x)
+    own = F.when(is_main, -F.pmod(hashed, F.col("main_blocks")) - 1).otherwise(F.pmod(hashed, F.col("other_blocks")))
+    met = F.when(F.col("main").isNull(), F.array(F.lit(0))).when(is_main, others).otherwise(F.concat(others, mains))
+    group = ["bucket", "low", "high"]
+    return (rows.join(split, "bucket", "left").withColumn("block", F.coalesce(own, F.lit(0)).cast("int"))
+            .withColumn("other", F.explode(met)).withColumn("low", F.least("block", "other"))
+            .withColumn("high", F.greatest("block", "other")).drop("main", "main_blocks", "other_blocks", "other")
+            .repartition(*group).sortWithinPartitions(*group, "doc_id"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -264,7 +289,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     unsettled = known.join(open_buckets.select("bucket"), "bucket").join(signatures, "doc_id")
     names = ["bucket", "low", "high", "block", "band", "component", "doc_id"]
     possible = stored(map_rows(
-        block_pairs(unsettled, open_buckets, ["bucket"], "doc_id", MEMBERS).select(*names, "n_shingles", "signature"),
+        dealt_by_component(unsettled, open_buckets, MEMBERS).select(*names, "n_shingles", "signature"),
         lambda batches: possible_members(batches),
         "bucket long, low int, high int, block int, component long, doc_id long"), "possible")
     group = ["bucket", "low", "high"]

@@ -95,6 +95,37 @@ def test_members_of_a_bucket_that_hubs_do_not_link(prepared, monkeypatch, block)
     assert got(mh.near_duplicates(documents(prepared, rows), 4)) == expected(rows, 4)
 
 
+def test_the_largest_component_of_a_bucket_meets_only_the_others(prepared):
+    """Every two members of different components meet in a task, and a large component is not dealt against itself."""
+    rows = [(7, 0, doc, 1 if doc < 900 else doc // 5, 10, b"") for doc in range(1000)] + [(8, 1, d, d % 2, 10, b"") for d in range(9)]
+    members = prepared.createDataFrame(rows, "bucket long, band int, doc_id long, component long, n_shingles long, signature binary")
+    dealt = mh.dealt_by_component(members, members.groupBy("bucket").count(), 32).collect()
+    tasks, component = {}, {(r[0], r[2]): r[3] for r in rows}
+    for r in dealt:
+        tasks.setdefault((r["bucket"], r["low"], r["high"]), []).append((r["doc_id"], r["block"]))
+    met = set()
+    for (bucket, low, high), docs in tasks.items():
+        assert len(docs) < 130
+        met |= {(bucket, a, b) for a, x in docs for b, y in docs if a < b and (low == high or x != y)}
+    wanted = {(7, a, b) for a in range(1000) for b in range(max(a + 1, 900), 1000) if component[7, a] != component[7, b]}
+    assert wanted <= met and not any(b < 900 for bucket, _, b in met if bucket == 7)
+    assert {(8, a, b) for a in range(9) for b in range(a + 1, 9)} <= met
+    # 900 members meet 4 blocks of others; 100 others meet 29 blocks and each other.
+    assert sum(len(d) for k, d in tasks.items() if k[0] == 7) == 900 * 4 + 100 * (29 + 4)
+
+
+def test_buckets_hold_what_signatures_say(prepared):
+    """Signatures that agree in a band, as they are kept, share its bucket: so a pair can be left to an earlier band."""
+    signed = np.arange(mh.HASHES, dtype="<u2")
+    other = signed.copy()
+    other[:mh.ROWS * 3] += 7
+    same = mh.bucket_keys(signed) == mh.bucket_keys(other)
+    assert same.tolist() == [False] * 3 + [True] * (mh.BANDS - 3)
+    row = mh.sketches(documents(prepared, [(1, words(50, 1))]), 5).first()
+    kept = np.frombuffer(bytes(row["signature"]), "<u2")
+    assert row["buckets"] == mh.bucket_keys(kept).view(np.int64).tolist()
+
+
 def test_words_are_split_as_defined():
     assert len(mh.shingles("A b\x85c É a", 1)) == 3  # no-break space and next line part no words
     assert (mh.shingles("ONE two", 5) == mh.shingles("one\x0bTWO", 5)).all()
