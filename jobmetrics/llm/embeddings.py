@@ -47,13 +47,20 @@ class Tables:
 
     def keys(self, unit: np.ndarray) -> np.ndarray:
         """A key for each table, of rows of unit vectors."""
+        if not self.bits:
+            return np.zeros((len(unit), 1), np.int64)
         signs = np.concatenate([(unit - self.mean) @ r > 0 for r in self.rotations], axis=1)
         cut = signs[:, :self.tables * self.bits].reshape(len(unit), self.tables, self.bits)
         return cut @ (1 << np.arange(self.bits, dtype=np.int64))
 
 
 def layout(n: int, cosine: float = COSINE) -> tuple[int, int]:
-    """(tables, bits) for n vectors: buckets stay small, and pairs at the least cosine still meet."""
+    """(tables, bits) for n vectors: buckets stay small, and pairs at the least cosine still meet.
+
+    As many as one bucket may hold are one bucket.
+    """
+    if n <= PER_BUCKET:
+        return 1, 0
     bits = max(LEAST_BITS, ceil(log2(max(n, 1) / PER_BUCKET)))
     equal = (1 - acos(cosine) / pi) ** bits
     return max(1, ceil(log(MISSED) / log(1 - equal))), bits
@@ -129,27 +136,8 @@ def compare(members: list[tuple], first_block: int, second_block: int, cosine: f
         yield int(node[i]), int(links[i]), int(least[i])
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
-
-    Vectors are linked if their cosine is at least ``cosine``; each pair found is checked in double
-    precision. Null and zero vectors, and those with null or non-finite numbers, link with
-    nothing; so do those of another length than the commonest (of equally common ones, the
-    longest). Repeated rows are links of each other; rows with one vec_id have all its links. A
-    row without vec_id is linked with nothing, has a null component and is kept. Columns other
-    than vec_id and embedding are left out.
-    """
-    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    usable = every.where(F.col("vec_id").isNotNull() & is_usable("embedding"))
-    commonest = usable.groupBy(F.size("embedding").alias("size")).count().orderBy(
-        F.desc("count"), F.desc("size")).first()
-    dimension = commonest["size"] if commonest else 0
-    # Copies of a vector are one row, known by its least id.
-    classes = stored(usable.where(F.size("embedding") == dimension).groupBy("embedding").agg(
-        F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
-    if not commonest:
-        return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                            F.lit(True).alias("kept"))
+def matches(classes: DataFrame, dimension: int, cosine: float, block: int) -> DataFrame:
+    """(node, links, least) of the classes of one length: linked vectors by task, and the least node reached there."""
     unit = stored(map_rows(classes.select("node", "copies", "embedding"), units,
                            "node long, copies long, unit binary"), "units")
     model = fit(unit, unit.count(), dimension, cosine)
@@ -172,7 +160,28 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
             if len(members) > 1:
                 yield list(compare(members, low, high, cosine, dimension))
 
-    found = stored(map_rows(together, match, "node long, links long, least long"), "found")
+    return stored(map_rows(together, match, "node long, links long, least long"), "found")
+
+
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
+
+    Vectors are linked if their cosine is at least ``cosine``; each pair found is checked in double
+    precision. Null and zero vectors, and those with null or non-finite numbers, link with
+    nothing. Vectors of different lengths have no cosine; each length has a model and tables of its own, one after the
+    other. Repeated rows are links of each other; rows with one vec_id have all its links. A
+    row without vec_id is linked with nothing, has a null component and is kept. Columns other
+    than vec_id and embedding are left out.
+    """
+    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    usable = every.where(F.col("vec_id").isNotNull() & is_usable("embedding"))
+    # Copies of a vector are one row, known by its least id.
+    classes = stored(usable.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
+    size = F.size("embedding")
+    lengths = sorted(r["size"] for r in classes.select(size.alias("size")).distinct().collect())
+    found = vectors.sparkSession.createDataFrame([], "node long, links long, least long")
+    for dimension in lengths:
+        found = found.unionByName(matches(classes.where(size == dimension), dimension, cosine, block))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     reached = components(found.select(F.col("node").alias("u"), F.col("least").alias("v")))
 

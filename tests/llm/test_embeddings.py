@@ -21,14 +21,11 @@ def expected(rows, cosine=0.9):
     """(vec_id, n_links, component_id, kept) for ids that do not repeat."""
     usable = [(i, np.array(x, np.float32).astype(float)) for i, x in rows
               if i is not None and x and None not in x and np.isfinite(x).all() and np.any(x)]
-    lengths = [len(x) for _, x in usable]
-    size = max(lengths, key=lambda n: (lengths.count(n), n), default=0)
-    usable = [(i, x / np.linalg.norm(x)) for i, x in usable if len(x) == size]
     links = []
-    if usable:
-        ids, unit = [i for i, _ in usable], np.array([x for _, x in usable])
-        a, b = np.nonzero(unit @ unit.T >= cosine)
-        links = [(ids[x], ids[y]) for x, y in zip(a, b) if x != y]
+    for size in {len(x) for _, x in usable}:
+        ids, unit = zip(*[(i, x / np.linalg.norm(x)) for i, x in usable if len(x) == size])
+        a, b = np.nonzero(np.array(unit) @ np.array(unit).T >= cosine)
+        links += [(ids[x], ids[y]) for x, y in zip(a, b) if x != y]
     least = least_reachable({i for i, _ in rows if i is not None}, links)
     count = {}
     for a, _ in links:
@@ -76,6 +73,14 @@ def test_edges(prepared):
     assert got(em.near_vectors(frame(prepared, rows))) == expected(rows)
 
 
+def test_each_length_is_searched(prepared):
+    rows = [(i, v.tolist()) for i, v in enumerate(groups(8, 20, 3, 0.2, width=4))]
+    rows += [(100, [1.0, 2.0]), (101, [2.0, 4.0]), (102, [3.0, 6.1]), (103, [5.0]), (104, [7.0]), (105, [-7.0])]
+    want = expected(rows)
+    assert got(em.near_vectors(frame(prepared, rows))) == want
+    assert {r[0]: r[1] for r in want if r[0] >= 100} == {100: 2, 101: 2, 102: 2, 103: 1, 104: 1, 105: 0}
+
+
 def test_repeated_rows_link_with_each_other(prepared):
     rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])]
     assert got(em.near_vectors(frame(prepared, rows))) == [
