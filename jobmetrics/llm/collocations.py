@@ -31,8 +31,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobmetrics.llm.block_keys import ASKS, Part, answered, answers, distinct, joined, part_count, questions, word_hashes
+from jobmetrics.llm.block_keys import ASKS, Part, answered, answers, distinct, part_count, questions
 from jobmetrics.llm.common import ARROW_TYPES, map_rows, stored, whole_text
+from jobmetrics.llm.hashing import joined, word_hashes
 
 UNDETERMINED = "und"
 LONGEST = 4

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable
-from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from jobmetrics.llm.common import Batches, map_rows, stored, whole_text
 from jobmetrics.llm.components import components
+from jobmetrics.llm.hashing import mixed, word_hashes
 
 # At similarity 0.8, two signatures share no band with probability (1 - 0.8^5)^36 < 1e-6.
 BANDS, ROWS = 36, 5
@@ -37,7 +37,6 @@ LEAST_AGREEMENT = 0.8 - 5 * (0.8 * 0.2 / HASHES) ** 0.5
 # Hubs that a member is checked against, and members that one task compares with as many others.
 HUBS, MEMBERS = 3, 2048
 BLOCK = 1024
-WORDS_KEPT = 300_000
 
 _draw = np.random.default_rng(20_000)
 _MULTIPLY = _draw.integers(0, 1 << 64, HASHES, np.uint64) | np.uint64(1)
@@ -48,42 +47,19 @@ _WORD_MULTIPLY = _draw.integers(0, 1 << 64, 64, np.uint64) | np.uint64(1)
 SKETCH_SCHEMA = "doc_id long, n_shingles long, key_a long, key_b long, signature binary, buckets array<long>"
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < WORDS_KEPT:
-            self[word] = value
-        return value
-
-
-@lru_cache(maxsize=1)
-def word_hashes() -> _WordHashes:
-    return _WordHashes()
-
-
 def shingles(text: str, width: int) -> np.ndarray:
     """The set of hashes of a text's shingles of ``width`` words, in ascending order.
 
     Words are runs of characters other than space and 09 to 0D, with A-Z in lower case. Fewer
     words than ``width`` are one shingle.
     """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    hashes = word_hashes([text.encode("utf-8", "surrogatepass").lower()])[0][:, 0]
+    if not len(hashes):
         return np.zeros(0, np.uint64)
-    known = word_hashes()
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    used = min(width, len(words))
-    total = np.full(len(words) - used + 1, np.uint64(used))
+    used = min(width, len(hashes))
+    total = np.full(len(hashes) - used + 1, np.uint64(used))
     for k in range(used):
-        total = mixed(total + hashes[k:len(words) - used + 1 + k] * _WORD_MULTIPLY[k])
+        total = mixed(total + hashes[k:len(hashes) - used + 1 + k] * _WORD_MULTIPLY[k])
     return np.unique(total)
 
 

@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmetrics.llm.block_keys import ASKS, Part, answered, answers, distinct, joined, part_count, questions, word_hashes
+from jobmetrics.llm.block_keys import ASKS, Part, answered, answers, distinct, part_count, questions
 from jobmetrics.llm.common import id_bounds, range_of, shuffle_width, whole_text
+from jobmetrics.llm.hashing import joined, word_hashes
 
 # Bytes of text in a block, about; a task holds some ten times as much.
 BLOCK_BYTES = 16 << 20
