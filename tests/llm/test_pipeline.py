@@ -54,7 +54,7 @@ def test_edges(prepared, edges, nothing):
 
 def test_registered():
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.queries()}
     assert set(queries.queries()) | {"pipeline"} <= set(names)
     assert set(contract.oracle_sql()) <= set(names)
     assert [n for n, _ in cp.STAGES] == ["quality", "language", "near-duplicates", "packing"]
