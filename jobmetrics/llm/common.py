@@ -15,12 +15,13 @@ from jobmetrics.session import prepare, scratch_path
 
 ROOT = str(Path(__file__).resolve().parents[2])
 LOWEST = -(1 << 63)
-# Rows of one Arrow batch. Texts can be long, so this bounds a Python worker's memory.
+# Rows and bytes of one Arrow batch, so that long texts come alone. A single row may be larger.
 ROWS_PER_BATCH = 1000
+BYTES_PER_BATCH = 4 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The library's session settings, and Arrow batches that long texts cannot blow up.
+    """The library's session settings, and Arrow batches of bounded rows and bytes.
 
     Python workers on this machine find the library where the driver has it; to a cluster it
     goes with ``--py-files`` or the workers' PYTHONPATH.
@@ -34,6 +35,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > ROWS_PER_BATCH:
         spark.conf.set(key, str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     return spark
 
 
