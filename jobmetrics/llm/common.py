@@ -126,15 +126,22 @@ Batches = Iterator[list[tuple]]
 
 
 def map_rows(df: DataFrame, function: Callable[[Batches], Iterable[list[tuple]]], ddl: str) -> DataFrame:
-    """``mapInArrow`` with lists of tuples in and out, so that nulls and large ids stay exact."""
+    """``mapInArrow`` with lists of tuples in and out, so that nulls and large ids stay exact.
+
+    Spark uses a Python worker for many tasks; after each one, it gives free memory back to the system.
+    """
     fields = [f.split() for f in ddl.split(", ")]
     schema = pa.schema([(name, ARROW_TYPES[kind]) for name, kind in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in function(list(zip(*[c.to_pylist() for c in b.columns])) for b in batches):
-            if rows:
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        try:
+            for rows in function(list(zip(*[c.to_pylist() for c in b.columns])) for b in batches):
+                if rows:
+                    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        finally:
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
 
     return df.mapInArrow(run, ddl)
 
