@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from jobmetrics.llm.common import Batches, crc, map_rows, whole_text
-from jobmetrics.llm.word_encoder import word_encoder
+from jobmetrics.llm.word_encoder import WORDS_KEPT, word_encoder
 
 WINDOW = 1024
 PIECES_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -133,17 +133,19 @@ def packed(documents: Iterable[tuple[int | None, bytes]], window: int = WINDOW)
     yield from levels.rest()
 
 
-def pack(docs: DataFrame, vocabulary: str, pattern: str, end_id: int = 0, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, pattern: str, end_id: int = 0, window: int = WINDOW,
+         words_kept: int = WORDS_KEPT) -> DataFrame:
     """One row for each piece of each row of ``docs``; offsets are gapless within a sequence.
 
     A document without text is its end id alone. Repeated rows and null ids are packed like any
     other row; an empty table gives no rows. Columns other than doc_id and text are left out.
-    ``window`` must be a power of two.
+    ``window`` must be a power of two. ``words_kept`` bounds the pre-tokens that a worker keeps with their ids:
+    fewer take less memory and more time, and give the same rows.
     """
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def run(batches: Batches) -> Iterable[list[tuple]]:
-        encoder = word_encoder(vocabulary, pattern)
+        encoder = word_encoder(vocabulary, pattern, words_kept)
         first = TaskContext.get().partitionId() << 40
 
         def documents() -> Iterator[tuple[int | None, bytes]]:

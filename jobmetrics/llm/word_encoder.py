@@ -125,5 +125,5 @@ def put_in(found: list[bytes | None], words: list[str], fresh: dict[str, bytes])
 
 
 @lru_cache(maxsize=2)
-def word_encoder(vocabulary: str, pattern: str) -> WordEncoder:
-    return WordEncoder(vocabulary, pattern)
+def word_encoder(vocabulary: str, pattern: str, kept: int = WORDS_KEPT) -> WordEncoder:
+    return WordEncoder(vocabulary, pattern, kept)
