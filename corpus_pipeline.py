@@ -10,6 +10,14 @@ from jobmetrics.llm.queries import PATTERN, VOCABULARY
 
 # A document is in a language if that has at least this share; a passage in another one is no fault.
 LEAST_PROPORTION = 1 / 3
+# Python workers live on from stage to stage beside what the stages need in the JVM, so they get less at a time.
+ROWS_AT_A_TIME, WORDS_KEPT = 200, 100_000
+
+
+def session(spark: SparkSession) -> SparkSession:
+    """The operators' session settings, with smaller Arrow batches."""
+    prepared(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_A_TIME))
+    return spark
 
 
 def spare_name(docs: DataFrame, name: str) -> str:
@@ -22,7 +30,7 @@ def spare_name(docs: DataFrame, name: str) -> str:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold of the ranking learned from ``labels``."""
-    labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = session(spark).read.parquet(f"{sf_dir}/labels.parquet")
     ranking = quality.learn(docs, labels, ~held_out("doc_id", 4, 2))
     score = spare_name(docs, "score")
     return quality.with_score(docs, ranking, score).where(quality.is_good(score)).select(*docs.columns)
@@ -30,7 +38,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters, in the languages learned, of which one has a fair share."""
-    prepared(spark)
+    session(spark)
     languages = language.learn(docs, ~held_out("doc_id", 4, 2))
     found = spare_name(docs, "mixture")
     known = ((F.col(f"{found}.lang") != language.UNDETERMINED) & (F.col(f"{found}.proportion") >= LEAST_PROPORTION)
@@ -43,7 +51,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Rows without an id belong to no group and stay.
     """
-    prepared(spark)
+    session(spark)
     kept = (minhash.near_duplicates(docs, width=5).where(F.col("kept") & F.col("doc_id").isNotNull())
             .select("doc_id").distinct())
     number = spare_name(docs, "number")
@@ -55,8 +63,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the earlier stages kept, in windows of 1024 ids."""
-    prepared(spark)
-    return packing.pack(docs, VOCABULARY, PATTERN, end_id=0)
+    session(spark)
+    return packing.pack(docs, VOCABULARY, PATTERN, end_id=0, words_kept=WORDS_KEPT)
 
 
 STAGES = [
@@ -72,7 +80,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's rows written and read again before the next."""
-    docs = prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = session(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
