@@ -5,17 +5,18 @@ earlier one back and adds itself, so each batch gives changes of cells, summed u
 are the sums of the changes, the same however the input is cut into batches, with copies, resends and late events.
 Nothing of earlier batches is read. ``first copies`` are found the same way.
 
-State of a key is kept for ever, or, for rows that went through ``streaming.gate``, until its hour is closed: the
+The keys of an hour lie in a fixed number of groups, each one row of the state store, so Python is called once a group and
+batch, not once a key. State is kept for ever, or, for rows that went through ``streaming.gate``, until its hour is closed: the
 gate lets no row of a closed hour pass, and its clock is the watermark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -41,6 +42,8 @@ _LAYOUT = """
     spend DOUBLE, conversions BIGINT, qualified BIGINT, unqualified BIGINT, dates DATE
 """
 CLOCK = "clock"
+# Groups that the keys of an hour are dealt to: what one call of Python handles, and what a batch with any of its keys rewrites.
+PARTS_OF_HOUR = 16
 # The gate's clock stands still within a batch of the gate; nothing may be behind it by as much as this.
 _BEHIND = "1 millisecond"
 
@@ -73,68 +76,89 @@ def versions(events: DataFrame) -> DataFrame:
     return timed(events).select(*kept, *[columns[name].alias(name) for name in _NAMES])
 
 
-def _chosen(frames: Iterator[pd.DataFrame], last: bool) -> tuple | None:
-    """The last, or first, row by the place in the topic, as plain values; a frame holds some of a hot key's rows."""
-    best, best_order = None, None
+def _best(frames: Iterable[pd.DataFrame], last: bool) -> pd.DataFrame:
+    """The last, or first, row of each key by the place in the topic; a frame holds some rows of a hot key or hour."""
+    best = None
     for frame in frames:
-        order = np.lexsort([frame[c].to_numpy() for c in reversed(_ORDER)])
-        row = frame.iloc[order[-1 if last else 0]]
-        place = tuple(int(row[c]) for c in _ORDER)
-        if best is None or (place > best_order if last else place < best_order):
-            best, best_order = row, place
-    return None if best is None else (best_order, best)
-
-
-def _plain(row: pd.Series, names: list[str]) -> tuple:
-    return tuple(v.item() if isinstance(v, np.generic) else v for v in (row[name] for name in names))
-
-
-def _changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
+        rows = frame if best is None else pd.concat([best, frame], ignore_index=True)
+        keys, _ = pd.factorize(rows[KEY], use_na_sentinel=False)
+        order = np.lexsort([*(rows[c].to_numpy() for c in reversed(_ORDER)), keys])
+        changed = keys[order][1:] != keys[order][:-1]
+        best = rows.iloc[np.sort(order[np.r_[changed, True] if last else np.r_[True, changed]])]
+    return best
+
+
+def _later(rows: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
+    """Which rows come after those beside them in the topic."""
+    later, level = np.zeros(len(rows), bool), np.ones(len(rows), bool)
+    for name in _ORDER:
+        one, other = rows[name].to_numpy(), others[name].to_numpy()
+        later |= level & (one > other)
+        level &= one == other
+    return later
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    table, sink = pa.Table.from_pandas(rows, preserve_index=False).replace_schema_metadata(None), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(state: GroupState) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(state.get[0])).read_all().to_pandas()
+
+
+def _changes(group: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    came = _best(frames, last=True)[[KEY, *_NAMES]]
+    before = _unpacked(state) if state.exists else came.iloc[:0]
+    at = pd.Index(before[KEY]).get_indexer(came[KEY])
+    counting = at < 0
+    counting[~counting] = _later(came[~counting], before.iloc[at[~counting]])
+    came, at = came[counting], at[counting]
+    if came.empty:
         return
-    place, row = _chosen(frames, last=True)
-    before = state.get if state.exists else None
-    if before is not None and place <= tuple(before[:3]):
-        return
-    now = _plain(row, _NAMES)
-    state.update(now)
-    counts, payload = _NAMES.index("counts"), slice(_NAMES.index("counts") + 1, None)
-    old = tuple(before[payload]) if before is not None and before[counts] else None
-    new = now[payload] if now[counts] else None
-    if old != new:
-        rows = [(sign, *part) for sign, part in ((-1, old), (1, new)) if part is not None]
-        if rows:
-            yield pd.DataFrame(rows, columns=["sign", *_PAYLOAD])
+    kept = np.ones(len(before), bool)
+    kept[at[at >= 0]] = False
+    state.update((_packed(pd.concat([before[kept], came], ignore_index=True)),))
+    # What a key counted for so far, and counts for now.
+    old = before.iloc[at] if len(before) else came
+    was, now = (at >= 0) & old["counts"].to_numpy(bool), came["counts"].to_numpy(bool)
+    differs = ~(was & now)
+    for name in _PAYLOAD:
+        differs |= old[name].to_numpy() != came[name].to_numpy()
+    changed = [rows[_PAYLOAD].assign(sign=np.int32(sign)) for sign, rows in ((-1, old[was & differs]), (1, came[now & differs]))]
+    yield pd.concat(changed, ignore_index=True)[["sign", *_PAYLOAD]]
 
 
 def _closing(function):
-    """The same, with the state of a key given up when its hour is closed."""
+    """The same, with the state of a group given up when its hour is closed."""
 
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def run(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        first = next(frames)
-        yield from function(key, chain([first], frames), state)
-        # Rows of one key have one event time, so they close together.
-        state.setTimeoutTimestamp(int(first["closes"].iloc[0]))
+        yield from function(group, frames, state)
+        # Rows of one group are of one hour, so they close together.
+        state.setTimeoutTimestamp(int(group[0]))
 
     return run
 
 
-def _stateful(rows: DataFrame, function, output: str, state: str) -> DataFrame:
+def _stateful(rows: DataFrame, function, output: str) -> DataFrame:
     closing = CLOCK in rows.columns
     if closing:
         rows = rows.withWatermark(CLOCK, _BEHIND)
     timeout = GroupStateTimeout.EventTimeTimeout if closing else GroupStateTimeout.NoTimeout
-    return rows.groupBy(KEY).applyInPandasWithState(
-        _closing(function) if closing else function, output, state, "append", timeout)
+    # A key names its time, so all its rows are of one hour and in one group.
+    grouped = rows.withColumn("part", F.pmod(F.xxhash64(KEY), F.lit(PARTS_OF_HOUR))).groupBy("closes", "part")
+    return grouped.applyInPandasWithState(
+        _closing(function) if closing else function, output, "known binary", "append", timeout)
 
 
 def changes(events: DataFrame) -> DataFrame:
     """Rows to add to cells (``sign`` 1) or take back (-1) for the events that came, given those that came before."""
-    return _stateful(versions(events), _changes, _CHANGE, _VERSION)
+    return _stateful(versions(events), _changes, _CHANGE)
 
 
 def partial_cells(changed: DataFrame) -> DataFrame:
@@ -200,18 +224,22 @@ def first_copies(events: DataFrame, layout: str) -> DataFrame:
     whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("whole")
     rows = timed(events).select(*[c for c in (KEY, CLOCK) if c in events.columns], whole,
                          *[c.alias(n) for n, c in _place().items()])
-    found = _stateful(rows, _first, "whole string", "seen boolean")
+    found = _stateful(rows, _first, "whole string")
     return found.select(F.from_json("whole", layout).alias("row")).select("row.*")
 
 
-def _first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
+def _first(group: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    came = _best(frames, last=False)[[KEY, "whole"]]
     if state.exists:
-        return
-    state.update((True,))
-    yield pd.DataFrame({"whole": [_chosen(frames, last=False)[1]["whole"]]})
+        before = _unpacked(state)
+        came = came[~came[KEY].isin(before[KEY]).to_numpy()]
+        if came.empty:
+            return
+        known = pd.concat([before, came[[KEY]]], ignore_index=True)
+    else:
+        known = came[[KEY]]
+    state.update((_packed(known),))
+    yield came[["whole"]].reset_index(drop=True)
 
 
 def start_first_copies(events: DataFrame, path: str, layout: str, trigger: dict = ONCE) -> StreamingQuery:

@@ -156,3 +156,14 @@ def test_a_gated_batch_done_again_has_the_same_clock(spark, messages, gated, tmp
             commit.unlink()
     gated()
     assert last_batch(spark, path) == last and rows_of(gate.late_events(spark, path).drop("dates")) == before
+
+
+@pytest.mark.parametrize("start", [keyed.start_hourly_changes, lambda e, path: keyed.start_first_copies(e, path, LAYOUT)])
+def test_keys_of_an_hour_share_a_bounded_number_of_groups(spark, tmp_path, start):
+    """A call of Python, and a row of the state store, a group: not one a key."""
+    source, rows = str(tmp_path / "in"), [(0.1 + i / 1000, i, 5, 0, i) for i in range(800)]
+    spark.createDataFrame(_sent(rows), MESSAGE).coalesce(1).write.parquet(source)
+    query = start(good(stream_of(spark, source, MESSAGE)), str(tmp_path / "out"))
+    query.awaitTermination()
+    states = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    assert max(s["numRowsTotal"] for s in states) <= keyed.PARTS_OF_HOUR
