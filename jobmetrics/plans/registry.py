@@ -17,6 +17,7 @@ from jobmetrics.plans.fact import FACT_COLUMNS, build_fact
 from jobmetrics.session import prepare, scratch_path
 from jobmetrics.sinks import topic
 from jobmetrics.sinks.fact_lake import read_fact
+from jobmetrics.sinks.files import names_in, remove
 from jobmetrics.sinks.versions import VersionedStore
 from jobmetrics.sources import csv, fixtures, tables
 from jobmetrics.streaming import decode, dedup, gate, hourly, ingest, keyed
@@ -26,6 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The moment of a first load, where a query needs one: some events are before it, some after.
 FIRST_LOAD = "TIMESTAMP '2024-01-20 07:30:00'"
 MONEY = ["bid_set", "spend_hour", "spend"]
+# Rows of a file of messages that arrive together.
+ROWS_PER_FILE = 100_000
 
 _QUERIES: dict[str, Query] = {}
 
@@ -104,10 +107,19 @@ def _sent_in_waves(spark: SparkSession, sf_dir: str, waves: int = 8) -> DataFram
     micros = F.unix_micros("received_at")
     first, last = sent.agg(F.min(micros), F.max(micros)).first()
     wave = F.floor((micros - first) * waves / (last - first + 1))
-    path = scratch_path(spark, "waves")
+    staged, path = scratch_path(spark, "staged"), scratch_path(spark, "waves")
+    sent.withColumn("wave", wave).write.partitionBy("wave").parquet(staged)
+    found = spark.read.parquet(staged)
+    most = found.groupBy("wave").count().agg(F.max("count")).first()[0] or 0
+    # A wave is as many files as a batch takes, written by as many tasks; empty ones stand in where rows are few.
+    files = max(1, -(-most // ROWS_PER_FILE))
     for n in range(waves):
-        sent.filter(wave == n).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        found.filter(F.col("wave") == n).drop("wave").repartition(files).write.mode("append").parquet(path)
+        written = sum(name.endswith(".parquet") for name in names_in(spark, path))
+        for _ in range((n + 1) * files - written):
+            spark.createDataFrame([], sent.schema).coalesce(1).write.mode("append").parquet(path)
+    remove(spark, staged)
+    return spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _accepted_in_waves(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from jobmetrics.operators.clean import tracking_clean
 from jobmetrics.operators.enrich import with_company
 from jobmetrics.operators.metrics import hourly_metrics, hourly_metrics_joined
 from jobmetrics.operators.numbering import with_surrogate
+from jobmetrics.plans import registry
 from jobmetrics.plans.fact import build_fact
 from jobmetrics.plans.registry import queries
 from jobmetrics.sources.tables import tracking_scan
@@ -143,3 +144,18 @@ def test_numbering_splits_an_hour(spark):
     number = F.col("id") % 10**11 - 1
     sizes = ids.groupBy((number % 256).alias("bucket")).count()
     assert sizes.count() == 256 and sizes.agg(F.max("count")).first()[0] < 60
+
+
+def test_waves_are_written_by_many_tasks_and_come_one_a_batch(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 40)
+    monkeypatch.setattr(registry, "scratch_path", lambda _, purpose: str(tmp_path / purpose))
+    waves, batches = registry._sent_in_waves(spark, sf_dir, waves=4), []
+
+    def seen(batch, _):
+        batches.append((batch.count(), batch.agg(F.min("received_at"), F.max("received_at")).first()))
+
+    (waves.writeStream.foreachBatch(seen).option("checkpointLocation", str(tmp_path / "marks")).trigger(availableNow=True)
+     .start().awaitTermination())
+    assert len(batches) == 4 and sum(n for n, _ in batches) == registry._messages(spark, sf_dir).count()
+    assert len(list((tmp_path / "waves").glob("*.parquet"))) >= sum(n for n, _ in batches) / 40
+    assert all(one[1] <= after[0] for (_, one), (_, after) in zip(batches, batches[1:]))
