@@ -6,25 +6,33 @@ labelled bad: the logistic loss of the difference of their features is least whe
 ranks above the bad one most often. The scores so learned only rank; the threshold is the
 quantile that leaves as large a share below it as documents were labelled bad. It lies at 0.7 of
 the final score.
+
+All labelled documents are learned from. They are dealt into blocks by a hash, and every good one of a block is
+paired with every bad one of it, so that the pairs grow as the documents do. A step of Newton's method is one pass
+over the blocks that adds up gradient and curvature; the quantile is found exactly, by counting ranks in ever narrower bins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmetrics.llm.common import Batches, bounded_sample, code_points, map_rows, whole_text
+from jobmetrics.llm.common import Batches, code_points, map_rows, stored, whole_text
 
-# Learning sees at most this many documents of each label, and this many pairs.
-SAMPLE_PER_LABEL = 5_000
-PAIRS = 60_000
+# Documents of a block, about: of the rarer label, and of the other one.
+FEW, MANY = 32, 256
+# Goods whose pairs with a block's bads are held at once.
+PAIRED = 512
+BINS = 1024
 THRESHOLD = 0.7
 RIDGE = 1e-3
 NEWTON_STEPS = 12
+STILL = 1e-8
 
 # Kinds of characters: letters by case, digits, space, line end, some signs each by itself, others.
 SIGNS = ".,;:!?'\"-()|#%&$*@/\\<>=+_[]{}~^"
@@ -99,28 +107,50 @@ class Ranking:
         return 1 / (1 + np.exp(-above))
 
 
-def fit_ranking(good: np.ndarray, bad: np.ndarray, share_bad: float, pairs: int = PAIRS) -> Ranking:
-    """Bradley-Terry weights from rows of features, by Newton's method on the pairs' loss.
+def pair_sums(good: np.ndarray, bad: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Descent and curvature of the loss, added up over all pairs of a good and a bad row."""
+    descent, curve = np.zeros(len(weights)), np.zeros((len(weights), len(weights)))
+    for at in range(0, len(good) if len(bad) else 0, PAIRED):
+        some = good[at:at + PAIRED]
+        wrong = 1 / (1 + np.exp(np.clip((some @ weights)[:, None] - (bad @ weights)[None, :], -30, 30)))
+        bent = wrong * (1 - wrong)
+        descent += wrong.sum(1) @ some - wrong.sum(0) @ bad
+        both = some.T @ (bent @ bad)
+        curve += (some * bent.sum(1)[:, None]).T @ some + (bad * bent.sum(0)[:, None]).T @ bad - both - both.T
+    return descent, curve
 
-    Without rows of one kind there are no pairs: then nothing ranks above anything else, and all
-    documents are as good as the kind there is.
-    """
-    both = np.concatenate([good, bad]) if len(good) + len(bad) else np.zeros((1, FEATURES))
-    mean, scale = both.mean(0), both.std(0)
-    scale[scale < 1e-6] = 1.0
-    weights = np.zeros(both.shape[1])
-    if not len(good) or not len(bad):
-        return Ranking(mean, scale, weights, -1.0 if not len(bad) else 1.0)
-    draw = np.random.default_rng(0)
-    x = ((good[draw.integers(0, len(good), pairs)] - bad[draw.integers(0, len(bad), pairs)]) / scale)
+
+def newton(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], pairs: int) -> np.ndarray:
+    """Bradley-Terry weights: where the mean loss of the pairs, with a ridge, is least."""
+    weights = np.zeros(FEATURES)
     for _ in range(NEWTON_STEPS):
-        wrong = 1 / (1 + np.exp(np.clip(x @ weights, -30, 30)))
-        gradient = RIDGE * weights - x.T @ wrong / pairs
-        curve = (x * (wrong * (1 - wrong))[:, None]).T @ x / pairs
-        weights = weights - np.linalg.solve(curve + RIDGE * np.eye(len(weights)), gradient)
+        descent, curve = sums(weights)
+        step = np.linalg.solve(curve / pairs + RIDGE * np.eye(FEATURES), descent / pairs - RIDGE * weights)
+        weights = weights + step
+        if np.abs(step).max() < STILL:
+            break
+    # The order of addition decides the last digits.
+    return np.round(weights, 9)
+
+
+def _without_pairs(n_bad: int) -> Ranking:
+    """Nothing ranks above anything else, and all documents are as good as the kind there is."""
+    return Ranking(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 1.0 if n_bad else -1.0)
+
+
+def _spread(deviation: np.ndarray) -> np.ndarray:
+    return np.where(deviation < 1e-6, 1.0, deviation)
+
+
+def fit_ranking(good: np.ndarray, bad: np.ndarray, share_bad: float) -> Ranking:
+    """A ranking from all pairs of rows of features that one task can hold; ``learn`` is for tables."""
+    if not len(good) or not len(bad):
+        return _without_pairs(len(bad))
+    both = np.concatenate([good, bad])
+    mean, scale = both.mean(0), _spread(both.std(0))
+    weights = newton(lambda w: pair_sums(good / scale, bad / scale, w), len(good) * len(bad))
     ranking = Ranking(mean, scale, weights, 0.0)
-    threshold = quantile(ranking.rank(good), ranking.rank(bad), share_bad)
-    return Ranking(mean, scale, weights, threshold)
+    return Ranking(mean, scale, weights, quantile(ranking.rank(good), ranking.rank(bad), share_bad))
 
 
 def quantile(good: np.ndarray, bad: np.ndarray, share_bad: float) -> float:
@@ -133,31 +163,136 @@ def quantile(good: np.ndarray, bad: np.ndarray, share_bad: float) -> float:
     return float((ranks[at] + ranks[at + 1]) / 2)
 
 
-def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_label: int = SAMPLE_PER_LABEL) -> Ranking:
-    """A ranking from the labelled rows for which ``learnable``, a condition on doc_id, holds.
-
-    The share of bad documents is that of all learnable labels; features are taken from at most
-    ``per_label`` documents of each label, their whole texts. Null labels and ids teach nothing.
+def _in_blocks(described: DataFrame, n_good: int, n_bad: int) -> DataFrame:
+    """One row a block: features of its goods and bads. Rows of the rarer label are in all ``part``s that share them."""
+    blocks = max(1, min(n_good, n_bad) // FEW)
+    parts = -(-max(n_good, n_bad) // (blocks * MANY))
+    rare = F.col("label") == int(n_good <= n_bad)
+    part = F.when(rare, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
+        F.array(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(parts)).cast("int")))
+    dealt = described.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).withColumn("part", F.explode(part))
+
+    def pack(rows: pa.Table) -> pa.Table:
+        labels, x = rows.column("label").to_pylist(), rows.column("x").to_pylist()
+        good, bad = (b"".join(sorted(v for v, label in zip(x, labels) if label == k)) for k in (1, 0))
+        return pa.table({"part": pa.array([rows.column("part")[0].as_py()], pa.int32()), "good": pa.array([good], pa.binary()),
+                         "bad": pa.array([bad], pa.binary())})
+
+    return dealt.groupBy("block", "part").applyInArrow(pack, "part int, good binary, bad binary")
+
+
+def _rows(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<f4").reshape(-1, FEATURES).astype(float)
+
+
+def _added(rows: DataFrame, of_row: Callable[..., np.ndarray]) -> np.ndarray:
+    """The sum over all rows of an array for each: a task's first, then those of all tasks in one."""
+
+    def total(arrays: Iterable[np.ndarray]) -> list[tuple]:
+        sums = None
+        for array in arrays:
+            sums = array if sums is None else sums + array
+        return [] if sums is None else [(sums.tobytes(),)]
+
+    def of_task(batches: Batches) -> Iterator[list[tuple]]:
+        yield total(of_row(*row) for batch in batches for row in batch)
+
+    def of_all(batches: Batches) -> Iterator[list[tuple]]:
+        yield total(np.frombuffer(array) for batch in batches for (array,) in batch)
+
+    return np.frombuffer(map_rows(map_rows(rows, of_task, "sums binary").repartition(1), of_all, "sums binary").collect()[0]["sums"])
+
+
+def _once(part: int, good: bytes, bad: bytes, rare: int) -> tuple[np.ndarray, np.ndarray]:
+    """Goods and bads of a block without those that another part has as well."""
+    return tuple(_rows(data if part == 0 or label != rare else b"") for label, data in ((1, good), (0, bad)))
+
+
+def quantile_of(ranks: DataFrame, n_good: int, n_bad: int, share_bad: float) -> float:
+    """``quantile`` of a table of ``label`` and ``rank``, exactly: bins get narrower until one value is left."""
+    weight = {1: (1 - share_bad) / n_good, 0: share_bad / n_bad}
+    ends = ranks.agg(F.min("rank").alias("low"), F.max("rank").alias("high")).first()
+    low, high, before = ends["low"], ends["high"], 0.0
+    within = ranks
+    while True:
+        width = max(high - low, 1e-300)
+        at = F.least(F.floor((F.col("rank") - low) / width * BINS), F.lit(BINS - 1))
+        bins = within.groupBy(at.alias("bin")).agg(
+            F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad"), F.min("rank").alias("low"),
+            F.max("rank").alias("high"))
+        counted = sorted(bins.collect(), key=lambda r: r["bin"])
+        for found in counted:
+            after = before + found["good"] * weight[1] + found["bad"] * weight[0]
+            if after >= share_bad - 1e-9 or found is counted[-1]:
+                break
+            before = after
+        low, high = found["low"], found["high"]
+        within = ranks.where(F.col("rank").between(low, high))
+        if low == high:
+            break
+    # Where the share is reached before the last of equal ranks, the next one is equal.
+    last = weight[0] if found["bad"] else weight[1]
+    above = ranks.where(F.col("rank") > low).agg(F.min("rank")).first()[0]
+    if above is None:
+        if found["good"] + found["bad"] > 1:
+            return float(low)
+        above = ranks.where(F.col("rank") < low).agg(F.max("rank")).first()[0]
+        return float(low if above is None else (low + above) / 2)
+    return float(low if after - last >= share_bad - 1e-9 else (low + above) / 2)
+
+
+def learn(docs: DataFrame, labels: DataFrame, learnable: Column) -> Ranking:
+    """A ranking from all labelled rows for which ``learnable``, a condition on doc_id, holds, and their whole texts.
+
+    The share of bad documents is that of all learnable labels. Null labels and ids teach nothing.
     """
     usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
               .where(learnable & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)))
     counts = {row["label"]: row["count"] for row in usable.groupBy("label").count().collect()}
     total = sum(counts.values())
     share_bad = counts.get(0, 0) / total if total else 0.0
-    chosen = bounded_sample(usable.where("label = 1"), per_label).union(
-        bounded_sample(usable.where("label = 0"), per_label))
-    # At most twice per_label rows, so they can be sent to every executor.
-    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-             .join(F.broadcast(chosen), "doc_id").select("label", "text"))
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).where(
+        learnable & F.col("doc_id").isNotNull())
+    there = {row["label"]: row["count"] for row in known.select("doc_id").join(usable, "doc_id").groupBy("label").count().collect()}
+    n_good, n_bad = there.get(1, 0), there.get(0, 0)
+    if not n_good or not n_bad:
+        return _without_pairs(n_bad)
 
     def describe(batches: Batches) -> Iterator[list[tuple]]:
         for rows in batches:
-            yield [(label, features(text).astype("<f4").tobytes()) for label, text in rows]
+            yield [(doc_id, features(text).astype("<f4").tobytes()) for doc_id, text in rows]
+
+    # Described before they are joined, so that no text is sent.
+    described = map_rows(known, describe, "doc_id long, x binary").join(usable, "doc_id")
+    blocks, rare = stored(_in_blocks(described, n_good, n_bad), "quality-blocks"), int(n_good <= n_bad)
+
+    def moments(part: int, good: bytes, bad: bytes) -> np.ndarray:
+        both = np.concatenate(_once(part, good, bad, rare))
+        pairs = len(good) // (4 * FEATURES) * (len(bad) // (4 * FEATURES))
+        return np.concatenate([both.sum(0), (both ** 2).sum(0), [float(pairs)]])
+
+    sums = _added(blocks, moments)
+    mean = sums[:FEATURES] / (n_good + n_bad)
+    scale = _spread(np.sqrt(np.maximum(sums[FEATURES:2 * FEATURES] / (n_good + n_bad) - mean ** 2, 0.0)))
+
+    def step(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def of_block(part: int, good: bytes, bad: bytes) -> np.ndarray:
+            descent, curve = pair_sums(_rows(good) / scale, _rows(bad) / scale, weights)
+            return np.concatenate([descent, curve.ravel()])
+
+        found = _added(blocks, of_block)
+        return found[:FEATURES], found[FEATURES:].reshape(FEATURES, FEATURES)
+
+    weights = newton(step, int(sums[-1]))
+    ranking = Ranking(mean, scale, weights, 0.0)
+
+    def ranked(batches: Batches) -> Iterator[list[tuple]]:
+        for rows in batches:
+            for row in rows:
+                yield [(label, float(r)) for label, x in zip((1, 0), _once(*row, rare)) for r in ranking.rank(x)]
 
-    found = map_rows(texts, describe, "label int, x binary").collect()
-    good, bad = (np.frombuffer(b"".join(sorted(bytes(r["x"]) for r in found if r["label"] == k)), "<f4")
-                 .reshape(-1, FEATURES).astype(float) for k in (1, 0))
-    return fit_ranking(good, bad, share_bad)
+    ranks = stored(map_rows(blocks, ranked, "label int, rank double"), "quality-ranks")
+    return Ranking(mean, scale, weights, quantile_of(ranks, n_good, n_bad, share_bad))
 
 
 def score(ranking: Ranking, text: Column) -> Column:

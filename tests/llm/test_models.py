@@ -119,6 +119,42 @@ def test_weighted_quantile():
     assert quality.quantile(np.array([1.0]), np.array([1.0]), 0.5) == 1.0
 
 
+@pytest.mark.parametrize("n_good, n_bad", [(700, 40), (60, 900), (1, 300)])
+def test_quality_learns_from_every_labelled_document(prepared, monkeypatch, n_good, n_bad):
+    """Each document is in pairs and among the ranks; no block has more than its share."""
+    monkeypatch.setattr(quality, "FEW", 8)
+    monkeypatch.setattr(quality, "MANY", 32)
+    rows = [(i, int(i < n_good), np.full(quality.FEATURES, i, "<f4").tobytes()) for i in range(n_good + n_bad)]
+    blocks = quality._in_blocks(prepared.createDataFrame(rows, "doc_id long, label int, x binary"), n_good, n_bad).collect()
+    seen = [{int(v) for b in blocks for v in quality._rows(b[k])[:, 0] if b["good"] and b["bad"]} for k in ("good", "bad")]
+    assert seen == [set(range(n_good)), set(range(n_good, n_good + n_bad))]
+    once = [quality._once(b["part"], b["good"], b["bad"], int(n_good <= n_bad)) for b in blocks]
+    assert sorted(int(v) for both in once for x in both for v in x[:, 0]) == list(range(n_good + n_bad))
+    assert max(len(b[k]) for b in blocks for k in ("good", "bad")) < 100 * 4 * quality.FEATURES
+
+
+def test_learned_ranking_is_that_of_the_blocks_pairs(prepared):
+    """With one block for all, that of all pairs."""
+    texts = [(i, "Plain words in a line. " * (i % 7 + 1) if i % 3 else "BUY !!! now %% " * (i % 5 + 1)) for i in range(60)]
+    labels = prepared.createDataFrame([(i, int(i % 3 > 0 or i % 4 == 0), 0) for i, _ in texts], "doc_id long, quality int, toxic int")
+    got = quality.learn(documents(prepared, texts), labels, F.lit(True))
+    x = {k: np.array([quality.features(t).astype("<f4") for i, t in texts if int(i % 3 > 0 or i % 4 == 0) == k], float) for k in (0, 1)}
+    want = quality.fit_ranking(x[1], x[0], len(x[0]) / 60)
+    assert np.allclose(got.weights, want.weights, atol=1e-5) and abs(got.threshold - want.threshold) < 1e-5
+
+
+@pytest.mark.parametrize("digits", [0, 1, 6])
+def test_quantile_of_a_table_is_that_of_arrays(prepared, digits):
+    draw = np.random.default_rng(digits)
+    for n_good, n_bad, share in ((200, 100, 0.3), (3, 1, 0.25), (1, 1, 0.5), (50, 70, 0.99), (40, 2, 0.01)):
+        good, bad = draw.normal(size=n_good).round(digits), draw.normal(size=n_bad).round(digits)
+        ranks = prepared.createDataFrame([(1, float(v)) for v in good] + [(0, float(v)) for v in bad], "label int, rank double")
+        got, want = quality.quantile_of(ranks, n_good, n_bad, share), quality.quantile(good, bad, share)
+        # Equal ranks of both labels are counted in either order.
+        ordered = np.unique(np.concatenate([good, bad]))
+        assert got == want or (digits < 6 and abs(np.searchsorted(ordered, got) - np.searchsorted(ordered, want)) <= 1)
+
+
 def test_quality_edges(prepared, edges, nothing):
     labels = prepared.createDataFrame([(4, 1, 0), (7, 0, 0), (7, None, None), (None, 1, 1), (5, 1, 1)],
                                       "doc_id long, quality int, toxic int")
