@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmetrics.llm.common import shuffle_width
+from jobmetrics.llm.common import release, shuffle_width
 from jobmetrics.llm.hashing import mixed
 
 ASKS = "part long, block long, keys binary, counts binary"
@@ -62,6 +62,11 @@ def questions(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> l
             for at in np.split(order, starts[1:]) if len(at)]
 
 
+def answered_order(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``keys`` the answers to ``questions`` are for, one after the other by part."""
+    return _dealt(keys, parts)[1]
+
+
 def answers(keys: np.ndarray, parts: int, received: Iterable[tuple[int, np.ndarray]]) -> np.ndarray:
     """The answers to ``questions``, one for each of ``keys``, from (part, answers) in any order."""
     found = [values for _, values in sorted(received, key=lambda r: r[0])]
@@ -69,7 +74,7 @@ def answers(keys: np.ndarray, parts: int, received: Iterable[tuple[int, np.ndarr
         return np.zeros(0, np.int64)
     together = np.concatenate(found)
     out = np.empty_like(together)
-    out[_dealt(keys, parts)[1]] = together
+    out[answered_order(keys, parts)] = together
     return out
 
 
@@ -108,6 +113,9 @@ def answered(asks: DataFrame, width: int, answer: Callable[[int, Part], list[tup
         columns = [table.column(c).to_pylist() for c in ("block", "keys", "counts")]
         rows = answer(table.column("part")[0].as_py(), Part(*columns, width))
         values = zip(*rows) if rows else [[] for _ in schema]
-        return pa.table([pa.array(list(c), f.type) for c, f in zip(values, schema)], schema=schema)
+        found = pa.table([pa.array(list(c), f.type) for c, f in zip(values, schema)], schema=schema)
+        del columns, rows, values
+        release()
+        return found
 
     return asks.groupBy("part").applyInArrow(run, ddl)

@@ -31,8 +31,8 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobmetrics.llm.block_keys import ASKS, Part, answered, answers, distinct, part_count, questions
-from jobmetrics.llm.common import ARROW_TYPES, map_rows, stored, whole_text
+from jobmetrics.llm.block_keys import ASKS, Part, answered, answered_order, distinct, part_count, questions
+from jobmetrics.llm.common import ARROW_TYPES, map_rows, release, stored, whole_text
 from jobmetrics.llm.hashing import joined, word_hashes
 
 UNDETERMINED = "und"
@@ -41,6 +41,8 @@ LONGEST = 4
 AHEAD = 4
 # Words that a task holds in open chunks; beyond, it closes the largest one.
 HELD_WORDS = 2_000_000
+# Places of a chunk that are looked at together.
+PLACES = 1 << 17
 # Numbers of words fit in so many bits, numbers of phrases in the others of 63.
 WORD_BITS = 28
 SCALE = 2_000_000
@@ -140,13 +142,18 @@ class Chunk:
 
     def asked(self, size: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct phrases of ``size`` words on the frontier: keys, where they start, which one it is, how often."""
-        at = np.flatnonzero((self.grams[:-1] >= 0) & (self.grams[1:] >= 0))
-        left, right, last = self.grams[at], self.grams[at + 1], self.stream[at + size - 1]
-        grows = self._bound(left, self.stream[at], self.stream[at + size - 2]) >= least
-        grows |= self._bound(right, self.stream[at + 1], last) >= least
-        at, left, last = at[grows], left[grows], last[grows]
-        keys, which, counts = distinct((self.gram_ids[left] << WORD_BITS | self.word_ids[last]).astype(np.uint64))
-        return keys, at, which, counts
+        places, found = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)]
+        for start in range(0, len(self.grams) - 1, PLACES):
+            some = self.grams[start:start + PLACES + 1]
+            at = start + np.flatnonzero((some[:-1] >= 0) & (some[1:] >= 0))
+            left, right, last = self.grams[at], self.grams[at + 1], self.stream[at + size - 1]
+            grows = self._bound(left, self.stream[at], self.stream[at + size - 2]) >= least
+            grows |= self._bound(right, self.stream[at + 1], last) >= least
+            places.append(at[grows].astype(np.int32))
+            found.append((self.gram_ids[left[grows]] << WORD_BITS | self.word_ids[last[grows]]).astype(np.uint64))
+        found = np.concatenate(found)
+        keys, which, counts = distinct(found)
+        return keys, np.concatenate(places), which, counts
 
     def _bound(self, grams: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """What no phrase that starts or ends with these can exceed, with room for the rounding of doubles."""
@@ -171,14 +178,15 @@ class Chunk:
 
 def _values(keys: np.ndarray, parts: int, replies: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Total, number and whether this chunk is the first to ask, for each key; totals of rare ones are 0."""
-    received = []
-    for part, n, bits, totals, ids, first in replies:
-        found = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-        values = np.zeros((n, 3), np.int64)
-        values[found] = np.stack([_longs(totals), _longs(ids), np.unpackbits(np.frombuffer(first, np.uint8), count=found.sum())], 1)
-        received.append((part, values))
-    both = answers(keys, parts, received).reshape(-1, 3)
-    return both[:, 0], both[:, 1], both[:, 2].astype(bool)
+    told = sorted(replies, key=lambda r: r[0])
+    totals, ids, first = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    if told:
+        frequent = np.concatenate([np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool) for _, n, bits, *_ in told])
+        at = answered_order(keys, parts)[frequent]
+        totals[at] = np.concatenate([_longs(r[3]) for r in told])
+        ids[at] = np.concatenate([_longs(r[4]) for r in told])
+        first[at] = np.concatenate([np.unpackbits(np.frombuffer(r[5], np.uint8), count=len(r[3]) // 8).astype(bool) for r in told])
+    return totals, ids, first
 
 
 def counted(asks: DataFrame, width: int, least: int, parts: int, word_level: bool) -> DataFrame:
@@ -232,7 +240,11 @@ def each_row(df: DataFrame, function: Callable[..., list[tuple]], ddl: str) -> D
             for at in range(batch.num_rows):
                 rows = function(*[column[at].as_py() for column in batch.columns])
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    del rows
+                    yield made
+                    del made
+                release()
 
     return df.mapInArrow(run, ddl)
 
@@ -242,7 +254,10 @@ def _next_state(chunks: DataFrame, replies: DataFrame, step: Callable[[dict, lis
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         told = list(zip(*[right.column(c).to_pylist() for c in ("part", "n", "bits", "totals", "ids", "first")]))
-        return pa.Table.from_pylist([step(row, told) for row in left.to_pylist()], schema=_STATE)
+        found = pa.Table.from_pylist([step(row, told) for row in left.to_pylist()], schema=_STATE)
+        del told
+        release()
+        return found
 
     told = replies.where(F.col("block").isNotNull()).withColumnRenamed("block", "chunk")
     return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, _STATE_DDL)
@@ -251,7 +266,7 @@ def _next_state(chunks: DataFrame, replies: DataFrame, step: Callable[[dict, lis
 def _phrases_asked(chunks: DataFrame, size: int, floors: dict[str, int], parts: int) -> DataFrame:
     def run(*values) -> list[tuple]:
         row = dict(zip(_KNOWN, values))
-        keys, _, _, counts = Chunk(row).asked(size, floors.get(row["lang"], 0))
+        keys, counts = Chunk(row).asked(size, floors.get(row["lang"], 0))[::3]
         return questions(row["chunk"], keys, counts, parts)
 
     return each_row(chunks.select(*_KNOWN), run, ASKS)
@@ -358,7 +373,9 @@ def collocations(docs: DataFrame, least: int = 30, limit: int = 2000) -> DataFra
         now = dict(floors)
         told3 = stored(counted(_phrases_asked(second, 3, now, parts), 1, least, parts, word_level=False), "threes")
         threes = stored(_scored(_longer(_entries(told3), pairs)), "scored-threes")
-        third = _next_state(second.select(*_KNOWN), told3, lambda row, replies: Chunk(row).grown(3, now.get(row["lang"], 0), parts, replies))
+        # Stored, so that no task has two Python workers at once.
+        third = stored(_next_state(second.select(*_KNOWN), told3, lambda row, replies: Chunk(row).grown(3, now.get(row["lang"], 0), parts, replies)),
+                       "threes-in-chunks")
         told4 = stored(counted(_phrases_asked(third, LONGEST, now, parts), 1, least, parts, word_level=False), "fours")
         fours = _scored(_longer(_entries(told4), threes))
         reaching = F.lit(0)

@@ -125,6 +125,12 @@ ARROW_TYPES = {
 Batches = Iterator[list[tuple]]
 
 
+def release() -> None:
+    """Give a Python worker's free memory back to the system; it lives on from task to task."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def map_rows(df: DataFrame, function: Callable[[Batches], Iterable[list[tuple]]], ddl: str) -> DataFrame:
     """``mapInArrow`` with lists of tuples in and out, so that nulls and large ids stay exact.
 
@@ -140,8 +146,7 @@ def map_rows(df: DataFrame, function: Callable[[Batches], Iterable[list[tuple]]]
                     columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
         finally:
-            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
-                pool.release_unused()
+            release()
 
     return df.mapInArrow(run, ddl)
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_helpers import EDGES, documents, edges, nothing, prepared, words  # noqa: F401
 
@@ -100,3 +101,17 @@ def test_edges(prepared, edges, nothing):
     rows = [(r[1], "en") for r in EDGES]
     assert got(edges, 2, 10_000) == brute(rows, 2, 10_000)
     assert got(nothing, 2, 10) == [] and got(documents(prepared, [(1, None), (2, "")]), 1, 10) == []
+
+
+def test_places_looked_at_in_parts_ask_the_same(monkeypatch):
+    draw = np.random.default_rng(3)
+    stream = draw.integers(-1, 6, 500).astype(np.int32)
+    row = {"stream": stream.tobytes(), "word_ids": np.arange(6).tobytes(), "word_totals": (np.arange(6) * 900 + 30).tobytes(), "grams": None}
+    whole = co.Chunk(row).asked(2, 1_000_000)
+    assert len(whole[0]) > 0
+    for places in (1, 7, 499, 500):
+        monkeypatch.setattr(co, "PLACES", places)
+        assert all((a == b).all() for a, b in zip(whole, co.Chunk(row).asked(2, 1_000_000)))
+    monkeypatch.setattr(co, "PLACES", 7)
+    empty = {**row, "stream": b"", "word_ids": b"", "word_totals": b""}
+    assert all(len(a) == 0 for a in co.Chunk(empty).asked(2, 0))
