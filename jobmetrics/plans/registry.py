@@ -103,7 +103,10 @@ def _sent_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sent_in_waves(spark: SparkSession, sf_dir: str, waves: int = 8) -> DataFrame:
     """The messages as a stream of as many batches, cut by the time they were received."""
-    sent = _messages(spark, sf_dir).drop("event_id", "copy")
+    rows = fixtures.events(spark, sf_dir)
+    # A file can be read by no more tasks than it has row groups, so rows are dealt out before messages are made of them.
+    parts = max(1, -(-rows.count() // ROWS_PER_FILE))
+    sent = fixtures.messages(fixtures.tracking(rows.repartition(parts, *rows.columns))).drop("event_id", "copy")
     micros = F.unix_micros("received_at")
     first, last = sent.agg(F.min(micros), F.max(micros)).first()
     wave = F.floor((micros - first) * waves / (last - first + 1))

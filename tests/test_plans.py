@@ -146,6 +146,20 @@ def test_numbering_splits_an_hour(spark):
     assert sizes.count() == 256 and sizes.agg(F.max("count")).first()[0] < 60
 
 
+def test_messages_of_waves_are_made_by_many_tasks_from_a_file_of_one_row_group(spark, tmp_path, monkeypatch):
+    spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS ts", "id % 5 AS user_id", "'click' AS event_type",
+        "1.0D AS value", "concat('{\"k\": ', id % 100, '}') AS props").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    made, tracking = [], registry.fixtures.tracking
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 40)
+    monkeypatch.setattr(registry, "scratch_path", lambda _, purpose: str(tmp_path / purpose))
+    monkeypatch.setattr(registry.fixtures, "tracking", lambda events: made.append(events) or tracking(events))
+    registry._sent_in_waves(spark, str(tmp_path), waves=4)
+    assert [events.count() for events in made] == [400]
+    assert made[0].rdd.getNumPartitions() == 10
+    assert spark.read.parquet(str(tmp_path / "waves")).count() == registry._messages(spark, str(tmp_path)).count()
+
+
 def test_waves_are_written_by_many_tasks_and_come_one_a_batch(spark, sf_dir, tmp_path, monkeypatch):
     monkeypatch.setattr(registry, "ROWS_PER_FILE", 40)
     monkeypatch.setattr(registry, "scratch_path", lambda _, purpose: str(tmp_path / purpose))
