@@ -2,7 +2,8 @@
 
 The pattern splits a text into pre-tokens, and each is encoded by itself, so the ids of a text
 are those of its pre-tokens put together. Frequent pre-tokens are kept with their ids. What is
-kept is bounded; what has no room is encoded anew.
+kept is bounded; what has no room is encoded anew. Pre-tokens of common characters go to the
+library's model without being parted again; others go through the whole library.
 
 As in the library, strings of added tokens (such as ``<|endoftext|>``) part a text first, and are their one id.
 """
@@ -14,15 +15,19 @@ import re
 import unicodedata
 from array import array
 from functools import lru_cache
-from itertools import chain, islice, pairwise
-
-import numpy as np
+from itertools import compress, islice
 
 WORDS_KEPT = 400_000
-# Pre-tokens put together for one call.
-JOINED = 256
-# The byte-level vocabulary's character for a space.
-SPACE = "\u0120"
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character of each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = sorted(set(range(256)).difference(seen))
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+BYTE_CHARACTERS = _byte_characters()
 
 
 def _plain_pattern() -> tuple[str, str]:
@@ -42,7 +47,7 @@ class WordEncoder:
     def __init__(self, vocabulary: str, pattern: str, kept: int = WORDS_KEPT):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         added = {t.content: (number, t) for number, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -53,21 +58,22 @@ class WordEncoder:
         self.words = regex.compile(pattern).findall
         characters, plain = _plain_pattern()
         self.is_plain, self.plain_words = re.compile(characters).fullmatch, re.compile(plain).findall
-        size = self.tokenizer.get_vocab_size()
-        self.begins = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE) for i in range(size)])
+        splitter = self.tokenizer.pre_tokenizer
+        self.byte_level = (isinstance(self.tokenizer.model, models.BPE) and self.tokenizer.normalizer is None
+                           and isinstance(splitter, pre_tokenizers.ByteLevel) and not splitter.add_prefix_space)
         self.known = _Known()
         self.known.added = {content: number.to_bytes(4, "little") for content, (number, _) in added.items()}
         self.kept = kept
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.parted(t) for t in texts]
-        self.known.missed = set()
-        ids = [list(map(self.known.__getitem__, words)) for words in split]
-        if self.known.missed:
-            fresh = self.ids_of(self.known.missed)
-            for words, found in zip(split, ids):
-                put_in(found, words, fresh)
+        self.known.missed = missed = {}
+        ids = [list(map(self.known.__getitem__, self.parted(t))) for t in texts]
+        if missed:
+            fresh = dict(zip(missed, self.ids_of(list(missed))))
+            for word, gap in missed.items():
+                gap += fresh[word]
             self.known.update(islice(fresh.items(), max(0, self.kept - len(self.known))))
+            self.known.missed = {}
         return list(map(b"".join, ids))
 
     def parted(self, text: str) -> list[str]:
@@ -80,48 +86,47 @@ class WordEncoder:
             at = found.end()
         return [*out, *self.words(text[at:])]
 
-    def ids_of(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of pre-tokens. Those of a space and letters are put together into longer texts,
-        as the pattern parts them again and an id whose token begins with a space begins each."""
-        spaced = [w for w in words if w[0] == " " and w[1:].isalpha() and self.is_plain(w)]
-        joined = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
-        found = {}
-        for group, e in zip(joined, self.tokenizer.encode_batch_fast(["".join(g) for g in joined],
-                                                                     add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            at = np.flatnonzero(self.begins[ids])
-            if len(at) != len(group):
-                raise ValueError("pre-tokens were not parted as they were put together")
-            data, at = ids.tobytes(), [*(at * 4).tolist(), len(ids) * 4]
-            found.update(zip(group, [data[a:b] for a, b in pairwise(at)]))
-        rest = list(words.difference(found))
-        for word, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            found[word] = array("I", e.ids).tobytes()
-        return found
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of pre-tokens. Those of common characters, which the library would not part again, go to its model at once."""
+        if not self.byte_level:
+            return self.ids_by_library(words)
+        if self.is_plain("".join(words)):
+            return self.ids_by_model(words)
+        plain = list(map(bool, map(self.is_plain, words)))
+        by_model = iter(self.ids_by_model(list(compress(words, plain))))
+        by_library = iter(self.ids_by_library([w for w, known in zip(words, plain) if not known]))
+        return [next(by_model if known else by_library) for known in plain]
+
+    def ids_by_library(self, words: list[str]) -> list[bytes]:
+        return [as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def ids_by_model(self, words: list[str]) -> list[bytes]:
+        """As the library does it after it has parted a text: bytes to characters, and these to the model."""
+        if not words:
+            return []
+        # No UTF-8 text has the byte 255.
+        characters = b"\xff".join(map(str.encode, words)).decode("latin-1").translate(BYTE_CHARACTERS)
+        split = characters.split(BYTE_CHARACTERS[255])
+        return [as_bytes([token.id for token in tokens]) for tokens in map(self.tokenizer.model.tokenize, split)]
 
 
 class _Known(dict):
-    """Ids that are kept, and those of added tokens; None for others, which are noted."""
+    """Ids that are kept, and those of added tokens; for others a gap, to be filled, that is noted."""
 
-    missed: set[str]
+    missed: dict[str, bytearray]
     added: dict[str, bytes]
 
-    def __missing__(self, word: str) -> bytes | None:
-        if word in self.added:
-            return self.added[word]
-        self.missed.add(word)
-        return None
-
-
-def put_in(found: list[bytes | None], words: list[str], fresh: dict[str, bytes]) -> None:
-    """Fills the gaps of ``found``."""
-    at = -1
-    try:
-        while True:
-            at = found.index(None, at + 1)
-            found[at] = fresh[words[at]]
-    except ValueError:  # no gap is left
-        return
+    def __missing__(self, word: str) -> bytes | bytearray:
+        gap = self.missed.get(word)
+        if gap is None:
+            if word in self.added:
+                return self.added[word]
+            gap = self.missed[word] = bytearray()
+        return gap
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 @lru_cache(maxsize=2)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from llm_helpers import EDGES, documents, edges, nothing, prepared  # noqa: F401
 from pyspark.errors import PythonException
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from jobmetrics.llm import token_files as tf
 from jobmetrics.llm.queries import PATTERN, VOCABULARY
@@ -48,6 +48,41 @@ def test_words_have_the_librarys_ids():
         assert len(encoder.known) <= max(kept, 0)
 
 
+class OnlyModel:
+    """A tokenizer that can only encode what is parted already."""
+
+    def __init__(self, tokenizer):
+        self.model = tokenizer.model
+
+
+def test_words_of_common_characters_are_not_parted_again():
+    texts = ["Some common words, 12 of them:  don't  STOP\n\n b", "naïve Ünïcödé – €5", "new new words new"]
+    for kept in (0, 10_000):
+        encoder = WordEncoder(VOCABULARY, PATTERN, kept)
+        encoder.tokenizer = OnlyModel(encoder.tokenizer)
+        got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+        assert got == ids_by_library(texts)
+
+
+def test_each_common_character_has_the_librarys_ids():
+    is_plain = WordEncoder(VOCABULARY, PATTERN).is_plain
+    characters = [c for c in map(chr, range(0x2100)) if is_plain(c)]
+    assert len(characters) > 500
+    texts = [f"{c} {c}{c}  a{c}1 {c}\n{c}a's {c}re" for c in characters]
+    for more in ([], ["кот 中文 \x00\x85", "ÿ\x00ÿ"]):
+        got = [np.frombuffer(b, "<u4").tolist() for b in WordEncoder(VOCABULARY, PATTERN).encode(texts + more)]
+        assert got == ids_by_library(texts + more)
+
+
+def test_a_vocabulary_with_a_normalizer_goes_through_the_whole_library(tmp_path):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.normalizer = normalizers.Lowercase()
+    tokenizer.save(str(tmp_path / "lower.json"))
+    texts = ["Some WORDS, and more"]
+    got = WordEncoder(str(tmp_path / "lower.json"), PATTERN).encode(texts)
+    assert np.frombuffer(got[0], "<u4").tolist() == tokenizer.encode(texts[0], add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("shards", [1, 3, 100])
 def test_whole_table(prepared, sf_dir, shards):
     docs = prepared.read.parquet(f"{sf_dir}/documents.parquet")
